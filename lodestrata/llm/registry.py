@@ -8,12 +8,14 @@ from .ngram_join import OP4_SQL, op4_ngram_jaccard_join
 from .packing import op6_best_fit_packing
 from .quality_classifier import op10_quality_classifier
 from .sharding import op1_sharding
+from .suffix_dedup import op5_suffix_array_dedup
 from .warc import OP7_SQL, op7_warc
 
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
+    "op5_suffix_array_dedup": op5_suffix_array_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_warc": op7_warc,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
