@@ -135,15 +135,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, q: int = Q, share: float
     lemma it is cut to the largest that does not. Benchmarks above 8 MB take one pass for each 8 MB. Null and empty
     texts have no occurrences. Repeated rows give repeated results; null ids stay null. Other columns are ignored.
     """
-    spark = docs.sparkSession
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("binary").alias("text")).where("item_id is not null").groupBy("item_id").agg(F.min("text").alias("text")).where(F.octet_length("text") >= q)
-    total = items.agg(F.coalesce(F.sum(F.octet_length("text") + 64), F.lit(0))).first()[0]
-    blocks = int(-(-total // BLOCK_BYTES)) or 1
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     out = None
-    for k in range(blocks):
-        block = sorted((r.item_id, bytes(r.text)) for r in items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k).collect())
-        shared = spark.sparkContext.broadcast(block)
+    for shared in blocks_of(benchmark, q):
 
         def run(batches, shared=shared):
             index = Items(shared.value, q, share)
@@ -159,5 +153,33 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, q: int = Q, share: float
     return out.withColumnRenamed("doc_id", id_col)
 
 
+def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, q: int = Q, share: float = EDITS, text_col: str = "text") -> DataFrame:
+    """The rows of docs, all columns, in which no benchmark item occurs; judged in place, without a join."""
+    for shared in blocks_of(benchmark, q):
+
+        def run(batches, shared=shared):
+            index = Items(shared.value, q, share)
+            for b in by_bytes(batches, text_col):
+                clean = np.ones(b.num_rows, bool)
+                clean[[r for r, *_ in matches(*flat(b.column(text_col)), index)]] = False
+                yield b.filter(pa.array(clean))
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs
+
+
+def blocks_of(benchmark: DataFrame, q: int) -> list:
+    """Broadcasts of the benchmark's items, at most about BLOCK_BYTES each; a repeated item_id counts once."""
+    spark = benchmark.sparkSession
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("binary").alias("text")).where("item_id is not null").groupBy("item_id").agg(F.min("text").alias("text")).where(F.octet_length("text") >= q)
+    total = items.agg(F.coalesce(F.sum(F.octet_length("text") + 64), F.lit(0))).first()[0]
+    blocks = int(-(-total // BLOCK_BYTES)) or 1
+    out = []
+    for k in range(blocks):
+        block = sorted((r.item_id, bytes(r.text)) for r in items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k).collect())
+        out.append(spark.sparkContext.broadcast(block))
+    return out
+
+
 def op8_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:
     return contaminated(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -168,5 +169,23 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     return out.select(F.col("doc_id").alias(id_col), F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= cut).cast("int").alias("predicted"))
 
 
+def keep_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", cut: float = 0.3, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """The rows of docs, all columns, whose score is at least ``cut``; scored in place, without a join."""
+    model = docs.sparkSession.sparkContext.broadcast(train(docs, labels, id_col, text_col, sample_rows))
+    names = docs.columns
+
+    def run(batches):
+        for b in by_bytes(batches, text_col):
+            data, off = flat(b.column(text_col))
+            text = b.column(text_col)
+            chars = pc.fill_null(pc.utf8_length(text), 0)
+            if "n_chars" in names:
+                chars = pc.coalesce(pc.cast(b.column("n_chars"), pa.int64()), pc.cast(chars, pa.int64()))
+            p = model.value.score(*features(data, off, chars.to_numpy(zero_copy_only=False)))
+            yield b.filter(pa.array(p >= cut))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def op10_quality_classifier(spark, sf_dir: str) -> DataFrame:
     return score_quality(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))

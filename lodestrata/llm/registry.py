@@ -4,21 +4,25 @@ from __future__ import annotations
 
 from .decontamination import op8_benchmark_decontamination
 from .embedding_dedup import OP2_SQL, op2_embedding_near_dedup
+from .lm_scoring import op3_lm_scoring
 from .ngram_join import OP4_SQL, op4_ngram_jaccard_join
 from .packing import op6_best_fit_packing
 from .quality_classifier import op10_quality_classifier
 from .sharding import op1_sharding
+from .substring_dedup import op9_substring_dedup
 from .suffix_dedup import op5_suffix_array_dedup
 from .warc import OP7_SQL, op7_warc
 
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_embedding_near_dedup": op2_embedding_near_dedup,
+    "op3_lm_scoring": op3_lm_scoring,
     "op4_ngram_jaccard_join": op4_ngram_jaccard_join,
     "op5_suffix_array_dedup": op5_suffix_array_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_warc": op7_warc,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_quality_classifier": op10_quality_classifier,
 }
 SQL = {"op2_embedding_near_dedup": OP2_SQL, "op4_ngram_jaccard_join": OP4_SQL, "op7_warc": OP7_SQL}
