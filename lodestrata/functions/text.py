@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import urls
+from .urls import let
 
 # Fixed values.
 MONTHS = {
@@ -54,7 +55,7 @@ def fold(text: Column) -> Column:
     """F17. Lower case without accents. Latin letters by a table; anything else beyond ASCII by compatibility
     decomposition in a vectorised function, which such rows alone reach."""
     quick = F.translate(F.lower(F.coalesce(text, F.lit(""))), _ACCENTED, _PLAIN)
-    return F.when(quick.rlike(r"^[\x00-\x7f]*$"), quick).otherwise(_fold_any(F.coalesce(text, F.lit(""))))
+    return F.when(quick.rlike(r"^[\x00-\x7f]*$"), quick).otherwise(_fold_any(F.coalesce(text, F.lit(""))))  # a Python function cannot stand within let()
 
 
 def _fold_any(text: Column) -> Column:
@@ -76,13 +77,11 @@ def fold_latin(text: Column) -> Column:
 
 def slugify(text: Column) -> Column:
     """F21."""
-    out = F.array_join(F.regexp_extract_all(fold_latin(text), F.lit("([a-z0-9]+)"), 1), "-")
-    return F.when(out == "", F.lit("resource")).otherwise(out)
+    return F.coalesce(F.nullif(F.array_join(F.regexp_extract_all(fold_latin(text), F.lit("([a-z0-9]+)"), 1), "-"), F.lit("")), F.lit("resource"))
 
 
 def blank_to_null(text: Column) -> Column:
-    t = F.trim(text)
-    return F.when(t != "", t)
+    return F.nullif(F.trim(text), F.lit(""))
 
 
 def collapse(text: Column) -> Column:
@@ -103,6 +102,10 @@ def _two(x: Column) -> Column:
 
 def period_from_text(folded: Column) -> Column:
     """F15. The period of a folded text at the finest precision that the first matching rule gives."""
+    return let(folded, _period_rules)
+
+
+def _period_rules(folded: Column) -> Column:
     g = lambda rx, i: F.regexp_extract(folded, rx, i)
     iso = rf"(?<!\d)({_YEAR})[-_/]({_MM})[-_/]({_DD})(?!\d)"
     dmy = rf"(?<!\d)({_DD})[-_/]({_MM})[-_/]({_YEAR})(?!\d)"
@@ -130,18 +133,21 @@ def period_from_text(folded: Column) -> Column:
 
 def evidence(title: Column, anchor: Column, context: Column, url: Column) -> Column:
     """Z16, unfolded: the parts that are not blank, joined by blanks."""
-    some = lambda c: F.when(c != "", c)
+    some = lambda c: F.nullif(c, F.lit(""))
     return F.concat_ws(" ", some(title), some(anchor), some(context), some(urls.unquote(url)))
 
 
 def period(label: Column, title: Column, anchor: Column, context: Column, url: Column) -> Column:
     """F16. The given label, else the period of the evidence."""
-    return F.when(label != "", blank_to_null(label)).otherwise(period_from_text(fold_latin(evidence(title, anchor, context, url))))
+    return F.when(F.coalesce(label, F.lit("")) != "", blank_to_null(label)).otherwise(period_from_text(fold_latin(evidence(title, anchor, context, url))))
 
 
 def crawl_period(text: Column) -> Column:
     """F12. Spanish month names, years 20xx; day + month name, month name + year, _MM_YYYY, year."""
-    low = F.lower(text)
+    return let(F.lower(text), _crawl_rules)
+
+
+def _crawl_rules(low: Column) -> Column:
     year = r"\b(20\d{2})\b"
     out = F.when(low.rlike(year), F.regexp_extract(low, year, 1))
     numeric = r"[_\-](0[1-9]|1[0-2])[_\-](20\d{2})\b"
@@ -161,13 +167,16 @@ def period_precision(p: Column) -> Column:
 
 def best_period(*texts: Column) -> Column:
     """F14. The most precise period of the fields, each judged alone; the first on ties."""
-    options = F.array(*[F.struct(period_precision(crawl_period(t)).alias("precision"), F.lit(-k).alias("order"), crawl_period(t).alias("value")) for k, t in enumerate(texts)])
-    best = F.array_max(options)
-    return F.when(best["precision"] > 0, best["value"])
+    found = F.transform(F.array(*[F.struct(F.lit(-k).alias("order"), crawl_period(t).alias("value")) for k, t in enumerate(texts)]), lambda x: F.struct(period_precision(x["value"]).alias("precision"), x["order"], x["value"]))
+    return let(F.array_max(found), lambda best: F.when(best["precision"] > 0, best["value"]))
 
 
 def period_sort_key(p: Column) -> Column:
     """W02. (precision, year, part): days above months above quarters above years above none."""
+    return let(p, _sort_key)
+
+
+def _sort_key(p: Column) -> Column:
     year = F.regexp_extract(p, r"^(\d{4})", 1).try_cast("int")
     day = rf"^{_YEAR}-(0[1-9]|1[0-2])-(0[1-9]|[12]\d|3[01])$"
     month, quarter = rf"^{_YEAR}-(0[1-9]|1[0-2])$", rf"^{_YEAR}-Q([1-4])$"
@@ -197,14 +206,13 @@ def clean_key(text: Column) -> Column:
 
 def family_key(title: Column, context: Column, anchor: Column, url: Column, api_identity: Column | None = None) -> Column:
     """F19. The first specific candidate of at least four letters, else the first, else the path."""
-    specific = lambda c: F.when((F.trim(c) != "") & ~fold_latin(F.trim(c)).isin(*GENERIC), clean_key(F.trim(c)))
-    p = F.regexp_replace(urls.path(url), r"/+$", "")
-    base = urls.unquote(F.regexp_extract(p, r"([^/]*)$", 1))
-    every = [*([clean_key(api_identity)] if api_identity is not None else []), specific(title), F.when(F.trim(context) != "", clean_key(F.trim(context))), specific(anchor), clean_key(base)]
+    specific = lambda c: let(F.trim(c), lambda t: F.when((t != "") & ~fold_latin(t).isin(*GENERIC), clean_key(t)))
+    base = urls.unquote(F.regexp_extract(F.regexp_replace(urls.path(url), r"/+$", ""), r"([^/]*)$", 1))
+    every = [*([clean_key(api_identity)] if api_identity is not None else []), specific(title), clean_key(blank_to_null(context)), specific(anchor), clean_key(base)]
     keys = F.filter(F.array(*every), lambda k: k.isNotNull() & (k != ""))
-    good = F.filter(keys, lambda k: (F.length(k) >= 4) & ~k.isin(*STOP_KEYS))
+    first_good = lambda ks: F.coalesce(F.try_element_at(F.filter(ks, lambda k: (F.length(k) >= 4) & ~k.isin(*STOP_KEYS)), F.lit(1)), F.try_element_at(ks, F.lit(1)))
     rest = clean_key(F.regexp_replace(urls.path(url), r"^/+|/+$", ""))
-    return F.coalesce(F.try_element_at(good, F.lit(1)), F.try_element_at(keys, F.lit(1)), F.when(rest != "", rest), F.lit("resource"))
+    return F.coalesce(let(keys, first_good), F.nullif(rest, F.lit("")), F.lit("resource"))
 
 
 def family_id(source_id: Column, key: Column) -> Column:
@@ -219,18 +227,26 @@ def family_title(key: Column) -> Column:
 
 def format_of(resource_type: Column, api_format: Column, ext: Column, content_type: Column) -> Column:
     """F26."""
-    suffix = F.regexp_replace(F.lower(F.trim(ext)), r"^\.+", "")
-    by_type = F.lit("unknown")
-    for marker, value in reversed(CONTENT_FORMATS):
-        by_type = F.when(F.contains(F.lower(content_type), F.lit(marker)), F.lit(value)).otherwise(by_type)
-    api = F.when(api_format != "", F.replace(F.lower(F.trim(api_format)), F.lit("-"))).otherwise("api")
-    return F.when(resource_type == "api", api).when(suffix != "", suffix).otherwise(by_type)
+    suffix = F.nullif(F.regexp_replace(F.lower(F.trim(ext)), r"^\.+", ""), F.lit(""))
+
+    def by_type(kind: Column) -> Column:
+        out = F.lit("unknown")
+        for marker, value in reversed(CONTENT_FORMATS):
+            out = F.when(F.contains(kind, F.lit(marker)), F.lit(value)).otherwise(out)
+        return out
+
+    api = F.coalesce(F.nullif(F.replace(F.lower(F.trim(api_format)), F.lit("-")), F.lit("")), F.lit("api"))
+    return F.when(resource_type == "api", api).otherwise(F.coalesce(suffix, let(F.lower(content_type), by_type)))
 
 
 def classify(resource_type: Column, fmt: Column, folded: Column, has_period: Column, method: Column, api: Column) -> Column:
     """F27. (selected, priority, reason). ``api``: struct of is_openapi, method, auth_required, callable_by_policy, or null."""
     any_of = lambda terms: folded.rlike("|".join(re.escape(t) for t in terms))
-    positive, admin = any_of(POSITIVE), any_of(ADMINISTRATIVE)
+    seen = F.struct(any_of(POSITIVE).alias("positive"), any_of(ADMINISTRATIVE).alias("admin"), fmt.alias("fmt"), has_period.alias("dated"), api.alias("api"))
+    return let(seen, lambda s: _decide(resource_type, s["fmt"], s["positive"], s["admin"], s["dated"], method, s["api"]))
+
+
+def _decide(resource_type: Column, fmt: Column, positive: Column, admin: Column, has_period: Column, method: Column, api: Column) -> Column:
     out = lambda ok, priority, reason: F.struct(F.lit(ok).alias("selected"), F.lit(priority).alias("priority"), F.lit(reason).alias("reason"))
     is_api, is_archive, is_doc = resource_type == "api", fmt.isin(*ARCHIVES), fmt.isin(*DOCUMENTS)
     return (
@@ -252,43 +268,40 @@ def classify(resource_type: Column, fmt: Column, folded: Column, has_period: Col
 
 
 def format_rank(fmt: Column) -> Column:
-    out = F.lit(0)
-    for f, r in RANKS.items():
-        out = F.when(fmt == f, F.lit(r)).otherwise(out)
-    return out
+    ranks = F.create_map(*[F.lit(x) for pair in RANKS.items() for x in pair])
+    return F.coalesce(F.try_element_at(ranks, fmt), F.lit(0))
 
 
 def legacy_segment(text: Column) -> Column:
     """F28. ASCII letters and digits, case kept, joined by '_'."""
     plain = F.translate(F.coalesce(text, F.lit("")), _ACCENTED + _ACCENTED.upper(), _PLAIN + _PLAIN.upper())
-    out = F.array_join(F.regexp_extract_all(plain, F.lit("([A-Za-z0-9]+)"), 1), "_")
-    return F.when(out == "", F.lit("SIN_NOMBRE")).otherwise(out)
+    return F.coalesce(F.nullif(F.array_join(F.regexp_extract_all(plain, F.lit("([A-Za-z0-9]+)"), 1), "_"), F.lit("")), F.lit("SIN_NOMBRE"))
 
 
 def legacy_year(p: Column, fallback: str = "SIN_PERIODO") -> Column:
     """F29."""
-    year = F.regexp_extract(p, rf"^({_YEAR})", 1)
-    return F.when(year != "", year).otherwise(F.lit(fallback))
+    return F.coalesce(F.nullif(F.regexp_extract(p, rf"^({_YEAR})", 1), F.lit("")), F.lit(fallback))
 
 
 def legacy_format(fmt: Column) -> Column:
     """F30."""
-    up = F.upper(F.trim(F.coalesce(F.when(fmt != "", fmt), F.lit("unknown"))))
-    out = up
-    for name, alias in LEGACY_FORMATS.items():
-        out = F.when(up == name, F.lit(alias)).otherwise(out)
-    return out
+    names = F.create_map(*[F.lit(x) for pair in LEGACY_FORMATS.items() for x in pair])
+    return let(F.upper(F.trim(F.coalesce(F.nullif(fmt, F.lit("")), F.lit("unknown")))), lambda up: F.coalesce(F.try_element_at(names, up), up))
 
 
 def legacy_description(title: Column, description: Column, url: Column) -> Column:
     """F31."""
-    t = F.trim(F.coalesce(title, F.lit("")))
+    good = let(F.trim(F.coalesce(title, F.lit(""))), lambda t: F.when((t != "") & ~fold_latin(t).isin(*GENERIC_TITLES), t))
     name = urls.unquote(F.regexp_extract(F.regexp_replace(urls.path(url), r"/+$", ""), r"([^/]*)$", 1))
-    return F.when((t != "") & ~fold_latin(t).isin(*GENERIC_TITLES), t).otherwise(F.coalesce(blank_to_null(description), F.when(name != "", name), url))
+    return F.coalesce(good, blank_to_null(description), F.nullif(name, F.lit("")), url)
 
 
 def render(template: Column, captures: Column) -> Column:
     """F22. {name} placeholders from a map; a name without a capture is an error."""
+    return let(F.struct(template.alias("t"), captures.alias("c")), lambda s: _render(s["t"], s["c"]))
+
+
+def _render(template: Column, captures: Column) -> Column:
     names = F.regexp_extract_all(template, F.lit(r"\{(\w+)\}"), 1)
     missing = F.filter(names, lambda n: ~F.map_contains_key(captures, n))
     filled = F.aggregate(F.map_entries(captures), template, lambda acc, e: F.replace(acc, F.concat(F.lit("{"), e["key"], F.lit("}")), e["value"]))

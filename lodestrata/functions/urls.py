@@ -14,6 +14,11 @@ EXTENSIONS = [".csv", ".tsv", ".xls", ".xlsx", ".ods", ".json", ".xml", ".geojso
 PARTS = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once: without it each mention would be computed, and compiled, again."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _part(url: Column, group: int) -> Column:
     return F.regexp_extract(url, PARTS, group)
 
@@ -45,7 +50,7 @@ def canonical_host(url: Column) -> Column:
 
 def unquote(text: Column) -> Column:
     """Percent decoding that leaves plus signs and malformed escapes as they are."""
-    return F.coalesce(F.try_url_decode(F.replace(text, F.lit("+"), F.lit("%2B"))), text)
+    return let(text, lambda t: F.coalesce(F.try_url_decode(F.replace(t, F.lit("+"), F.lit("%2B"))), t))
 
 
 def _quote(text: Column) -> Column:
@@ -81,7 +86,10 @@ def remove_dots(p: Column) -> Column:
 
 def join(base: Column, raw: Column) -> Column:
     """Reference resolution after RFC 3986."""
-    raw = F.trim(raw)
+    return let(F.struct(base.alias("base"), F.trim(raw).alias("raw")), lambda s: _join(s["base"], s["raw"]))
+
+
+def _join(base: Column, raw: Column) -> Column:
     origin = F.concat(scheme(base), F.lit("://"), _part(base, 2))
     folder = F.regexp_replace(path(base), r"[^/]*$", "")
     folder = F.when(folder == "", F.lit("/")).otherwise(folder)
@@ -101,13 +109,16 @@ def join(base: Column, raw: Column) -> Column:
 def normalize(raw: Column, base: Column | None = None) -> Column:
     """F01. Trimmed and absolute; scheme and host in lower case, default port gone, path at least '/', tracking
     parameters dropped, query sorted and re-encoded, no fragment. Other schemes than http and https are left alone."""
-    url = F.trim(raw) if base is None else join(base, raw)
+    return let(F.trim(raw) if base is None else join(base, raw), _normal)
+
+
+def _normal(url: Column) -> Column:
     s, n = scheme(url), netloc(url)
     n = F.when(s == "http", F.regexp_replace(n, r":80$", "")).when(s == "https", F.regexp_replace(n, r":443$", "")).otherwise(n)
     kept = F.array_sort(F.filter(pairs(url), lambda p: ~_among(p["k"], TRACKING)))
-    q = encode_pairs(kept)
+    q = F.coalesce(F.concat(F.lit("?"), F.nullif(encode_pairs(kept), F.lit(""))), F.lit(""))
     p = F.when(path(url) == "", F.lit("/")).otherwise(path(url))
-    return F.when(~s.isin("http", "https") | (n == ""), url).otherwise(F.concat(s, F.lit("://"), n, p, F.when(q != "", F.concat(F.lit("?"), q)).otherwise("")))
+    return F.when(~s.isin("http", "https") | (netloc(url) == ""), url).otherwise(F.concat(s, F.lit("://"), n, p, q))
 
 
 def url_hash(url: Column) -> Column:
@@ -120,15 +131,16 @@ def resource_key(source_id: Column, url: Column) -> Column:
 
 def api_identity(method: Column, url: Column) -> Column:
     """F04. ``METHOD url`` in normal form without pagination parameters."""
-    clean = normalize(url)
-    kept = encode_pairs(F.filter(pairs(clean), lambda p: ~_among(p["k"], PAGINATION_QUERY)))
-    return F.concat(F.upper(method), F.lit(" "), F.substring_index(clean, "?", 1), F.when(kept != "", F.concat(F.lit("?"), kept)).otherwise(""))
+    kept = lambda clean: F.nullif(encode_pairs(F.filter(pairs(clean), lambda p: ~_among(p["k"], PAGINATION_QUERY))), F.lit(""))
+    return F.concat(F.upper(method), F.lit(" "), let(normalize(url), lambda clean: F.concat(F.substring_index(clean, "?", 1), F.coalesce(F.concat(F.lit("?"), kept(clean)), F.lit("")))))
 
 
 def extension(url: Column) -> Column:
     """F05. The path's suffix if it is a known one, else the longest known one anywhere in the decoded URL (ties by text)."""
-    suffix = F.lower(F.regexp_extract(path(url), r"[^/.][^/]*(\.[^./]*)$", 1))
-    decoded = F.lower(unquote(url))
+    return let(url, lambda u: let(F.struct(F.lower(F.regexp_extract(path(u), r"[^/.][^/]*(\.[^./]*)$", 1)).alias("suffix"), F.lower(unquote(u)).alias("decoded")), lambda s: _extension(s["suffix"], s["decoded"])))
+
+
+def _extension(suffix: Column, decoded: Column) -> Column:
     found = F.lit("")
     for e in sorted(EXTENSIONS, key=lambda e: (len(e), [-ord(c) for c in e])):
         found = F.when(F.contains(decoded, F.lit(e)), F.lit(e)).otherwise(found)
@@ -141,6 +153,10 @@ def is_resource(url: Column) -> Column:
 
 def pagination_family(url: Column) -> Column:
     """F06. Template with * for page values; null if the URL is not one of a pagination."""
+    return let(url, _pagination)
+
+
+def _pagination(url: Column) -> Column:
     in_path = r"(?i)(/(?:page|pagina|p)/)\d+(?=/|$)"
     p = path(url)
     items = pairs(url)
@@ -154,6 +170,10 @@ def pagination_family(url: Column) -> Column:
 
 def calendar_family(url: Column) -> Column:
     """F07. (template, value) of a date in the path: /Y/M[/D] or Y-M[-D]; null without one."""
+    return let(url, _calendar)
+
+
+def _calendar(url: Column) -> Column:
     p = path(url)
     date = r"/((?:19|20)\d{2}[/-](?:0?[1-9]|1[0-2])(?:[/-](?:0?[1-9]|[12]\d|3[01]))?)(?=/|$)"
     value = F.regexp_extract(p, date, 1)
@@ -163,8 +183,8 @@ def calendar_family(url: Column) -> Column:
 
 def query_family(url: Column) -> Column:
     """Host, path and the sorted set of lower-case query names."""
-    names = F.array_sort(F.array_distinct(F.transform(pairs(url), lambda p: F.lower(p["k"]))))
-    return F.concat_ws("|", netloc(url), path(url), F.array_join(names, ","))
+    names = lambda u: F.array_sort(F.array_distinct(F.transform(pairs(u), lambda p: F.lower(p["k"]))))
+    return let(url, lambda u: F.concat_ws("|", netloc(u), path(u), F.array_join(names(u), ",")))
 
 
 def repeated_segments(p: Column) -> Column:

@@ -11,7 +11,7 @@ from ..functions import text as T
 from ..functions import urls as U
 from ..operators import audit, catalog, frontier, projection, state
 from ..sources import files, sinks
-from .views import CANDIDATES, RESOURCES, RUNS, candidates, resources, runs, table
+from .views import CANDIDATES, RESOURCES, RUNS, build_resources, candidates, decisions, resources, runs, table
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -50,7 +50,7 @@ def host_scope_counts(spark, sf_dir):
     return p.groupBy("host").agg(F.count("*").alias("n")).join(scope, "host", "left").select("host", "n", F.coalesce("in_scope", F.lit(False)).alias("in_scope"))
 
 
-_STARRED = f"array_to_string(list_sort(list_transform(list_filter(string_split({_QUERY}, '&'), lambda p: p <> ''), lambda p: CASE WHEN lower(split_part(p, '=', 1)) IN {_PAGED} THEN split_part(p, '=', 1) || '=*' ELSE p END)), '&')"
+_STARRED = f"array_to_string(list_sort(list_transform(list_filter(string_split({_QUERY}, '&'), lambda p: p <> ''), lambda p: CASE WHEN lower(split_part(p, '=', 1)) IN {_PAGED} THEN split_part(p, '=', 1) || '=%2A' ELSE p END)), '&')"
 
 
 @query(f"SELECT * FROM (SELECT page_id, CASE WHEN len(list_filter(string_split({_QUERY}, '&'), lambda p: lower(split_part(p, '=', 1)) IN {_PAGED})) > 0 THEN {_ORIGIN} || {_PATH} || '?' || {_STARRED} END AS family FROM pages) WHERE family IS NOT NULL")
@@ -105,7 +105,7 @@ def page_fingerprint_dups(spark, sf_dir):
 
 @query(f"SELECT k, source_id, resource_key, nurl AS url, file_extension, period_label, title FROM ({RESOURCES})")
 def resource_build(spark, sf_dir):
-    return resources(spark, sf_dir).select("k", "source_id", "resource_key", F.col("nurl").alias("url"), "file_extension", "period_label", "title")
+    return build_resources(spark, sf_dir).select("k", "source_id", "resource_key", F.col("nurl").alias("url"), "file_extension", "period_label", "title")
 
 
 @query(f"""SELECT k, yyyy || '-' || mm AS projection_period, yyyy || '-' || mm AS crawl_period, 2 AS precision
@@ -145,30 +145,28 @@ def projection_decisions(spark, sf_dir):
 
 @query(f"SELECT source_id, family_key, period, format, resource_key FROM (SELECT *, row_number() OVER (PARTITION BY source_id, family_key, period ORDER BY rank DESC, resource_key) AS rn FROM ({_DECIDED}) WHERE selected) WHERE rn = 1")
 def preferred_representation(spark, sf_dir):
-    return projection.preferred(projection.decide(resources(spark, sf_dir))).select("source_id", "family_key", "period", "format", "resource_key")
+    return projection.preferred(decisions(spark, sf_dir)).select("source_id", "family_key", "period", "format", "resource_key")
 
 
 @query(f"""WITH d AS (SELECT * FROM ({_DECIDED}) WHERE selected), f AS (SELECT source_id, family_key, string_agg(format, ',' ORDER BY rank DESC) AS formats FROM (SELECT DISTINCT source_id, family_key, format, rank FROM d) GROUP BY ALL)
 SELECT d.source_id, d.family_key, count(*) AS representations, count(DISTINCT period) AS periods, any_value(formats) AS formats, max(period) AS latest_period FROM d JOIN f USING (source_id, family_key) GROUP BY 1, 2""")
 def family_rollup(spark, sf_dir):
-    return projection.families(projection.decide(resources(spark, sf_dir)))
+    return projection.families(decisions(spark, sf_dir))
 
 
 _SLOTTED = f"""SELECT *, 'files/' || replace(array_to_string(list_transform(string_split(family_key, '-'), lambda w: upper(w[1]) || w[2:]), '_'), ' ', '_') || '/' || yyyy AS route FROM ({_DECIDED}) WHERE selected"""
 
 
-@query(f"""SELECT resource_key, route, CASE WHEN rn = 1 THEN 'Descargar.csv' ELSE 'Descargar_' || rn || '.csv' END AS slot, title AS descripcion, url AS url_descarga, period AS fecha_actualizacion, upper(format) AS tipo_archivo
+@query(f"""SELECT source_id, route, CASE WHEN rn = 1 THEN 'Descargar.csv' ELSE 'Descargar_' || rn || '.csv' END AS slot, title AS descripcion, url AS url_descarga, period AS fecha_actualizacion, upper(format) AS tipo_archivo
 FROM (SELECT *, row_number() OVER (PARTITION BY source_id, route ORDER BY mm DESC, rank DESC, url, resource_key) AS rn FROM ({_SLOTTED}))""")
 def legacy_slots(spark, sf_dir):
-    s = projection.legacy_slots(projection.decide(resources(spark, sf_dir)).where("selected"))
-    r = projection.legacy_records(s.withColumn("__k", F.col("resource_key")))
-    both = s.select("resource_key", "source_id", "route", "slot").join(r, ["source_id", "route", "slot"])
-    return both.select("resource_key", "route", "slot", "descripcion", "url_descarga", "fecha_actualizacion", "tipo_archivo")
+    s = projection.legacy_slots(decisions(spark, sf_dir).where("selected"))
+    return projection.legacy_records(s).select("source_id", "route", "slot", "descripcion", "url_descarga", "fecha_actualizacion", "tipo_archivo")
 
 
 @query(f"SELECT source_id, count(*) AS valid, 0::BIGINT AS invalid FROM ({_DECIDED}) WHERE selected GROUP BY 1")
 def legacy_validation(spark, sf_dir):
-    return projection.validate_legacy(projection.legacy_records(projection.legacy_slots(projection.decide(resources(spark, sf_dir)).where("selected"))))
+    return projection.validate_legacy(projection.legacy_records(projection.legacy_slots(decisions(spark, sf_dir).where("selected"))))
 
 
 RULES = [
@@ -330,7 +328,7 @@ def timing_audit(spark, sf_dir):
 
 @query(f"SELECT priority, count(*) AS n FROM ({_DECIDED}) GROUP BY 1")
 def priority_histogram(spark, sf_dir):
-    return audit.histogram(projection.decide(resources(spark, sf_dir)), "priority")
+    return audit.histogram(decisions(spark, sf_dir), "priority")
 
 
 @query("SELECT conv_id, turn, sum((role = 'user')::INT) OVER (PARTITION BY conv_id ORDER BY turn)::BIGINT AS segment, nullif(list_last(regexp_extract_all(text, '([A-Za-z]+)', 1)), '') AS last_word FROM conversations")

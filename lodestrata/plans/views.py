@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions import urls as U
+from ..operators import projection
 
 EXT = ["csv", "xlsx", "ods", "json", "pdf", "docx", "zip", ""]
 
@@ -15,6 +18,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_stored: dict[tuple[str, str, str], str] = {}
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """A catalog table, written once in an application for each input folder and read from there by later stages: their
+    filters then reach the Parquet scan instead of being inlined into the expressions that made the columns."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _stored:
+        base = (spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints").rstrip("/")
+        path = f"{base}/catalog-{uuid.uuid4().hex}/{name}"
+        build().write.parquet(path)
+        _stored[key] = path
+    return spark.read.parquet(_stored[key])
+
+
 def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Resource candidates of two snapshots: one per order, by customer nation and order priority."""
     o, c, n = (table(spark, sf_dir, t) for t in ("orders", "customer", "nation"))
@@ -50,6 +68,14 @@ FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey =
 
 
 def resources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored(spark, sf_dir, "resources", lambda: build_resources(spark, sf_dir))
+
+
+def decisions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored(spark, sf_dir, "decisions", lambda: projection.decide(resources(spark, sf_dir)))
+
+
+def build_resources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P01 over the candidates: normal URL, extension, effective title, period, identity, evidence."""
     c = candidates(spark, sf_dir).withColumn("nurl", U.normalize(F.col("url")))
     return c.withColumns(
