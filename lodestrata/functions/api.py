@@ -83,6 +83,12 @@ def _keys(body: Column) -> Column:
     return F.coalesce(F.json_object_keys(body), F.array().cast("array<string>"))
 
 
+def _is_json(body: Column) -> Column:
+    """One JSON value; several lines that are each a value are none."""
+    lines = F.filter(F.split(body, r"\r?\n"), lambda x: F.trim(x) != "")
+    return F.try_parse_json(body).isNotNull() & ~((F.size(lines) > 1) & F.forall(lines, lambda x: F.try_parse_json(x).isNotNull()))
+
+
 def _starts(body: Column, path: str, opening: str) -> Column:
     return F.coalesce(F.ltrim(F.get_json_object(body, path)).startswith(opening), F.lit(False))
 
@@ -90,7 +96,7 @@ def _starts(body: Column, path: str, opening: str) -> Column:
 def detect_format(body: Column, content_type: Column) -> Column:
     """X01. Format of a body, by type and content; null if unknown."""
     c, text = F.lower(F.coalesce(content_type, F.lit(""))), F.ltrim(F.coalesce(body, F.lit("")))
-    valid = F.try_parse_json(body).isNotNull() & (c.contains("json") | text.rlike(r"^[{\[]"))
+    valid = _is_json(body) & (c.contains("json") | text.rlike(r"^[{\[]"))
     is_object = valid & text.startswith("{")
     keys = _keys(F.when(is_object, body))
     has = lambda k: F.array_contains(keys, k)
@@ -121,7 +127,7 @@ def records(body: Column, fmt: Column) -> Column:
     sizes = F.from_json(F.get_json_object(body, "$.size"), "array<bigint>")
     product = F.when(_starts(body, "$.size", "["), F.aggregate(sizes, F.lit(1).cast("long"), lambda a, x: a * x))
     array = F.ltrim(body).startswith("[")
-    ok = F.try_parse_json(body).isNotNull()
+    ok = _is_json(body)
     return (
         F.when(fmt == "ndjson", lines)
         .when(fmt.isin("csv", "tsv"), F.greatest(F.lit(0).cast("long"), lines - 1))
@@ -136,7 +142,7 @@ def records(body: Column, fmt: Column) -> Column:
 def has_pagination(body: Column, url: Column) -> Column:
     """X04."""
     in_query = F.exists(U.pairs(url), lambda p: F.lower(p["k"]).isin(*U.PAGINATION_QUERY))
-    is_object = F.try_parse_json(body).isNotNull() & F.ltrim(body).startswith("{")
+    is_object = _is_json(body) & F.ltrim(body).startswith("{")
     return in_query | F.exists(_keys(F.when(is_object, body)), lambda k: F.lower(k).isin(*PAGED_KEYS))
 
 
@@ -149,7 +155,7 @@ def data_shape(body: Column) -> Column:
     for k in reversed(LIST_KEYS):
         out = F.when(_starts(body, f"$.{k}", "["), F.lit(f"ARRAY_FIELD:{k}")).otherwise(out)
     listed = F.when(F.ltrim(F.get_json_object(body, "$[0]")).startswith("{"), "LIST_RECORDS").otherwise("LIST_VALUES")
-    return F.when(F.try_parse_json(body).isNull(), "INVALID").when(text.startswith("["), listed).when(text.startswith("{"), out).otherwise("SCALAR")
+    return F.when(~F.coalesce(_is_json(body), F.lit(False)), "INVALID").when(text.startswith("["), listed).when(text.startswith("{"), out).otherwise("SCALAR")
 
 
 def link_header(value: Column) -> Column:

@@ -321,7 +321,7 @@ def evidence_precedence(spark, sf_dir):
 g AS (SELECT user_id, count(*) AS runs, round(sum(greatest(0, (epoch_us(finish) - epoch_us(ts)) / 1e6)), 3) AS active_s, greatest(0, (epoch_us(max(finish)) - epoch_us(min(ts))) / 1e6) AS wall FROM r GROUP BY 1)
 SELECT user_id, runs, active_s, round(wall, 3) AS wall_s, round(greatest(0, wall - active_s), 3) AS gap_s FROM g""")
 def timing_audit(spark, sf_dir):
-    e = table(spark, sf_dir, "events").withColumn("finish", F.timestamp_micros(F.unix_micros("ts") + F.round(F.col("value") * 1000).cast("long") * 1000))
+    e = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp")).withColumn("finish", F.timestamp_micros(F.unix_micros("ts") + F.round(F.col("value") * 1000).cast("long") * 1000))
     t = audit.timing(e, "user_id", "ts", "finish")
     return t.select("user_id", "runs", F.round("active_s", 3).alias("active_s"), F.round("wall_s", 3).alias("wall_s"), F.round(F.greatest(F.lit(0.0), F.col("wall_s") - F.round("active_s", 3)), 3).alias("gap_s"))
 

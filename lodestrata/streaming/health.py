@@ -31,11 +31,15 @@ def streaming_health(runs: DataFrame, late: str = "1 day") -> DataFrame:
 
 
 def run_available(spark: SparkSession, events_dir: str, checkpoint: str, out: str) -> None:
-    """Process what is available of an event folder, then stop; a restart goes on from the checkpoint."""
-    schema = spark.read.parquet(events_dir).schema
-    e = spark.readStream.schema(schema).parquet(events_dir)
+    """Process what is available of an event folder (or of one file in a folder), then stop; a restart goes on from the
+    checkpoint."""
+    reader = spark.readStream.schema(spark.read.parquet(events_dir).schema)
+    place = spark._jvm.org.apache.hadoop.fs.Path(events_dir)
+    if place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place).isFile():
+        reader, events_dir = reader.option("pathGlobFilter", place.getName()), str(place.getParent())
+    e = reader.parquet(events_dir)
     status = F.when(F.col("event_type") == "error", "FAILED").when(F.col("event_type").isin("purchase", "signup"), "CHANGED").otherwise("NO_CHANGE")
-    runs = e.select(F.col("user_id").alias("source_id"), "ts", F.col("event_id").alias("run_id"), status.alias("status"))
+    runs = e.select(F.col("user_id").alias("source_id"), F.col("ts").cast("timestamp").alias("ts"), F.col("event_id").alias("run_id"), status.alias("status"))
 
     def save(batch: DataFrame, n: int) -> None:
         batch.write.mode("overwrite").parquet(f"{out}/batch={n}")  # a batch that is run again replaces itself
