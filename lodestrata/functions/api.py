@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import json
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -193,8 +194,6 @@ def next_page(body: Column, link: Column, url: Column) -> Column:
 
 def canonical_body(body: Column, fmt: Column) -> Column:
     """X09. Text of a body that equal contents share: sorted keys for JSON, whole lines for NDJSON, plain line ends else."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def canon(bodies: pd.Series, formats: pd.Series) -> pd.Series:
         def dump(x: str) -> str:
@@ -238,8 +237,6 @@ def openapi_operations(docs: DataFrame, url: str = "url", body: str = "body") ->
     and the response's format. Bodies that are no such document give no rows."""
 
     def parse(frames):
-        import pandas as pd
-
         for f in frames:
             rows = []
             for u, b in zip(f[url], f[body], strict=True):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -52,20 +53,19 @@ _PLAIN = "aaaaaaaeeeeeiiiiioooooouuuuuncyy"
 
 
 def fold(text: Column) -> Column:
-    """F17. Lower case without accents. Latin letters by a table; anything else beyond ASCII by compatibility
-    decomposition in a vectorised function, which such rows alone reach."""
-    quick = F.translate(F.lower(F.coalesce(text, F.lit(""))), _ACCENTED, _PLAIN)
-    return F.when(quick.rlike(r"^[\x00-\x7f]*$"), quick).otherwise(_fold_any(F.coalesce(text, F.lit(""))))  # a Python function cannot stand within let()
+    """F17. Lower case without accents. Latin letters by a table; texts with anything else beyond ASCII by compatibility
+    decomposition in a vectorised function, which gets null for all other rows."""
+    quick = fold_latin(text)
+    plain = quick.rlike(r"^[\x00-\x7f]*$")
+    return F.when(plain, quick).otherwise(_fold_any(F.when(~plain, text)))
 
 
 def _fold_any(text: Column) -> Column:
-    import pandas as pd
-
     @F.pandas_udf("string")
     def decompose(values: pd.Series) -> pd.Series:
         import unicodedata
 
-        return values.map(lambda v: "".join(c for c in unicodedata.normalize("NFKD", v) if not unicodedata.combining(c)).lower())
+        return values.map(lambda v: v and "".join(c for c in unicodedata.normalize("NFKD", v) if not unicodedata.combining(c)).lower())
 
     return decompose(text)
 

@@ -117,4 +117,4 @@ def retry_after(value: Column, now: Column, most: int = 120) -> Column:
     seconds = F.trim(value).try_cast("double")
     date = F.try_to_timestamp(F.substring(F.trim(value), 6, 100), F.lit("dd MMM yyyy HH:mm:ss z"))
     wait = F.coalesce(seconds, (F.unix_micros(date) - F.unix_micros(now)) / 1e6)
-    return F.least(F.greatest(wait, F.lit(0.0)), F.lit(float(most)))
+    return F.when(wait.isNotNull(), F.least(F.greatest(wait, F.lit(0.0)), F.lit(float(most))))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,8 +81,6 @@ def archive_entries(files: DataFrame, path: str = "path", content: str = "conten
 
 def gunzip(content: Column, limit: int = 1 << 20) -> Column:
     """S09. Content behind a gzip signature, at most ``limit`` bytes of it (null beyond); other content unchanged."""
-    import pandas as pd
-
     @F.pandas_udf("binary")
     def inflate(values: pd.Series) -> pd.Series:
         import zlib

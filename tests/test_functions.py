@@ -111,3 +111,55 @@ def test_contract_requires_equal_captures(spark):
     rule = projection.Rule("r", {"url": r"/(?P<y>\d{4})/", "title": r"(?P<y>\d{4})"}, "serie {y}")
     df = spark.createDataFrame([("http://a/2020/", "x 2020"), ("http://a/2020/", "x 2021")], "url string, title string")
     assert [(r.contract_key, r.excluded) for r in projection.group_by_contract(df, [rule]).collect()] == [("serie-2020", False), (None, True)]
+
+
+def test_files(spark):
+    import gzip
+
+    from lodestrata.functions import api as A
+    from lodestrata.sources import files
+
+    df = spark.createDataFrame([(bytearray(gzip.compress(b"abc")),), (bytearray(b"plain"),), (None,), (bytearray(gzip.compress(b"x" * 99)),)], "c binary")
+    assert [bytes(r.v) if r.v is not None else None for r in df.select(files.gunzip(F.col("c"), 50).alias("v")).collect()] == [b"abc", b"plain", None, None]
+    logs = spark.createDataFrame([(bytearray("GET https://a/x -> 200".encode(e)),) for e in ("utf-8", "utf-8-sig", "utf-16-le", "utf-16")], "c binary").select(files.decode_log(F.col("c")).alias("d")).select("d.*")
+    assert {r.text for r in logs.collect()} == {"GET https://a/x -> 200"}
+    assert [(r.method, r.code) for r in files.request_trace(logs.select("text"), "text").collect()] == [("GET", 200)] * 4
+    nodes = spark.createDataFrame([(1, '{"a": {"resources": [{"u": 1}, 2]}}'), (2, "x"), (3, None)], "k int, body string")
+    assert [r.node for r in files.json_nodes(nodes, "k", "body", "resources").collect()] == ['{"u": 1}', "2"]
+    b = spark.createDataFrame([('{"b": 1, "a": "é"}', "json"), ('{"a": "é","b":1}', "json"), ("a\r\nb", "text"), ("a\nb", "text")], "b string, f string")
+    h = [r.h for r in b.select(A.page_hash(F.col("b"), F.col("f")).alias("h")).collect()]
+    assert h[0] == h[1] and h[2] == h[3] and h[0] != h[2]
+
+
+def test_configs_and_sinks(spark, tmp_path):
+    from lodestrata.sources import files, sinks
+
+    (tmp_path / "c.json").write_text('{"sources": {"a": {"entrypoint": "https://WWW.a.org/x", "seeds": ["https://b.org/", "https://WWW.a.org/x"], "allowed_hosts": ["C.org"]}}}')
+    c = files.source_configs(spark, str(tmp_path / "c.json"))
+    assert [(r.ord, r.url) for r in files.seed_urls(c).collect()] == [(0, "https://WWW.a.org/x"), (1, "https://b.org/")]
+    assert {r.host for r in files.scope_hosts(c).collect()} == {"www.a.org", "b.org", "c.org"}
+    r = spark.createDataFrame([("s", "k2", "u2", "p"), ("s", "k1", "u1", "p")], "source_id string, resource_key string, url string, discovered_from_url string")
+    docs = [sinks.snapshot_documents(r, ["source_id"], ["resource_key", "url"], f).first().document for f in ("map", "compact", "tree")]
+    assert docs[0].startswith('{"k1":') and docs[1].startswith('[{"resource_key":"k1"') and '"discovered_from_url":"p"' in docs[2]
+    sinks.write_partitions(r, str(tmp_path / "out"), ["source_id"])
+    sums = sinks.checksums(spark, str(tmp_path / "out")).where("path like '%.json'")
+    assert sinks.parse_checksums(sums.select(F.col("line").alias("value"))).where("n = 1").count() == sums.count() == 1
+    assert sinks.zip_package([("b", b"2"), ("a", b"1")]) == sinks.zip_package([("a", b"1"), ("b", b"2")])
+
+
+def test_stream_goes_on_from_its_checkpoint(spark, tmp_path):
+    from lodestrata.streaming.health import run_available
+
+    folder = tmp_path / "in"
+    e = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    half = e.selectExpr("percentile(unix_micros(cast(ts as timestamp)), 0.5) as m").first().m
+    early = F.unix_micros(F.col("ts").cast("timestamp")) <= half
+    e.where(early).write.parquet(str(folder))
+    run_available(spark, str(folder), str(tmp_path / "c"), str(tmp_path / "o"))
+    e.where(~early).write.mode("append").parquet(str(folder))
+    run_available(spark, str(folder), str(tmp_path / "c"), str(tmp_path / "o"))
+    got = {(r.source_id, r.run_id): (r.failures, r.health) for r in spark.read.parquet(str(tmp_path / "o")).collect()}
+    from lodestrata.plans.catalog import QUERIES
+
+    want = {(r.source_id, r.run_id): (r.failures, r.health) for r in QUERIES["health_state"](spark, "/root/testdata/sf0.001").collect()}
+    assert got == want
