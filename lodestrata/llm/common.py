@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -56,7 +57,15 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.frombuffer(data, np.uint8)[off[0] : off[-1]] if data is not None else np.zeros(0, np.uint8)), off - off[0]
 
 
-def by_bytes(batches: Iterable[pa.RecordBatch], column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def give_back() -> None:
+    """Return freed memory to the system, where the C library can: a worker that waits for its next task holds none."""
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass
+
+
+def by_bytes(batches: Iterable[pa.RecordBatch], column: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of about ``limit`` bytes of text; a longer text gets a slice of its own and is never cut."""
     for batch in batches:
         if not batch.num_rows:
@@ -67,6 +76,7 @@ def by_bytes(batches: Iterable[pa.RecordBatch], column: str, limit: int = 4 << 2
             end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + limit, side="right")))
             yield batch.slice(at, end - at)
             at = end
+        give_back()
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:

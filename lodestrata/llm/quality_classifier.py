@@ -13,7 +13,7 @@ from .common import SPACE, by_bytes, flat, mix, words
 HASH_BITS, RANK = 15, 8
 SAMPLE_ROWS = 6000  # bound on the labelled rows that the model is fitted on
 SIGNS = [b"!", b"$%&#*@^~", b"|", b".,;:", b"<>{}[]()=+_/\\", b"\"'`-?"]
-STATS = 18
+STATS = 19
 
 
 def _class_masks() -> np.ndarray:
@@ -44,6 +44,7 @@ def features(data: np.ndarray, off: np.ndarray, n_chars: np.ndarray) -> tuple[np
     size = np.diff(off)
     stat = np.zeros((rows, STATS))
     held = np.flatnonzero(size)
+    again = (codes[1:] == codes[:-1]) & (row[1:] == row[:-1])  # a word straight after itself
     if len(held):
         for k in range(len(MASKS)):
             stat[held, k] = np.add.reduceat(MASKS[k][data], off[:-1][held]) / size[held]
@@ -59,6 +60,7 @@ def features(data: np.ndarray, off: np.ndarray, n_chars: np.ndarray) -> tuple[np
     stat[:, 16] = np.bincount(row, length > 14, rows) / np.maximum(n_words, 1)
     if len(held):
         stat[held, 17] = np.add.reduceat((data == 10).astype(np.float64), off[:-1][held]) / np.maximum(n_words[held], 1)
+    stat[:, 18] = np.bincount(row[1:], again, rows) / np.maximum(n_words, 1) if len(row) else 0
     return owner, bucket, value, stat
 
 
