@@ -347,6 +347,26 @@ def test_repeated_passages(docs, texts, empty):
     assert repeated_passages(empty).count() == 0
 
 
+@pytest.mark.parametrize("sizes, apart", [((50, 50, 50), (25, 25)), ((45, 45), (25, 25)), ((50,) * 5, (20, 20)), ((50, 50, 50), (25, 12)), ((60, 60), (24, 0))])
+def test_passages_between_other_words(spark, sizes, apart):
+    rng = random.Random(8)
+    prose = lambda k: [f"w{rng.randrange(10**9)}" for _ in range(k)]
+    exact, texts, at = [prose(k) for k in sizes], {}, {}
+    for doc, gap in enumerate(apart, 1):
+        w = prose(7)
+        at[doc] = []
+        for e in exact:
+            at[doc].append(len(w))
+            w += e + prose(gap)
+        texts[doc] = w
+    got = repeated_passages(spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id long, text string")).collect()
+    cover = {x for r in got for x in range(r.start, r.end)}
+    for s, n in zip(at[2], sizes, strict=True):
+        assert set(range(s, s + n)) <= cover
+    for r in got:
+        assert (r.doc_id, r.source_doc_id) == (2, 1) and r.end - r.start >= 40 and r.matches >= 0.8 * (r.matches + r.edits)
+
+
 def test_chains_follow_both_texts():
     assert chains([0, 20, 40], [0, 22, 42], [15, 15, 15]) == [[0, 1, 2]]
     assert sorted(map(sorted, chains([0, 20], [50, 0], [15, 15]))) == [[0], [1]]
