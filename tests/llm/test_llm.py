@@ -367,6 +367,21 @@ def test_passages_between_other_words(spark, sizes, apart):
         assert (r.doc_id, r.source_doc_id) == (2, 1) and r.end - r.start >= 40 and r.matches >= 0.8 * (r.matches + r.edits)
 
 
+def test_passage_whose_halves_have_other_first_holders(spark):
+    rng = random.Random(9)
+    prose = lambda k: [f"w{rng.randrange(10**9)}" for _ in range(k)]
+    x, y, z = prose(30), prose(30), prose(45)
+    border = x[-8:] + y[:8]
+    texts = [x, y, border, prose(5) + x + y + prose(5), prose(9) + border, prose(3) + x + y + prose(9), x + prose(3), z, prose(20) + z + prose(20) + z, z + prose(50) + x[10:] + y[:20]]
+    rows = [(i, " ".join(w)) for i, w in enumerate(texts)]
+    got = repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    cover = {}
+    for r in got:
+        cover.setdefault(r.doc_id, set()).update(range(r.start, r.end))
+    assert set(range(3, 63)) <= cover[5] and 3 not in cover and 4 not in cover and 6 not in cover
+    assert set(range(20, 65)) | set(range(85, 130)) <= cover[8] and set(range(45)) | set(range(95, 135)) <= cover[9]
+
+
 def test_chains_follow_both_texts():
     assert chains([0, 20, 40], [0, 22, 42], [15, 15, 15]) == [[0, 1, 2]]
     assert sorted(map(sorted, chains([0, 20], [50, 0], [15, 15]))) == [[0], [1]]
