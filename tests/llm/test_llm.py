@@ -382,6 +382,20 @@ def test_passage_whose_halves_have_other_first_holders(spark):
     assert set(range(20, 65)) | set(range(85, 130)) <= cover[8] and set(range(45)) | set(range(95, 135)) <= cover[9]
 
 
+def test_changed_passages(spark):
+    rng = random.Random(10)
+    prose = lambda k: [f"w{rng.randrange(10**9)}" for _ in range(k)]
+    changed = lambda w, at: [f"c{rng.randrange(10**9)}" if k in at else x for k, x in enumerate(w)]
+    rows, places = [], [set(range(13, 49, 6)), *({i, j} for i in range(1, 39, 4) for j in range(i + 1, 39, 4))]
+    for k, at in enumerate(places):
+        w = prose(49 if k == 0 else 40)
+        rows += [(2 * k, " ".join(prose(5) + w + prose(5))), (2 * k + 1, " ".join(prose(9) + changed(w, at) + prose(9)))]
+    got = {r.doc_id: r for r in repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for k, at in enumerate(places):
+        r = got[2 * k + 1]
+        assert (r.start, r.end, r.source_doc_id, r.edits) == (9, 58 if k == 0 else 49, 2 * k, len(at))
+
+
 def test_chains_follow_both_texts():
     assert chains([0, 20, 40], [0, 22, 42], [15, 15, 15]) == [[0, 1, 2]]
     assert sorted(map(sorted, chains([0, 20], [50, 0], [15, 15]))) == [[0], [1]]
