@@ -35,7 +35,9 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98, tables: int = TABL
     returned once. An empty table gives no rows; other columns are ignored.
     """
     spark = vectors.sparkSession
-    rows = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("x"), "label").groupBy("vec_id").agg(F.min(F.struct("label", "x")).alias("r")).select("vec_id", "r.x", "r.label")
+    every = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("x"), "label")
+    rows = every.where("vec_id is not null").groupBy("vec_id").agg(F.min(F.struct("label", "x")).alias("r")).select("vec_id", "r.x", "r.label")
+    rows = rows.union(every.where("vec_id is null"))
     sound = F.forall("x", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & F.exists("x", lambda v: v != 0)
     rows = rows.withColumn("ok", F.coalesce(sound & F.col("label").isNotNull() & F.col("vec_id").isNotNull(), F.lit(False)))
     classes = materialize(rows.where("ok").groupBy("label", "x").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n")))

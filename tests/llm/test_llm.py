@@ -396,6 +396,12 @@ def test_changed_passages(spark):
         assert (r.start, r.end, r.source_doc_id, r.edits) == (9, 58 if k == 0 else 49, 2 * k, len(at))
 
 
+def test_vectors_without_an_id_stay_rows(spark):
+    rows = [(None, [1.0, 0.0], 1), (None, [1.0, 0.0], 1), (None, [0.0, 1.0], 2), (None, None, None), (3, [1.0, 0.0], 1), (4, [1.0, 0.0], 1)]
+    got = near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")).collect()
+    assert sorted((r.vec_id or 0, r.n_links, r.component_id or 0, r.kept) for r in got) == [(0, 0, 0, True)] * 4 + [(3, 1, 3, True), (4, 1, 3, False)]
+
+
 def test_chains_follow_both_texts():
     assert chains([0, 20, 40], [0, 22, 42], [15, 15, 15]) == [[0, 1, 2]]
     assert sorted(map(sorted, chains([0, 20], [50, 0], [15, 15]))) == [[0], [1]]
