@@ -24,6 +24,16 @@ SPACE[[9, 10, 11, 12, 13, 32]] = True
 _powers: dict[str, np.ndarray] = {}
 
 
+BATCH_BYTES = 4 << 20
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Let no Arrow batch that Spark hands to Python exceed BATCH_BYTES (but for a single longer row), whatever a row weighs."""
+    if spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(ARROW_BYTES)) > BATCH_BYTES:
+        spark.conf.set(ARROW_BYTES, str(BATCH_BYTES))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share: ``spark.checkpoint.dir``, or a local one where that is unset (tests)."""
     return (spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints").rstrip("/")
@@ -33,7 +43,19 @@ def materialize(df: DataFrame) -> DataFrame:
     """Write a table to the shared folder and read it back: cuts lineage, survives lost executors."""
     path = f"{shared_dir(df.sparkSession)}/lodestrata-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``materialize`` wrote, once all that reads them is written, and let Spark drop the shuffle files of
+    queries that are done (it does so when the driver's garbage is collected)."""
+    for t in tables:
+        spark = t.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(t.stored_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        spark._jvm.System.gc()
 
 
 def plan_bytes(df: DataFrame) -> int:

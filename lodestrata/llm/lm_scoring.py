@@ -280,7 +280,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     model.apm = ((seen[..., 1] + 20 * prior) / (seen.sum(axis=-1) + 20)).clip(1e-5, 1 - 1e-5).astype(np.float32)
     final = spark.sparkContext.broadcast(model)
 
-    texts = source.withColumn("part", part_column(F.col("doc_id"), parts)).groupBy("part")
+    texts = source.withColumn("part", F.coalesce(part_column(F.col("doc_id"), parts), F.pmod(F.xxhash64("text"), F.lit(parts)).cast("int"))).groupBy("part")
 
     def ask(t: pa.Table) -> pa.Table:
         part = t.column("part")[0].as_py()

@@ -21,6 +21,7 @@ RECORDS = [np.uint64, np.uint64, np.uint32, np.uint32, np.int64, np.uint32, np.u
 ASKS = [np.int64, np.uint32, np.uint8, np.uint8, np.uint64]
 SPANS = [np.int64, np.uint32, np.uint32]
 NAME = U((1 << 48) - 1)
+PRIME = (1 << 31) - 1
 HALF = U((1 << 24) - 1)
 HOLD = 1 << 21  # records that a task gathers before it deals them out
 
@@ -72,7 +73,8 @@ def merged(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndar
 
 
 def part_of(doc: np.ndarray, parts: int) -> np.ndarray:
-    return (mix(doc.astype(np.uint64) * U(0x9E3779B97F4A7C15)) % U(parts)).astype(np.int32)
+    """Part of each id: a step of the minimal standard generator, which Spark computes alike (``part_column``)."""
+    return (doc.astype(np.int64) % PRIME * 48271 % PRIME % parts).astype(np.int32)
 
 
 def least_in_group(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -165,7 +167,7 @@ def repeated_bytes(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
     ranked = source.where("doc_id is not null").where(F.octet_length("text") >= length).mapInArrow(sample, "bucket int, kind int, blob binary")
     ranked = materialize(ranked.groupBy("bucket").applyInArrow(rank, "part int, kind int, blob binary"))
 
-    by_part = source.withColumn("part", F.coalesce(part_column(F.col("doc_id"), parts), F.lit(0)))
+    by_part = source.withColumn("part", F.coalesce(part_column(F.col("doc_id"), parts), F.pmod(F.xxhash64("text"), F.lit(parts)).cast("int")))
     wide = 2 * length - K
     reads = [np.int64, np.uint32, np.uint8, np.uint8, np.uint64, f"V{wide}"]
 
@@ -235,15 +237,8 @@ def repeated_bytes(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
 
 
 def part_column(doc, parts: int):
-    """``part_of`` as a Spark expression over the same 64-bit arithmetic."""
-
-    @F.pandas_udf("int")
-    def part(ids):
-        import pandas as pd
-
-        return pd.Series(part_of(ids.fillna(0).to_numpy().astype(np.int64), parts))
-
-    return part(doc)
+    """``part_of`` as a Spark expression."""
+    return F.pmod(F.pmod(F.pmod(doc, F.lit(PRIME)) * 48271, F.lit(PRIME)), F.lit(parts)).cast("int")
 
 
 def op5_suffix_array_dedup(spark, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ from math import log10
 import numpy as np
 import pytest
 
-from lodestrata.llm import registry
+from lodestrata.llm import registry, substring_dedup
 from lodestrata.llm.decontamination import Items, banded_distance, contaminated, keep_uncontaminated
 from lodestrata.llm.embedding_dedup import near_vectors
 from lodestrata.llm.lm_scoring import score_texts
@@ -382,6 +382,35 @@ def test_passage_whose_halves_have_other_first_holders(spark):
     assert set(range(20, 65)) | set(range(85, 130)) <= cover[8] and set(range(45)) | set(range(95, 135)) <= cover[9]
 
 
+def test_passages_do_not_depend_on_the_layout(spark, monkeypatch):
+    rng = random.Random(12)
+    prose = lambda k: [f"w{rng.randrange(10**9)}" for _ in range(k)]
+    a, b, x = prose(34), prose(34), prose(60)
+    texts = {1: a + prose(9), 2: prose(4) + b, 3: a + b, 4: prose(7) + a + b, 5: a, 6: b + prose(3) + a + b}
+    texts |= {k: prose(k % 5) + x + prose(3) for k in range(10, 18)} | {100_000 * k: x + prose(k) for k in range(1, 5)}
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id long, text string")
+    layouts = [df.coalesce(1), df.repartitionByRange(2, "doc_id"), df.repartition(4)]
+    found = [sorted(map(tuple, repeated_passages(d).collect())) for d in layouts]
+    monkeypatch.setattr(substring_dedup, "HOT", 2)  # every repeated seed of a task's share goes by block of ids
+    found += [sorted(map(tuple, repeated_passages(d).collect())) for d in layouts]
+    assert all(f == found[0] for f in found)
+    cover = {}
+    for doc, start, end, src, *_ in found[0]:
+        cover.setdefault(doc, {}).setdefault(src, set()).update(range(start, end))
+    assert set(range(7, 75)) <= cover[4][3] and set(range(37, 105)) <= set().union(*cover[6].values())
+    assert {d: set(s) for d, s in cover.items() if 10 <= d < 18} == {k: {10, k - 1} for k in range(11, 18)}
+    assert all(set(range(60)) <= cover[100_000 * k][10] for k in range(1, 5))
+
+
+def test_repetitive_texts(spark):
+    line = "one two three four five six seven "
+    rows = [(1, line * 40), (2, "x " + line * 3000), (3, "ha " * 20000), (4, "ha " * 30000)]
+    cover = {}
+    for r in repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        cover.setdefault(r.doc_id, set()).update(range(r.start, r.end))
+    assert len(cover[2]) >= 7 * 3000 - 20 and len(cover[4]) >= 29_900 and set(cover) == {2, 4}
+
+
 def test_changed_passages(spark):
     rng = random.Random(10)
     prose = lambda k: [f"w{rng.randrange(10**9)}" for _ in range(k)]
