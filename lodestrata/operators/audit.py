@@ -5,17 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Signals in console logs.
-SIGNALS = {
-    "TIMEOUT": r"(?i)time[ds]?[ -]?out",
-    "HTTP_403": r"(?i)\b403\b|forbidden",
-    "HTTP_429": r"(?i)\b429\b|too many requests",
-    "ROBOTS": r"(?i)robots",
-    "TLS": r"(?i)ssl|tls|certificate",
-    "DNS": r"(?i)getaddrinfo|name or service not known|dns",
-}
-
-
 def overlay(base: DataFrame, patch: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """J03, J09. ``base`` with the patch's non-null columns laid over it; a key twice in the patch is an error of data
     and multiplies rows, so check it with ``unique_key`` first."""
@@ -48,58 +37,6 @@ def decision_table(conditions: list[tuple[Column, dict[str, object]]], default:
     return out
 
 
-def probe_status(resources: Column, codes: Column, timeout: Column) -> Column:
-    """What a probe found."""
-    has = lambda *c: F.exists(codes, lambda x: x.isin(*c))
-    return decision_table(
-        [
-            (resources > 0, {"status": "RESOURCES_FOUND", "action": "USE"}),
-            (has(403, 401), {"status": "BLOCKED", "action": "REVIEW_ACCESS"}),
-            (has(429), {"status": "RATE_LIMITED", "action": "RETRY_LATER"}),
-            (timeout, {"status": "TIMEOUT", "action": "RETRY_LATER"}),
-            (has(500, 502, 503, 504), {"status": "SERVER_ERROR", "action": "RETRY_LATER"}),
-            (has(404, 410), {"status": "NOT_FOUND", "action": "FIX_URL"}),
-            (has(200), {"status": "EMPTY", "action": "CHARACTERIZE"}),
-        ],
-        {"status": "UNREACHABLE", "action": "CHECK_NETWORK"},
-    )
-
-
-def output_class(executed: Column, resources: Column, records: Column, issues: Column) -> Column:
-    """Whether a source's output can be consumed."""
-    return decision_table(
-        [
-            (executed == "FAILED", {"class": "FAILED", "severity": 3, "blocks": True}),
-            (issues > 0, {"class": "INCONSISTENT", "severity": 3, "blocks": True}),
-            ((resources > 0) & (records > 0), {"class": "READY", "severity": 0, "blocks": False}),
-            (resources > 0, {"class": "RAW_READY", "severity": 1, "blocks": False}),
-        ],
-        {"class": "EMPTY_RESULT", "severity": 2, "blocks": False},
-    )
-
-
-def exception_class(message: Column) -> Column:
-    """C19, C24."""
-    m = F.lower(message)
-    return F.when(m.rlike("time[ds]?[ -]?out"), "TIMEOUT").when(m.rlike("ssl|tls|certificate"), "TLS").when(m.rlike("getaddrinfo|name or service|dns"), "DNS").when(m.rlike("refused|reset|connect"), "CONNECTION").when(m.rlike("robots"), "ROBOTS").when(m == "", "NONE").otherwise("OTHER")
-
-
-def api_url_class(url: Column) -> Column:
-    """X17."""
-    u = F.lower(url)
-    return F.when(u.rlike("/wp-json/"), "CMS_WORDPRESS").when(u.rlike("/jsonapi|/node/"), "CMS_DRUPAL").when(u.rlike("swagger|openapi|api-docs"), "DOC").when(u.rlike("data|dataset|serie|indicador|export|csv|json"), "POSSIBLE_DATA").otherwise("GENERIC")
-
-
-def error_signals(text: Column) -> Column:
-    """C15. Names of the signals in a text, in a fixed order."""
-    return F.filter(F.array(*[F.when(text.rlike(rx), F.lit(n)) for n, rx in SIGNALS.items()]), lambda x: x.isNotNull())
-
-
-def signal_counts(df: DataFrame, text: str) -> DataFrame:
-    """A22."""
-    return df.select(F.explode(error_signals(F.col(text))).alias("signal")).groupBy("signal").agg(F.count("*").alias("n"))
-
-
 def log_segments(lines: DataFrame, log: str, order: str, is_header: Column) -> DataFrame:
     """W09. Each line's segment: the number of headers up to it; lines before the first have segment 0."""
     return lines.withColumn("segment", F.sum(F.coalesce(is_header.cast("int"), F.lit(0))).over(Window.partitionBy(log).orderBy(order)))
@@ -138,7 +75,7 @@ def precedence(parts: list[DataFrame], key: str) -> DataFrame:
     for k, p in enumerate(parts):
         q = p.withColumn("tier", F.lit(k))
         every = q if every is None else every.unionByName(q)
-    return every.withColumn("__rn", F.row_number().over(Window.partitionBy(key).orderBy("tier"))).where("__rn = 1").drop("__rn")
+    return every.groupBy(key).agg(F.min_by(F.struct(*every.columns), "tier").alias("__r")).select("__r.*")
 
 
 def checks(row: DataFrame, named: dict[str, Column]) -> DataFrame:

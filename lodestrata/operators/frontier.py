@@ -15,7 +15,7 @@ def trap(url: Column, max_length: int = 2048, max_keys: int = 12) -> Column:
 
 def first_seen(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     """W13. The first row of each key in arrival order."""
-    return df.withColumn("__rn", F.row_number().over(Window.partitionBy(*key).orderBy(*order))).where("__rn = 1").drop("__rn")
+    return df.groupBy(*key).agg(F.min_by(F.struct(*df.columns), F.struct(*order)).alias("__r")).select("__r.*")
 
 
 def variant_number(df: DataFrame, family: Column, variant: Column, order: list[str], name: str) -> DataFrame:

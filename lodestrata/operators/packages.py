@@ -149,13 +149,14 @@ def report_table(df: DataFrame, limit: int = 1000) -> str:
 
 
 def audit_row(resources: DataFrame, legacy: DataFrame, states: DataFrame) -> DataFrame:
-    """Z18, Z58, Z69, Z71. Of each source: state, resources, valid records, and its output class with its reasons."""
-    from .audit import output_class
+    """Z18, Z58, Z69, Z71. Of each source: state, resources, valid records, and whether its output can be consumed."""
+    from .rules import output_class
 
     n = resources.groupBy("source_id").agg(F.count("*").alias("resources"), F.count_if(F.col("resource_type") == "api").alias("apis"))
     out = states.join(n, "source_id", "left").join(legacy, "source_id", "left").na.fill(0, ["resources", "apis", "valid", "invalid"])
-    d = output_class(F.col("state"), F.col("resources"), F.col("valid"), F.col("invalid"))
-    return out.withColumn("__d", d).select("source_id", "state", "resources", "apis", "valid", "invalid", F.col("__d.class").alias("classification"), F.col("__d.severity").alias("severity"))
+    no = F.lit(False)
+    d = output_class(no, F.col("state").isNotNull(), F.col("state"), no, F.col("resources"), F.col("valid"))
+    return out.select("source_id", "state", "resources", "apis", "valid", "invalid", d.alias("classification"))
 
 
 def observed_workflow(log: Column, aliases: dict[str, str] | None = None) -> Column:

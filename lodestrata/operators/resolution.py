@@ -93,20 +93,6 @@ def is_data_event(url: Column, content_type: Column) -> Column:
     return kind.rlike("json|csv|xml|spreadsheet") | (looks_like_data(url) & ~kind.rlike(HEAVY_TYPES))
 
 
-def event_category(url: Column, content_type: Column, entry: Column) -> Column:
-    """X18. ANALYTICS, STATIC, API, FILE, DOCUMENT, THIRD_PARTY or OTHER."""
-    kind = F.lower(F.coalesce(content_type, F.lit("")))
-    return (
-        F.when(F.lower(url).rlike("google-analytics|googletagmanager|doubleclick|hotjar|matomo"), "ANALYTICS")
-        .when(kind.rlike(HEAVY_TYPES) | F.lower(U.path(url)).rlike(r"\.(css|js|png|jpe?g|gif|svg|woff2?)$"), "STATIC")
-        .when(~U.same_site(url, entry), "THIRD_PARTY")
-        .when(kind.contains("json"), "API")
-        .when(U.is_resource(url), "FILE")
-        .when(kind.startswith("text/html"), "DOCUMENT")
-        .otherwise("OTHER")
-    )
-
-
 def package_ready(rows: DataFrame, expected: int, terminal: list[str]) -> DataFrame:
     """F78. One row: whether all expected sources are there and each has a terminal class."""
     return rows.agg(((F.count("*") == expected) & F.coalesce(F.bool_and(F.col("classification").isin(*terminal)), F.lit(False))).alias("ready"))
@@ -167,11 +153,10 @@ def first_success(stages: DataFrame, key: str, order: str, resources: str = "res
 
 
 def best_variant(variants: DataFrame, key: str, ranks: dict[str, int], order: str) -> DataFrame:
-    """W12, J21. The variant of the best status, the first on ties."""
+    """W12, J21. The variant of the best status (one that has no rank counts 1), the first on ties."""
     known = F.create_map(*[F.lit(x) for pair in ranks.items() for x in pair])
-    rank = F.coalesce(F.try_element_at(known, F.col("status")), F.lit(0))
-    w = Window.partitionBy(key).orderBy(rank.desc(), order)
-    return variants.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
+    rank = F.coalesce(F.try_element_at(known, F.col("status")), F.lit(1))
+    return variants.groupBy(key).agg(F.min_by(F.struct(*variants.columns), F.struct(-rank, F.col(order))).alias("__r")).select("__r.*")
 
 
 def host_variants(url: Column) -> Column:

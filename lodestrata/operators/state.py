@@ -82,7 +82,7 @@ def checkpoint_check(events: DataFrame, key: str, order: list[str], state: str)
 
 def latest(df: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
     """S14, S15, S17, Z20. The last row of each key under a total order."""
-    return df.withColumn("__rn", F.row_number().over(Window.partitionBy(*key).orderBy(*[c.desc() for c in order]))).where("__rn = 1").drop("__rn")
+    return df.groupBy(*key).agg(F.max_by(F.struct(*df.columns), F.struct(*order)).alias("__r")).select("__r.*")
 
 
 def recover(checkpoint: DataFrame) -> DataFrame:

@@ -11,22 +11,9 @@ from ..functions import text as T
 from ..functions import urls as U
 from ..operators import audit, catalog, frontier, projection, state
 from ..sources import files, sinks
+from .registry import QUERIES, SQL, query  # noqa: F401
 from .views import CANDIDATES, RESOURCES, RUNS, build_resources, candidates, decisions, resources, runs, table
 
-QUERIES: dict = {}
-SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def register(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            SQL[f.__name__] = sql
-        return f
-
-    return register
-
-
 _ORIGIN = "regexp_extract(url, '^([a-z]+://[^/?#]+)', 1)"
 _HOST = "regexp_extract(url, '^[a-z]+://([^/?#:]+)', 1)"
 _PATH = "regexp_extract(url, '^[a-z]+://[^/?#]+([^?#]*)', 1)"
@@ -337,12 +324,6 @@ def log_segmentation(spark, sf_dir):
     return c.select("conv_id", "turn", "segment", audit.last_match(F.col("text"), "([A-Za-z]+)").alias("last_word"))
 
 
-_LINE = "CASE event_type WHEN 'error' THEN 'request timed out (HTTP 403)' WHEN 'click' THEN 'robots.txt says 429' ELSE 'ok' END"
-
-
-@query(f"SELECT signal, count(*) AS n FROM (SELECT unnest(CASE event_type WHEN 'error' THEN ['TIMEOUT', 'HTTP_403'] WHEN 'click' THEN ['HTTP_429', 'ROBOTS'] ELSE [] END) AS signal FROM events) GROUP BY 1")
-def error_signals(spark, sf_dir):
-    return audit.signal_counts(table(spark, sf_dir, "events").withColumn("line", F.expr(_LINE)), "line")
 
 
 @query("SELECT o_custkey, o_orderkey, rn FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey) AS rn FROM orders) WHERE rn <= 3")
@@ -390,21 +371,6 @@ def checksum_comparison(spark, sf_dir):
     return catalog.checksum_audit(p.where("p_partkey % 13 <> 0"), actual)
 
 
-@query("""WITH e AS (SELECT user_id, count(*) FILTER (event_type = 'purchase') AS r, bool_or(event_type = 'error') AS e, bool_or(event_type = 'click') AS c FROM events GROUP BY 1)
-SELECT user_id, CASE WHEN r > 2 THEN 'RESOURCES_FOUND' WHEN e THEN 'BLOCKED' WHEN c THEN 'EMPTY' ELSE 'UNREACHABLE' END AS status, CASE WHEN r > 2 THEN 'USE' WHEN e THEN 'REVIEW_ACCESS' WHEN c THEN 'CHARACTERIZE' ELSE 'CHECK_NETWORK' END AS action FROM e""")
-def probe_decisions(spark, sf_dir):
-    e = table(spark, sf_dir, "events").groupBy("user_id").agg((F.greatest(F.count_if(F.col("event_type") == "purchase") - 2, F.lit(0))).alias("r"), F.collect_set(F.when(F.col("event_type") == "error", 403).when(F.col("event_type") == "click", 200)).alias("codes"))
-    return e.select("user_id", audit.probe_status(F.col("r"), F.col("codes"), F.lit(False)).alias("d")).select("user_id", "d.status", "d.action")
-
-
-@query("""WITH e AS (SELECT user_id, count(*) AS n, count(*) FILTER (event_type = 'purchase') AS p, count(*) FILTER (event_type = 'error') AS x FROM events GROUP BY 1)
-SELECT user_id, CASE WHEN x > 5 THEN 'FAILED' WHEN x > 3 THEN 'INCONSISTENT' WHEN p > 0 AND n > 0 THEN 'READY' ELSE 'RAW_READY' END AS class, (CASE WHEN x > 3 THEN 3 WHEN p > 0 THEN 0 ELSE 1 END)::INT AS severity, x > 3 AS blocks FROM e""")
-def output_classes(spark, sf_dir):
-    e = table(spark, sf_dir, "events").groupBy("user_id").agg(F.count("*").alias("n"), F.count_if(F.col("event_type") == "purchase").alias("p"), F.count_if(F.col("event_type") == "error").alias("x"))
-    d = audit.output_class(F.when(F.col("x") > 5, "FAILED").otherwise("DONE"), F.col("n"), F.col("p"), F.greatest(F.col("x") - 3, F.lit(0)))
-    return e.select("user_id", d.alias("d")).select("user_id", "d.*")
-
-
 @query("SELECT event_id, user_id, rn::INT AS request_no FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events) WHERE rn <= 5")
 def request_budget(spark, sf_dir):
     return state.within_budget(table(spark, sf_dir, "events"), "user_id", ["ts", "event_id"], 5).select("event_id", "user_id", "request_no")

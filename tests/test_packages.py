@@ -27,8 +27,8 @@ def test_packages(spark):
     assert tuple(P.package_totals(man, man).first()) == (True, True, 7)
     assert P.consumer_contract(man, man.limit(1)).first().contract == '{"sources":2,"records":7,"duplicate_groups":1,"ids":["l1","l2"]}'
     res = mk([("a", "api"), ("a", "file")], "source_id string, resource_type string")
-    rows = P.audit_row(res, mk([("a", 2, 0)], "source_id string, valid long, invalid long"), mk([("a", "DONE"), ("b", "DONE"), ("c", "FAILED")], "source_id string, state string")).collect()
-    assert sorted((r.source_id, r.classification) for r in rows) == [("a", "READY"), ("b", "EMPTY_RESULT"), ("c", "FAILED")]
+    rows = P.audit_row(res, mk([("a", 2, 0)], "source_id string, valid long, invalid long"), mk([("a", "SUCCESS"), ("b", "SUCCESS"), ("c", "FAILED")], "source_id string, state string")).collect()
+    assert sorted((r.source_id, r.classification) for r in rows) == [("a", "DATAX_READY"), ("b", "SUCCESS_EMPTY"), ("c", "EXECUTION_NOT_SUCCESS")]
     rep = mk([([("a", 1), ("b", 2)],)], "source_results array<struct<source_id:string,n:int>>")
     assert P.source_result(rep, F.lit("b")).first().result.n == 2
     assert P.report_table(man.orderBy("logical_source_id")).splitlines()[2] == "| l1 | 3 |"

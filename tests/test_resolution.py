@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestrata.operators import resolution as R
+from lodestrata.operators import rules
 
 
 def one(spark, column):
@@ -14,12 +15,12 @@ def test_scalars(spark):
         R.effective_title(F.lit(" "), F.lit("https://a.org/x/y.csv")).alias("a"), R.api_title(none, F.lit("get"), F.lit("https://a.org/v1/x?y")).alias("b"), R.description(none, F.lit(" "), F.lit("t"), F.lit("u")).alias("c"),
         R.method_label(F.lit("JavaScript")).alias("d"), R.redirect_allowed(F.lit("https://a.org/x"), F.array(F.lit("a.org"))).alias("e"), R.forbidden_methods(F.array(F.lit("get"), F.lit("post"))).alias("f"),
         R.form_confirmed(F.lit("https://a.org/form"), F.lit("<FORM>"), ["/form"]).alias("g"), R.is_data_event(F.lit("https://a.org/api/x"), F.lit("image/png")).alias("h"),
-        R.event_category(F.lit("https://a.org/x.csv"), F.lit(""), F.lit("https://www.a.org/")).alias("i"), R.host_variants(F.lit("http://www.a.org/p")).alias("j"),
+        rules.network_category(F.lit("https://a.org/x.csv"), F.lit(""), F.lit("https://www.a.org/")).alias("i"), R.host_variants(F.lit("http://www.a.org/p")).alias("j"),
         R.interesting_lines(F.lit("ok\nerror 1\nfine\nerror 2"), "error", 1).alias("k"), R.decode_body(F.unhex(F.lit("E9")), F.lit("text/html; charset=ISO-8859-1")).alias("l"),
         R.default_sitemap(F.lit("https://A.org/x")).alias("m"), R.identity_keys(F.lit("A/"), F.lit("a"), F.lit(" ")).alias("n"), R.probe_level(F.lit(0), F.lit(3)).alias("o"),
         R.headers(F.create_map(F.lit("A"), F.lit("1"), F.lit("B"), F.lit("2")), F.create_map(F.lit("a"), F.lit("3"))).alias("p"), F.date_format(R.utc(F.lit("2024-01-01T00:00:00Z")), "yyyy").alias("q"), R.utc(F.lit("x")).alias("r"),
     ).first()
-    assert (got.a, got.b, got.c, got.d, got.e, got.f, got.g, got.h, got.i) == ("y.csv", "API GET /v1/x", "t", "rendered_dom", True, ["POST"], True, False, "FILE")
+    assert (got.a, got.b, got.c, got.d, got.e, got.f, got.g, got.h, got.i) == ("y.csv", "API GET /v1/x", "t", "rendered_dom", True, ["POST"], True, False, "DATA_ENDPOINT")
     assert got.j == ["http://www.a.org/p", "https://a.org/p", "https://www.a.org/p", "http://a.org/p"] and got.k == "error 2" and got.l == "é"
     assert got.m == "https://a.org/sitemap.xml" and got.n == ["a"] and tuple(got.o) == (3, "L0") and got.p == {"a": "3", "b": "2"} and got.q == "2024" and got.r is None
 
