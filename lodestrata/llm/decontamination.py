@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, U, by_bytes, flat, powers, prefix_codes
+from .common import LOWER, U, bound_batches, by_bytes, flat, powers, prefix_codes
 
 Q = 8
 EDITS = 0.1  # edit budget as a share of the item's bytes
@@ -171,6 +171,7 @@ def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, q: int = Q, share
 def blocks_of(benchmark: DataFrame, q: int) -> list:
     """Broadcasts of the benchmark's items, at most about BLOCK_BYTES each; a repeated item_id counts once."""
     spark = benchmark.sparkSession
+    bound_batches(spark)
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("binary").alias("text")).where("item_id is not null").groupBy("item_id").agg(F.min("text").alias("text")).where(F.octet_length("text") >= q)
     total = items.agg(F.coalesce(F.sum(F.octet_length("text") + 64), F.lit(0))).first()[0]
     blocks = int(-(-total // BLOCK_BYTES)) or 1

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, U, by_bytes, deal, flat, materialize, mix, pack, part_count, unpack, unpack_all, words
+from .common import LOWER, U, bound_batches, by_bytes, deal, flat, materialize, mix, pack, part_count, unpack, unpack_all, words
 from .suffix_dedup import part_column
 
 BITS = 10
@@ -197,6 +197,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     asks for the counts of its own distinct tokens. The bit predictors are tables of fixed size.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     parts = part_count(docs)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     source = source.withColumn("held", F.coalesce(held_out("doc_id"), F.lit(False)))

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U, by_bytes, components, flat, forest, materialize, mix, words
+from .common import U, bound_batches, by_bytes, components, flat, forest, materialize, mix, words
 
 BANDS, DEPTH = 32, 5  # at similarity 0.8 a pair shares no band with probability (1 - 0.8^5)^32 < 4e-6
 STEP = 20  # MinHash values compared before each pruning decision
@@ -106,6 +106,7 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     smallest text. An empty table gives no rows; other columns are ignored.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     size = BANDS * DEPTH
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 

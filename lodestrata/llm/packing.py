@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, by_bytes, flat, materialize, words
+from .common import LOWER, bound_batches, by_bytes, flat, materialize, words
 
 WINDOW = 2048
 CACHE_WORDS = 1_500_000
@@ -230,6 +230,7 @@ def pieces_of(docs: DataFrame, tokenizer: str, window: int, end_id: int = 0, id_
             cols = list(zip(*rows, strict=True))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()), strict=True)], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
+    bound_batches(docs.sparkSession)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     return source.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long").withColumnRenamed("doc_id", id_col)
 

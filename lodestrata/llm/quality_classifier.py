@@ -8,7 +8,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, by_bytes, flat, mix, words
+from .common import SPACE, bound_batches, by_bytes, flat, mix, words
 
 HASH_BITS, RANK = 15, 8
 SAMPLE_ROWS = 6000  # bound on the labelled rows that the model is fitted on
@@ -135,6 +135,7 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> Machine:
     """Fit on at most ``sample_rows`` labelled rows outside the held-out fifth, taken in order of a hash of the id."""
+    bound_batches(docs.sparkSession)
     picked = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).select("doc_id", F.col("quality").cast("double").alias("quality")).groupBy("doc_id").agg(F.max("quality").alias("quality"))
     picked = picked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
 

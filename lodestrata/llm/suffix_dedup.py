@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U, by_bytes, deal, flat, materialize, mix, pack, part_count, powers, prefix_codes, span_codes, unpack_all
+from .common import U, bound_batches, by_bytes, deal, flat, materialize, mix, pack, part_count, powers, prefix_codes, span_codes, unpack_all
 
 K = 16
 RECORDS = [np.uint64, np.uint64, np.uint32, np.uint32, np.int64, np.uint32, np.uint8, np.uint8]
@@ -96,6 +96,7 @@ def repeated_bytes(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
     are one document and get the same removals. An empty table gives no rows; other columns are ignored.
     """
     parts = part_count(docs)
+    bound_batches(docs.sparkSession)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("text"))
     half = (length - K + 1) // 2
 
