@@ -13,26 +13,25 @@ Q = 8
 EDITS = 0.1  # edit budget as a share of the item's bytes
 BLOCK_BYTES = 8 << 20  # items that are held in memory at once; more of them take further passes
 FILTER_BITS = 24
+PAIRS = 1 << 19  # matches of q-grams that are counted at once
 
 
 class Items:
-    """A block of benchmark items: q-gram postings, edit budgets, diagonal bands."""
+    """Benchmark items of one q: q-gram postings, edit budgets, diagonal bands."""
 
     def __init__(self, items: list[tuple[int, bytes]], q: int, share: float):
         self.q, self.ids = q, np.array([i for i, _ in items], np.int64)
         self.text = [LOWER[np.frombuffer(t, np.uint8)].tobytes() for _, t in items]
         size = np.array([len(t) for t in self.text], np.int64)
-        # the lemma needs m - q + 1 - q * edits > 0 shared q-grams; a budget beyond that is cut back, so none is missed
-        self.edits = np.maximum(0, np.minimum((share * size).astype(np.int64), (size - q) // q))
+        self.edits = np.array([budget(len(t), share) for t in self.text], np.int64)
         self.need = size - q + 1 - q * self.edits
         self.band = 2 ** np.ceil(np.log2(self.edits + 2)).astype(np.int64)
         codes, item, pos = [], [], []
         for k, t in enumerate(self.text):
-            if len(t) >= q:
-                g = grams(np.frombuffer(t, np.uint8), q)
-                codes.append(g)
-                item.append(np.full(len(g), k))
-                pos.append(np.arange(len(g)))
+            g = grams(np.frombuffer(t, np.uint8), q)
+            codes.append(g)
+            item.append(np.full(len(g), k))
+            pos.append(np.arange(len(g)))
         codes = np.concatenate(codes) if codes else np.zeros(0, np.uint64)
         order = np.argsort(codes, kind="stable")
         self.item, self.pos = (np.concatenate(x)[order] if x else np.zeros(0, np.int64) for x in (item, pos))
@@ -43,6 +42,18 @@ class Items:
         self.longest = int(size.max(initial=0))
 
 
+def budget(size: int, share: float) -> int:
+    return int(share * size + 1e-9)
+
+
+def by_q(items: list[tuple[int, bytes]], q: int, share: float) -> list[Items]:
+    """Items by the largest q up to ``q`` for which the lemma holds with their whole budget: size - q + 1 - q * edits > 0."""
+    groups: dict[int, list[tuple[int, bytes]]] = {}
+    for i, t in items:
+        groups.setdefault(min(q, len(t) // (budget(len(t), share) + 1)), []).append((i, t))
+    return [Items(group, k, share) for k, group in sorted(groups.items()) if k > 0]
+
+
 def grams(data: np.ndarray, q: int) -> np.ndarray:
     prefix = prefix_codes(data)
     x = (prefix[q:] - prefix[:-q]) * powers(len(prefix))[1][: len(prefix) - q]
@@ -83,9 +94,13 @@ def banded_distance(item: bytes, text: bytes, edits: int, low: int, high: int) -
     return int(cost[best]), int(start[best]), int(best + low + len(a))
 
 
-def matches(data: np.ndarray, off: np.ndarray, items: Items) -> list[tuple[int, int, int, int, int]]:
+def matches(data: np.ndarray, off: np.ndarray, indexes: list[Items]) -> list[tuple[int, int, int, int, int]]:
     """(row, item, edits, start, end) of the best occurrence of each item within its budget in each row."""
-    q, rows, n_items = items.q, len(off) - 1, len(items.ids)
+    return [m for items in indexes for m in _matches(data, off, items)]
+
+
+def _matches(data: np.ndarray, off: np.ndarray, items: Items) -> list[tuple[int, int, int, int, int]]:
+    q, n_items = items.q, len(items.ids)
     if len(data) < q or not len(items.codes):
         return []
     text = LOWER[data]
@@ -98,49 +113,75 @@ def matches(data: np.ndarray, off: np.ndarray, items: Items) -> list[tuple[int,
     whole = at + q <= off[row + 1]
     at, spot, row = at[whole], spot[whole], row[whole]
     times = items.first[spot + 1] - items.first[spot]
-    place = np.repeat(items.first[spot] - (np.cumsum(times) - times), times) + np.arange(times.sum())
-    item, diag = items.item[place], np.repeat(at, times) - items.pos[place]
-    row = np.repeat(row, times)
-    diag = diag - off[row] + items.longest  # not negative
-    band = items.band[item]
-    bin_ = diag // band
-    lap = (diag % band < items.edits[item]) & (bin_ > 0)  # a region within the budget may straddle two bands
-    key = (row * n_items + item) * (int(bin_.max(initial=0)) + 1)
-    keys, count = np.unique(np.r_[key + bin_, key[lap] + bin_[lap] - 1], return_counts=True)
-    span = int(bin_.max(initial=0)) + 1
+    span = (int(np.diff(off).max(initial=0)) + items.longest) // int(items.band.min()) + 1
+    # a text of one repeated byte meets each position of such an item at each of its own: count so many pairs at once
+    keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    ends = np.cumsum(times)
+    begin = 0
+    while begin < len(at):
+        end = max(begin + 1, int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + PAIRS, side="right")))
+        own = times[begin:end]
+        place = np.repeat(items.first[spot[begin:end]] - (np.cumsum(own) - own), own) + np.arange(own.sum())
+        item = items.item[place]
+        diag = np.repeat(at[begin:end] - off[row[begin:end]], own) - items.pos[place] + items.longest  # not negative
+        band = items.band[item]
+        bin_ = diag // band
+        lap = (diag % band < items.edits[item]) & (bin_ > 0)  # a region within the budget may straddle two bands
+        key = (np.repeat(row[begin:end], own) * n_items + item) * span
+        k, c = np.unique(np.r_[key + bin_, key[lap] + bin_[lap] - 1], return_counts=True)
+        keys, inverse = np.unique(np.r_[keys, k], return_inverse=True)
+        counts = np.bincount(inverse, np.r_[counts, c], len(keys)).astype(np.int64)
+        begin = end
     item = (keys // span) % n_items
-    hot = count >= items.need[item]
+    hot = counts >= items.need[item]
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
-    for r, k, b in zip((keys // span // n_items)[hot], item[hot], (keys % span)[hot], strict=True):
+    letters = [np.bincount(np.frombuffer(t, np.uint8), minlength=256) for t in items.text]
+    judged: dict[tuple, tuple[int, int, int]] = {}  # repetitive texts show the same region again and again
+    for r, k, b in zip((keys // span // n_items)[hot].tolist(), item[hot].tolist(), (keys % span)[hot].tolist(), strict=True):
+        known = best.get((r, k))
+        if known and known[0] == 0:
+            continue  # bands ascend: a later occurrence is no better than an exact one
         m, e, size = len(items.text[k]), int(items.edits[k]), int(items.band[k])
-        low = int(b) * size - items.longest
+        low = b * size - items.longest
         high = low + size + e
         begin, end = max(0, low - e), min(int(off[r + 1] - off[r]), high + m + e)
         region = text[off[r] + begin : off[r] + end].tobytes()
         where = region.find(items.text[k])
-        found = (0, where, where + m) if where >= 0 else banded_distance(items.text[k], region, e, low - begin, high - begin)
+        if where >= 0:
+            found = (0, where, where + m)
+        elif np.maximum(letters[k] - np.bincount(np.frombuffer(region, np.uint8), minlength=256), 0).sum() > e:
+            continue  # too many of the item's letters are missing
+        else:
+            if len(judged) > 256:
+                judged.clear()
+            case = (k, region, low - begin, high - begin)
+            if case not in judged:
+                judged[case] = banded_distance(items.text[k], region, e, low - begin, high - begin)
+            found = judged[case]
         if found[0] <= e:
             found = (found[0], found[1] + begin, found[2] + begin)
-            if found < best.get((r, k), (m + 1, 0, 0)):
+            if not known or found < known:
                 best[r, k] = found
-    return [(int(r), int(items.ids[k]), *f) for (r, k), f in best.items()]
+    return [(r, int(items.ids[k]), *f) for (r, k), f in best.items()]
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, q: int = Q, share: float = EDITS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Occurrences of benchmark items in documents: id, item_id, edits, start, end (bytes of the text), the best of each
     (document, item), the first on ties.
 
-    An item occurs where some substring of the text is within ``share`` of its bytes in edits (A-Z as a-z). Items shorter
-    than q bytes (empty and null too) cannot be told from chance and never occur; for items whose budget would void the
-    lemma it is cut to the largest that does not. Benchmarks above 8 MB take one pass for each 8 MB. Null and empty
-    texts have no occurrences. Repeated rows give repeated results; null ids stay null. Other columns are ignored.
+    An item occurs where some substring of the text is within ``share`` of its bytes in edits (A-Z as a-z). Short items
+    are found by shorter q-grams, the longest for which the lemma holds with their whole budget, down to single bytes; so a
+    benchmark of one letter occurs in all texts that hold it. Empty and null items, and items with a null id, never occur.
+    Benchmarks above 8 MB take one pass for each 8 MB. A task counts at most PAIRS matches of q-grams at a time, however
+    repetitive text and item are. Null and empty texts have no occurrences. Repeated rows give repeated results; null ids
+    stay null; a repeated item_id is its smallest text. An empty table gives no rows. Other columns are ignored.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     out = None
-    for shared in blocks_of(benchmark, q):
+    for shared in blocks_of(benchmark):
 
         def run(batches, shared=shared):
-            index = Items(shared.value, q, share)
+            index = by_q(shared.value, q, share)
             for b in by_bytes(batches, "text"):
                 ids = b.column("doc_id")
                 rows = [(ids[r].as_py(), *rest) for r, *rest in matches(*flat(b.column("text")), index)]
@@ -155,10 +196,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, q: int = Q, share: float
 
 def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, q: int = Q, share: float = EDITS, text_col: str = "text") -> DataFrame:
     """The rows of docs, all columns, in which no benchmark item occurs; judged in place, without a join."""
-    for shared in blocks_of(benchmark, q):
+    for shared in blocks_of(benchmark):
 
         def run(batches, shared=shared):
-            index = Items(shared.value, q, share)
+            index = by_q(shared.value, q, share)
             for b in by_bytes(batches, text_col):
                 clean = np.ones(b.num_rows, bool)
                 clean[[r for r, *_ in matches(*flat(b.column(text_col)), index)]] = False
@@ -168,11 +209,11 @@ def keep_uncontaminated(docs: DataFrame, benchmark: DataFrame, q: int = Q, share
     return docs
 
 
-def blocks_of(benchmark: DataFrame, q: int) -> list:
+def blocks_of(benchmark: DataFrame) -> list:
     """Broadcasts of the benchmark's items, at most about BLOCK_BYTES each; a repeated item_id counts once."""
     spark = benchmark.sparkSession
     bound_batches(spark)
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("binary").alias("text")).where("item_id is not null").groupBy("item_id").agg(F.min("text").alias("text")).where(F.octet_length("text") >= q)
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("binary").alias("text")).where("item_id is not null").groupBy("item_id").agg(F.min("text").alias("text")).where(F.octet_length("text") > 0)
     total = items.agg(F.coalesce(F.sum(F.octet_length("text") + 64), F.lit(0))).first()[0]
     blocks = int(-(-total // BLOCK_BYTES)) or 1
     out = []

@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 
 from lodestrata.llm import registry, substring_dedup
-from lodestrata.llm.decontamination import Items, banded_distance, contaminated, keep_uncontaminated
+from lodestrata.llm.decontamination import banded_distance, by_q, contaminated, keep_uncontaminated, matches
 from lodestrata.llm.embedding_dedup import near_vectors
 from lodestrata.llm.lm_scoring import score_texts
 from lodestrata.llm.ngram_join import fewest_matches, jaccard_groups
@@ -318,11 +318,44 @@ def test_decontamination(spark, docs, texts, empty):
     bench = spark.createDataFrame([*items.items(), (8, "of"), (9, None), (None, "x" * 50), (10, "")], "item_id long, text string")
     d = spark.createDataFrame([(*r, "q") for r in rows], "doc_id long, text string, item_id string")
     got = {(r.doc_id, r.item_id): r for r in contaminated(d, bench).collect()}
-    assert set(got) == {(1, 0), (2, 1), (6, 3), (6, 4)} and got[1, 0].edits == 0 and got[1, 0].start == 7
+    with_of = {(i, 8) for i, t in rows if "of" in (t or "").lower()}  # a short item is looked for like any other
+    assert with_of and set(got) == {(1, 0), (2, 1), (6, 3), (6, 4)} | with_of and got[1, 0].edits == 0 and got[1, 0].start == 7
     assert got[2, 1].edits == edit_to_substring(items[1].encode(), rows[1][1].encode())
-    assert sorted(r.doc_id for r in keep_uncontaminated(d, bench).collect()) == [3, 4, 5, 7]
+    assert sorted(r.doc_id for r in keep_uncontaminated(d, bench.where("item_id is null or item_id <> 8")).collect()) == [3, 4, 5, 7]
     assert contaminated(docs, bench.limit(0)).count() == 0 and contaminated(empty, bench).count() == 0
-    assert Items([(1, b"abc")], 8, 0.1).codes.size == 0
+    assert [x.q for x in by_q([(1, b"abc"), (2, b""), (3, b"x" * 12), (4, b"x" * 100)], 8, 0.1)] == [3, 6, 8]
+
+
+def test_decontamination_by_brute_force():
+    rng = random.Random(21)
+    letters = lambda k, a="abcd ": "".join(rng.choice(a) for _ in range(k))
+    items = [letters(k).encode() for k in range(1, 42)] + [letters(k).encode() for k in (60, 75, 98, 150)] + [b"-" * 30, b"ab" * 12]
+    texts = [b"", b"a", b"-" * 500, b"ab" * 200 + b"x", *(letters(rng.randint(1, 400), "abcdefgh ").encode() for _ in range(25))]
+    for t in items[5:]:
+        w = list(t)
+        for _ in range(rng.randint(0, len(w) // 10 + 1)):  # some beyond the budget
+            at = rng.randrange(len(w))
+            w[at : at + rng.randint(0, 1)] = [ord(rng.choice("XYZ"))] * rng.randint(0, 1)
+        texts.append(letters(rng.randint(0, 30), "efgh").encode() + bytes(w) + letters(rng.randint(0, 30), "efgh").encode())
+    data, off = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+    got = {(r, i): (e, s, t) for r, i, e, s, t in matches(data, off, by_q(list(enumerate(items)), 8, 0.1))}
+    low = [t.lower() for t in texts]
+    want = {(r, i): d for r, t in enumerate(low) for i, x in enumerate(items) if (d := edit_to_substring(x.lower(), t)) <= len(x) // 10}
+    assert {k: v[0] for k, v in got.items()} == want and len(want) > 100 and 0 < sum(d > 0 for d in want.values())
+    for (r, i), (e, s, t) in got.items():
+        assert edit_to_substring(items[i].lower(), low[r][s:t]) == e
+
+
+def test_decontamination_of_repetitive_texts():
+    import tracemalloc
+
+    items = by_q([(1, b"-" * 200), (2, b"-" * 150 + b"the end" * 8), (3, b"ab" * 60)], 8, 0.1)
+    data = np.frombuffer(b"-" * 400_000, np.uint8)
+    tracemalloc.start()
+    got = matches(data, np.array([0, len(data)]), items)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [g[:4] for g in got] == [(0, 1, 0, 0)] and peak < 300 << 20
 
 
 def test_repeated_passages(docs, texts, empty):
