@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 import zlib
+from bisect import bisect_left, bisect_right
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +16,7 @@ from .common import LOWER, bound_batches, by_bytes, flat, materialize, words
 
 WINDOW = 2048
 CACHE_WORDS = 1_500_000
-NODES = 4000  # search nodes after which bin completion keeps its best solution
+FILLINGS = 20_000  # fillings looked at, after which bin completion keeps its best packing
 _encoders: dict[str, Encoder] = {}
 
 
@@ -141,75 +143,167 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[dict[int, int]
     return [g for groups in open_bins.values() for g in groups]
 
 
-def completions(room: int, sizes: np.ndarray, counts: dict[int, int], keep: int = 4) -> list[tuple[int, ...]]:
-    """Undominated fillings of ``room`` by at most three of the remaining sizes, least waste first.
-
-    A filling is dominated if a remaining size still fits beside it, or if two of its parts can be swapped for one
-    remaining size of their sum; ``sizes`` ascend."""
-    fit = sizes[sizes <= room]
-    if not len(fit):
-        return [()]
-    found = {(int(fit[-1]),)}
-
-    def pairs(space: int, fixed: tuple[int, ...]):
-        below = sizes[sizes <= space]
-        if not len(below):
-            return
-        partner = np.searchsorted(below, space - below, side="right") - 1
-        ok = partner >= 0
-        a, b = below[ok], below[partner[ok]]
-        order = np.argsort(space - a - b, kind="stable")[: 2 * keep]
-        for x, y in zip(a[order], b[order], strict=True):
-            found.add(tuple(sorted((*fixed, int(x), int(y)), reverse=True)))
-
-    pairs(room, ())
-    for c in fit[-1::-1][:24]:
-        pairs(room - int(c), (int(c),))
-    smallest = int(sizes[0])
-
-    def dominated(f: tuple[int, ...]) -> bool:
-        if any(f.count(x) > counts.get(x, 0) for x in f) or sum(f) > room:
+def lower_bound(counts: dict[int, int], capacity: int) -> int:
+    """Bins that every packing needs: by volume, by dual feasible functions that count a size as floor((k + 1) size / capacity)
+    kths of a bin, and by those that count sizes above capacity - t as full bins and drop those below t."""
+    each = np.zeros(capacity + 1, np.int64)
+    each[list(counts)] = list(counts.values())
+    size = np.arange(capacity + 1)
+    number, volume = np.r_[0, np.cumsum(each)], np.r_[0, np.cumsum(each * size)]
+    t = np.arange(1, capacity // 2 + 1)
+    whole = number[-1] - number[capacity - t + 1]
+    rest = volume[capacity - t + 1] - volume[t]
+    best = max(-(-int(volume[-1]) // capacity), int((whole - (-rest // capacity)).max(initial=0)))
+    return max(best, *(-(-int((each * (((k + 1) * size - 1).clip(0) // capacity)).sum()) // k) for k in range(1, 40)))
+
+
+def completions(room: int, counts: dict[int, int], budget: list[int]):
+    """Undominated fillings of ``room`` by remaining sizes, of any number of parts, least waste first, larger parts first. Each
+    filling looked at takes one of ``budget``.
+
+    Prefixes of the ascending sizes have their reachable sums as bits of one number, so the search for parts of a given sum
+    never fails. A filling is dominated if some of its parts can be exchanged for one remaining size of at least their sum
+    that still fits (no parts for any size that fits, too)."""
+    sizes = sorted(s for s, c in counts.items() if c and s <= room)
+    reach, mask = [1], (1 << room + 1) - 1
+    for s in sizes:
+        bits, left, step = reach[-1], min(counts[s], room // s), 1
+        while left:
+            n = min(step, left)
+            bits |= bits << n * s & mask
+            left, step = left - n, step * 2
+        reach.append(bits)
+
+    def parts(total: int, i: int):
+        if not total:
+            yield ()
+        for j in range(min(i, bisect_right(sizes, total)), 0, -1):
+            if not reach[j] >> total & 1:
+                return
+            s = sizes[j - 1]
+            for c in range(min(counts[s], total // s), 0, -1):
+                if reach[j - 1] >> total - c * s & 1:
+                    for f in parts(total - c * s, j - 1):
+                        yield (s,) * c + f
+
+    def dominated(filling: tuple[int, ...], waste: int) -> bool:
+        def fits(low: int, high: int) -> bool:
+            k = bisect_left(sizes, low)
+            while k < len(sizes) and sizes[k] <= high:
+                if counts[sizes[k]] > filling.count(sizes[k]):
+                    return True
+                k += 1
+            return False
+
+        if fits(1, waste):
             return True
-        merged = any(counts.get(f[i] + f[j], 0) for i in range(len(f)) for j in range(i))
-        spare = room - sum(f) >= smallest and counts.get(smallest, 0) > f.count(smallest) and len(f) < 3
-        return merged or spare
-
-    return sorted((f for f in found if not dominated(f)), key=lambda f: (room - sum(f), len(f), f))[:keep] or [(int(fit[-1]),)]
-
-
-def bin_completion(counts: dict[int, int], capacity: int, nodes: int = NODES) -> list[tuple[dict[int, int], int]]:
-    """Branch and bound around the largest remaining size. The incumbent is best fit; a branch ends when its waste
-    exceeds what one bin less would allow. Equal bins are filled together, so the work depends on the number of
-    distinct sizes, not of documents. Ends at the volume bound, or after ``nodes`` nodes with the best solution so far."""
+        sums = {(0, 0)}
+        for s in filling:
+            more = {(t + s, min(n + 1, 2)) for t, n in sums} - sums
+            if any(fits(t + (n < 2), t + waste) for t, n in more):  # of one part only a larger one is better
+                return True
+            sums |= more
+        return False
+
+    for waste in range(room + 1):
+        if reach[-1] >> room - waste & 1:
+            for f in parts(room - waste, len(sizes)):
+                if not budget[0]:
+                    return
+                budget[0] -= 1
+                if not dominated(f, waste):
+                    yield f
+
+
+def largest_first(room: int, counts: dict[int, int]) -> tuple[int, ...]:
+    """The filling of fewest parts: each as large as fits."""
+    out: list[int] = []
+    for s in sorted(counts, reverse=True):
+        n = min(counts[s], room // s)
+        out += [s] * n
+        room -= n * s
+    return tuple(out)
+
+
+def bin_completion(counts: dict[int, int], capacity: int, fillings: int = FILLINGS) -> list[tuple[dict[int, int], int]]:
+    """Branch and bound around the largest remaining size. The incumbent is best fit; a branch ends when its waste exceeds
+    what one bin less would allow. Equal bins are filled together, so the work depends on the number of distinct sizes, not of
+    documents.
+
+    Dives come first, which follow one filling at each node: the fewest and largest parts for the first k groups of bins, then
+    least waste (large documents that fill a bin badly whatever stands beside them go together, the others fill bins
+    exactly), for 33 values of k and the 16 around the best. Then a search that follows the best filling of each node, and
+    the best 4, 16, 64, ... in further rounds. It ends at the lower bound, when a round has left no filling out, or when
+    ``fillings`` fillings have been looked at (the problem is NP-hard), with the best packing so far."""
     counts = {s: c for s, c in counts.items() if c}
     best = best_fit(counts, capacity)
-    total = sum(s * c for s, c in counts.items())
-    bound = -(-total // capacity)
-    number = sum(m for _, m in best)
-    stack = [(counts, None, 0, 0)]
-    while stack and nodes and number > bound:
-        nodes -= 1
-        left, path, waste, bins = stack.pop()
-        if waste > (number - 1) * capacity - total:
-            continue
-        if not left:
-            groups, number = [], bins
-            while path:
-                groups.append(path[0])
-                path = path[1]
-            best = groups
-            continue
-        top = max(left)
-        rest = dict(left)
-        rest[top] -= 1
-        sizes = np.array(sorted(s for s, c in rest.items() if c), np.int64)
-        for filling in reversed(completions(capacity - top, sizes, rest) if len(sizes) else [()]):
-            whole: dict[int, int] = {}
-            for s in (top, *filling):
-                whole[s] = whole.get(s, 0) + 1
-            times = min(left[s] // k for s, k in whole.items())
-            after = {s: c - times * whole.get(s, 0) for s, c in left.items() if c - times * whole.get(s, 0)}
-            stack.append((after, ((whole, times), path), waste + times * (capacity - top - sum(filling)), bins + times))
+    total, bound = sum(s * c for s, c in counts.items()), lower_bound(counts, capacity)
+    number, budget = sum(m for _, m in best), [fillings]
+
+    def fill(left: dict[int, int], filling: tuple[int, ...]) -> tuple[dict[int, int], dict[int, int], int]:
+        """As many bins of one filling as the remaining documents allow: (the rest, the filling, bins)."""
+        whole: dict[int, int] = {}
+        for s in filling:
+            whole[s] = whole.get(s, 0) + 1
+        times = min(left[s] // k for s, k in whole.items())
+        return {s: c - times * whole.get(s, 0) for s, c in left.items() if c - times * whole.get(s, 0)}, whole, times
+
+    def dive(k: int) -> tuple[int, list, int]:
+        left, groups, waste, bins = counts, [], 0, 0
+        while left:
+            if waste > (number - 1) * capacity - total or not budget[0]:
+                return number, [], len(groups)
+            top = max(left)
+            rest = {s: c - (s == top) for s, c in left.items() if c > (s == top)}
+            found = largest_first(capacity - top, rest) if len(groups) < k else next(completions(capacity - top, rest, budget), None)
+            if found is None:
+                return number, [], len(groups)
+            left, whole, times = fill(left, (top, *found))
+            groups.append((whole, times))
+            bins, waste = bins + times, waste + times * (capacity - top - sum(found))
+        return bins, groups, len(groups)
+
+    def dives(tried: list[int]) -> int:
+        nonlocal best, number
+        at = 0
+        for k in tried:
+            if number <= bound:
+                break
+            bins, groups, _ = dive(k)
+            if groups and bins < number:
+                best, number, at = groups, bins, k
+        return at
+
+    if number > bound:
+        depth = len(best)
+        step = max(1, depth // 32)
+        at = dives(list(range(0, depth + 1, step)))
+        if step > 1:
+            dives(sorted({max(0, at + i * step // 8) for i in range(-8, 9)} - {at}))
+    width = 1
+    while budget[0] and number > bound:
+        stack, complete = [(counts, None, 0, 0)], True
+        while stack and budget[0] and number > bound:
+            left, path, waste, bins = stack.pop()
+            if waste > (number - 1) * capacity - total:
+                continue
+            if not left:
+                groups, number = [], bins
+                while path:
+                    groups.append(path[0])
+                    path = path[1]
+                best = groups
+                continue
+            top = max(left)
+            rest = {s: c - (s == top) for s, c in left.items() if c > (s == top)}
+            found = list(islice(completions(capacity - top, rest, budget), width + 1))
+            complete &= len(found) <= width and budget[0] > 0
+            for filling in reversed(found[:width]):
+                after, whole, times = fill(left, (top, *filling))
+                stack.append((after, ((whole, times), path), waste + times * (capacity - top - sum(filling)), bins + times))
+        if complete:
+            break
+        width *= 4
     return best
 
 

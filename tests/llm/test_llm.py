@@ -15,7 +15,7 @@ from lodestrata.llm.decontamination import banded_distance, by_q, contaminated,
 from lodestrata.llm.embedding_dedup import near_vectors
 from lodestrata.llm.lm_scoring import score_texts
 from lodestrata.llm.ngram_join import fewest_matches, jaccard_groups
-from lodestrata.llm.packing import Encoder, bin_completion, pack_sequences
+from lodestrata.llm.packing import Encoder, best_fit, bin_completion, completions, lower_bound, pack_sequences
 from lodestrata.llm.quality_classifier import keep_quality, score_quality
 from lodestrata.llm.sharding import shard_by_bytes
 from lodestrata.llm.substring_dedup import chains, repeated_passages, without_passages
@@ -259,6 +259,42 @@ def test_bin_completion_beats_or_equals_bounds():
     assert sum(m for _, m in groups) == 3
 
 
+def test_bin_completion_of_five_and_more_parts():
+    for seed in range(3):
+        rng = random.Random(seed)
+        sizes = dict(Counter(rng.randint(300, 400) for _ in range(400)))
+        groups = bin_completion(sizes, 2048)
+        assert sum((Counter({s: k * m for s, k in f.items()}) for f, m in groups), Counter()) == sizes
+        assert sum(m for _, m in groups) == lower_bound(sizes, 2048) < sum(m for _, m in best_fit(sizes, 2048))
+        sizes = dict(Counter(rng.randint(500, 900) for _ in range(200)))
+        assert lower_bound(sizes, 2048) <= sum(m for _, m in bin_completion(sizes, 2048)) < sum(m for _, m in best_fit(sizes, 2048))
+
+
+def test_fillings_against_all_subsets():
+    rng = random.Random(3)
+    for _ in range(60):
+        items = [rng.randint(2, 12) for _ in range(9)]
+        counts, room = dict(Counter(items)), rng.randint(6, 30)
+        every = {tuple(sorted((x for k, x in enumerate(items) if m >> k & 1), reverse=True)) for m in range(1 << len(items))}
+        every = {f for f in every if sum(f) <= room}
+        got = list(completions(room, counts, [10**6]))
+        assert len(set(got)) == len(got) and set(got) <= every and [sum(f) for f in got] == sorted((sum(f) for f in got), reverse=True)
+        assert sum(got[0]) == max(map(sum, every))
+
+        def covers(g, f):  # the parts of f fit into those of g, each part of g taken as a bin
+            return all(len(f) == 0 for f in [f]) or any(covers(g[:k] + (g[k] - f[0],) + g[k + 1 :], f[1:]) for k in range(len(g)) if g[k] >= f[0])
+
+        assert all(any(covers(g, f) for g in got) for f in every)
+
+
+def test_lower_bound_holds():
+    rng = random.Random(4)
+    for _ in range(200):
+        bins = [rng.sample(range(1, 30), rng.randint(1, 4)) for _ in range(rng.randint(1, 6))]
+        cap = max(max(map(sum, bins)), 30)
+        assert lower_bound(dict(Counter(x for b in bins for x in b)), cap) <= len(bins)
+
+
 def test_warc(spark, tmp_path):
     inner = "WARC/1.0\r\nWARC-Type: response\r\nContent-Length: 2\r\n\r\nhi\r\n\r\n"
     big = "<html>" + "ü" * 700 + "</html>"
