@@ -14,6 +14,7 @@ from .common import U, bound_batches, by_bytes, components, flat, forest, materi
 BANDS, DEPTH = 32, 5  # at similarity 0.8 a pair shares no band with probability (1 - 0.8^5)^32 < 4e-6
 STEP = 20  # MinHash values compared before each pruning decision
 BLOCK = 384
+CROWD = 1024  # classes in one band above which all of them are candidates of each other unseen
 
 
 def shingles(codes: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -54,6 +55,31 @@ def fewest_matches(n: int, threshold: float, tolerance: float) -> int:
     return n
 
 
+def likely_links(low: np.ndarray, group: np.ndarray, threshold: float, tolerance: float, at_once: int = 1 << 19) -> np.ndarray:
+    """Of rows (lowest bytes of MinHash values) sorted by group, the root of each row in a spanning forest of the pairs of one
+    group that the posterior does not rule out. A chance equality of the bytes only keeps a pair longer."""
+    n = len(group)
+    if not n:
+        return np.zeros(0, np.int64)
+    end = np.r_[np.flatnonzero(np.diff(group)) + 1, n]
+    later = np.repeat(end, np.diff(np.r_[0, end])) - np.arange(n) - 1  # rows of the group after each
+    sums, begin, us, vs = np.cumsum(later), 0, [], []
+    while begin < n:
+        stop = max(begin + 1, int(np.searchsorted(sums, (sums[begin - 1] if begin else 0) + at_once, side="right")))
+        own = later[begin:stop]
+        a = np.repeat(np.arange(begin, stop), own)
+        b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(own) - own, own)
+        equal = np.zeros(len(a), np.int64)
+        for at in range(0, low.shape[1], STEP):
+            equal += (low[a, at : at + STEP] == low[b, at : at + STEP]).sum(axis=1)
+            keep = equal >= fewest_matches(min(at + STEP, low.shape[1]), threshold, tolerance)
+            a, b, equal = a[keep], b[keep], equal[keep]
+        us.append(a)
+        vs.append(b)
+        begin = stop
+    return forest(n, np.concatenate(us), np.concatenate(vs))
+
+
 def similar_pairs(sig: np.ndarray, sets: list[np.ndarray], left: np.ndarray, right: np.ndarray, threshold: float, tolerance: float) -> tuple[np.ndarray, np.ndarray]:
     """Index pairs (one from left, one from right, a < b if they are the same block) of Jaccard similarity >= threshold."""
     same = left is right or np.array_equal(left, right)
@@ -96,10 +122,13 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     copies included), component_id (smallest id reachable by links), kept (id = component_id).
 
     Shingles are the distinct runs of ``n`` words (white-space words, A-Z as a-z; a shorter text has one shingle of all
-    its words). Equal texts are one class and always linked. Classes that share a band of MinHash values form candidate
-    groups; within a group, blocks of pairs are pruned by similarity of size, then value by value by posterior probability,
-    and the rest are verified by exact set intersection. No pair leaves its block: a block gives link counts and a
-    spanning forest. Candidate groups are cut into blocks of 384 classes, so one large group is many tasks.
+    its words). Equal texts are one class and always linked. Classes that share a band of MinHash values are compared value
+    by value (lowest bytes) until the posterior rules the pair out; what remains, as a spanning forest of each band, joins
+    classes to candidate groups, which hence are about the groups of true links and not all that share bands by chance.
+    Bands of more than CROWD classes join all of them. Within a group, blocks of pairs are pruned by similarity of size,
+    then by posterior on whole values, and the rest are verified by exact set intersection. No pair leaves its block: a
+    block gives link counts and a spanning forest. Groups are cut into blocks of 384 classes, so one large group is many
+    tasks.
 
     Null and empty texts, and texts of white space, have no shingles: they link with equal texts only (null counts as
     empty). Rows with a null id are dropped from linking and returned alone. A repeated id is one document with its
@@ -122,15 +151,32 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             some = np.zeros(b.num_rows, bool)
             some[row] = True
             lists = pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1, dtype=np.int32) * BANDS), pa.array(keys.ravel()))
-            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("digest"), pa.array(some), lists], ["id", "digest", "some", "keys"])
+            low = np.ascontiguousarray(sig.astype(np.uint8)).view(f"V{size}").ravel()
+            yield pa.RecordBatch.from_arrays([b.column("id"), b.column("digest"), pa.array(some), lists, pa.array([x.tobytes() for x in low], pa.binary())], ["id", "digest", "some", "keys", "low"])
 
-    signed = materialize(texts.withColumn("digest", F.unhex(F.md5(F.col("text").cast("binary")))).mapInArrow(bands, "id long, digest binary, some boolean, keys array<long>"))
+    signed = materialize(texts.withColumn("digest", F.unhex(F.md5(F.col("text").cast("binary")))).mapInArrow(bands, "id long, digest binary, some boolean, keys array<long>, low binary"))
     ids = signed.where("id is not null").groupBy("id").agg(F.min("digest").alias("digest"))
     classes = materialize(ids.groupBy("digest").agg(F.min("id").alias("rep"), F.count("*").alias("copies")))
-    met = signed.where("some").select(F.col("id").alias("rep"), "digest", "keys").join(classes, ["rep", "digest"], "left_semi").select("rep", F.explode("keys").alias("key")).distinct()
-    met = materialize(met)
-    least = met.groupBy("key").agg(F.min("rep").alias("low"), F.count("*").alias("k")).where("k > 1").select("key", "low")
-    groups = materialize(components(met.join(least, "key").select("rep", "low").where("rep <> low").distinct(), "rep", "low"))
+    chosen = signed.where("some").select(F.col("id").alias("rep"), "digest", "keys", "low").join(classes, ["rep", "digest"], "left_semi").dropDuplicates(["rep"])
+    chosen = materialize(chosen.select("rep", "keys", "low"))
+    met = chosen.select("rep", F.explode("keys").alias("key"))
+    bands_of = met.groupBy("key").agg(F.min("rep").alias("least"), F.count("*").alias("k")).where("k > 1")
+    shared = materialize(met.join(bands_of, "key"))
+    parts = max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    seen = shared.where(F.col("k") <= CROWD).groupBy("rep").agg(F.collect_list("key").alias("shared"))
+    seated = chosen.join(seen, "rep").select("rep", "low", F.explode("shared").alias("key")).withColumn("part", F.pmod(F.xxhash64("key"), F.lit(parts)).cast("int"))
+
+    def prune(table: pa.Table) -> pa.Table:
+        key, rep = table.column("key").to_numpy(), table.column("rep").to_numpy()
+        low = np.frombuffer(b"".join(table.column("low").to_pylist()), np.uint8).reshape(-1, size)
+        order = np.lexsort((rep, key))
+        root = likely_links(low[order], key[order], threshold, tolerance)
+        hit = np.flatnonzero(root != np.arange(len(root)))
+        return pa.table({"rep": rep[order[hit]], "low": rep[order[root[hit]]]})
+
+    pruned = seated.groupBy("part").applyInArrow(prune, "rep long, low long")
+    crowded = shared.where((F.col("k") > CROWD) & (F.col("rep") != F.col("least"))).select("rep", F.col("least").alias("low"))
+    groups = materialize(components(pruned.union(crowded).distinct(), "rep", "low"))
 
     def sign(batches):
         for b in by_bytes(batches, "text"):
@@ -148,13 +194,12 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 ["rep", "root", "size", "sig", "grams"],
             )
 
-    chosen = groups.join(classes, F.col("node") == F.col("rep")).select("rep", "digest", "root")
+    chosen = groups.join(classes, F.col("node") == F.col("rep")).select("rep", "digest", "root")  # classes with a candidate
     full = texts.withColumn("digest", F.unhex(F.md5(F.col("text").cast("binary")))).join(chosen.withColumnRenamed("rep", "r"), (F.col("id") == F.col("r")) & (texts["id"].isNotNull()) & (chosen["digest"] == F.unhex(F.md5(F.col("text").cast("binary")))))
     full = full.select(F.col("id").alias("rep"), "text", "root").dropDuplicates(["rep"]).mapInArrow(sign, "rep long, root long, size long, sig binary, grams binary")
     members = groups.groupBy("root").agg(F.count("*").alias("k")).withColumn("chunks", F.ceil(F.col("k") / BLOCK).cast("int"))
     seats = full.join(members.select("root", "chunks"), "root").withColumn("mine", F.pmod(F.xxhash64("rep"), "chunks").cast("int"))
     seats = seats.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    parts = max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
     seats = seats.select("root", "rep", "sig", "grams", "mine", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
     seats = seats.join(classes.select("rep", "copies"), "rep").withColumn("part", F.pmod(F.xxhash64("root", "i", "j"), F.lit(parts)).cast("int"))
 
