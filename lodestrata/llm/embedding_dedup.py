@@ -9,10 +9,17 @@ from pyspark.sql import functions as F
 
 from .common import U, components, forest, materialize, mix
 
-TABLES, BITS = 32, 18  # at cosine 0.98 a pair is missed with probability (1 - (1 - acos(.98)/pi)^18)^32 < 1e-5
+BITS = 18  # hyperplanes of a table, for up to 2^22 classes; one more for each doubling keeps buckets small
+MISS = 1e-5  # chance that a pair at the threshold shares no table
 BLOCK = 1024
 
 
+def tables_for(threshold: float, bits: int) -> int:
+    """Tables that keep the chance of missing a pair at ``threshold`` below MISS: (1 - (1 - acos(threshold) / pi)^bits)^tables."""
+    meet = (1 - np.arccos(threshold) / np.pi) ** bits
+    return int(np.ceil(np.log(MISS) / np.log1p(-meet)))
+
+
 def signatures(x: np.ndarray, tables: int, bits: int, seed: int) -> np.ndarray:
     """Sign patterns of the rows of x against ``tables`` x ``bits`` random hyperplanes."""
     planes = np.random.Generator(np.random.PCG64([seed, x.shape[1]])).standard_normal((x.shape[1], tables * bits))
@@ -20,16 +27,22 @@ def signatures(x: np.ndarray, tables: int, bits: int, seed: int) -> np.ndarray:
     return (signs * (1 << np.arange(bits))).sum(axis=2).astype(np.uint64)
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows over their largest component, so that no square of very small or large ones vanishes or overflows."""
+    return x / np.abs(x).max(axis=1, keepdims=True)
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     return np.asarray(column.flatten().to_numpy(zero_copy_only=False), np.float64).reshape(len(column), -1)
 
 
-def near_vectors(vectors: DataFrame, threshold: float = 0.98, tables: int = TABLES, bits: int = BITS, seed: int = 5) -> DataFrame:
+def near_vectors(vectors: DataFrame, threshold: float = 0.98, bits: int | None = None, seed: int = 5) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id, kept, class_id.
 
     Equal vectors of a label are one class. Classes that share a sign pattern in some table are compared block by block
     by exact cosine in double precision; a pair counts in the first table where it meets, so no pair is ever emitted.
-    Buckets above 1024 classes are split into pairs of chunks. Vectors link only within equal, non-null labels and
+    Buckets above 1024 classes are split into pairs of chunks; hyperplanes grow with the logarithm of the classes, and tables
+    with them. Vectors link only within equal, non-null labels and
     equal lengths. Vectors that are null, empty, zero, or hold null or non-finite components link with nothing, copies
     included; so do rows with a null id. A repeated id is one vector: its smallest row by value counts, and it is
     returned once. An empty table gives no rows; other columns are ignored.
@@ -42,38 +55,45 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98, tables: int = TABL
     rows = rows.withColumn("ok", F.coalesce(sound & F.col("label").isNotNull() & F.col("vec_id").isNotNull(), F.lit(False)))
     classes = materialize(rows.where("ok").groupBy("label", "x").agg(F.min("vec_id").alias("rep"), F.count("*").alias("n")))
 
+    n = classes.count()
+    bits = bits or min(30, max(BITS, BITS + int(np.ceil(np.log2(max(n, 1)))) - 22))
+    tables = tables_for(threshold, bits)
+
     def sign(batches):
         for b in batches:
             x = b.column("x").to_numpy(zero_copy_only=False)
             sizes = np.array([len(v) for v in x], np.int64)
             for d in np.unique(sizes):
                 at = np.flatnonzero(sizes == d)
-                s = signatures(np.stack([np.asarray(x[i], np.float64) for i in at]), tables, bits, seed)
+                s = signatures(scaled(np.stack([np.asarray(x[i], np.float64) for i in at])), tables, bits, seed)
                 label = np.asarray(b.column("label").to_numpy(zero_copy_only=False))[at].astype(np.int64).astype(np.uint64)
-                keys = mix(mix(label[:, None] * U(0x9E3779B97F4A7C15) + U(d)) + (s << U(8)) + np.arange(tables, dtype=np.uint64)[None, :])
-                rep = np.asarray(b.column("rep").to_numpy(zero_copy_only=False))[at]
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64).ravel()), pa.array(np.tile(np.arange(tables, dtype=np.int32), len(at))), pa.array(np.repeat(rep, tables))], ["key", "t", "rep"])
+                keys = mix(mix(label[:, None] * U(0x9E3779B97F4A7C15) + U(d)) + (s << U(8)) + np.arange(tables, dtype=np.uint64)[None, :]).view(np.int64)
+                lists = pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1, dtype=np.int32) * tables), pa.array(keys.ravel()))
+                rest = b.select(["rep", "n", "x"]).take(pa.array(at))
+                yield pa.RecordBatch.from_arrays([*rest.columns, lists, pa.array([r.tobytes() for r in s.astype(np.uint32)], pa.binary())], ["rep", "n", "x", "keys", "sig"])
 
-    met = materialize(classes.mapInArrow(sign, "key long, t int, rep long"))
+    signed = materialize(classes.mapInArrow(sign, "rep long, n long, x array<double>, keys array<long>, sig binary"))
+    met = signed.select("rep", F.posexplode("keys").alias("t", "key"))
     crowded = met.groupBy("key", "t").agg(F.count("*").alias("k")).where("k > 1")
     seats = met.join(crowded, ["key", "t"]).withColumn("chunks", F.ceil(F.col("k") / BLOCK).cast("int"))
     seats = seats.withColumn("mine", F.pmod(F.xxhash64("rep"), "chunks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     seats = seats.select("key", "t", "rep", "mine", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
     parts = max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    seated = seats.join(classes, "rep").withColumn("part", F.pmod(F.xxhash64("key", "i", "j"), F.lit(parts)).cast("int"))
+    seated = seats.join(signed.drop("keys"), "rep").withColumn("part", F.pmod(F.xxhash64("key", "i", "j"), F.lit(parts)).cast("int"))
 
     def compare(table: pa.Table) -> pa.Table:
         us, vs, ns = [], [], []
         frame = {c: table.column(c).to_numpy() for c in ("key", "t", "rep", "mine", "i", "j", "n")}
         xs = table.column("x").to_pandas().to_numpy()
+        sigs = np.frombuffer(b"".join(table.column("sig").to_pylist()), np.uint32).reshape(-1, tables)
         order = np.lexsort((frame["rep"], frame["j"], frame["i"], frame["t"], frame["key"]))
         frame = {c: v[order] for c, v in frame.items()}
-        xs = xs[order]
+        xs, sigs = xs[order], sigs[order]
         cuts = np.flatnonzero(np.any([np.diff(frame[c]) != 0 for c in ("key", "t", "i", "j")], axis=0)) + 1
         for run in np.split(np.arange(len(order)), cuts):
             if len(run) < 2:
                 continue
-            x = np.stack(xs[run])
+            x = scaled(np.stack(xs[run]))
             norm = np.sqrt((x * x).sum(axis=1))
             near = (x @ x.T) / norm[:, None] / norm[None, :] >= threshold
             i, j, mine = frame["i"][run[0]], frame["j"][run[0]], frame["mine"][run]
@@ -83,8 +103,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98, tables: int = TABL
             a, b = np.nonzero(near)
             if not len(a):
                 continue
-            s = signatures(x, tables, bits, seed)
-            t = int(frame["t"][run[0]])
+            s, t = sigs[run], int(frame["t"][run[0]])
             if t:  # a pair that met in an earlier table was counted there
                 fresh = np.ones(len(a), bool)
                 for k in range(t):
@@ -101,7 +120,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98, tables: int = TABL
         cat = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int64)
         return pa.table({"u": cat(us), "v": cat(vs), "n": cat(ns)})
 
-    found = materialize(seated.select("part", "key", "t", "rep", "mine", "i", "j", "n", "x").groupBy("part").applyInArrow(compare, "u long, v long, n long"))
+    found = materialize(seated.select("part", "key", "t", "rep", "mine", "i", "j", "n", "x", "sig").groupBy("part").applyInArrow(compare, "u long, v long, n long"))
     counts = found.groupBy("u").agg(F.sum("n").alias("outer_links"))
     groups = components(found, "u", "v")
     per_class = (

@@ -117,6 +117,13 @@ def test_embeddings(spark):
     assert near_vectors(df.limit(0)).count() == 0
 
 
+def test_embeddings_of_very_small_and_large_components(spark):
+    v = [float(x) for x in range(1, 9)]
+    rows = [(1, v, 1), (2, [x * 1e-170 for x in v], 1), (3, [x * 1e170 for x in v], 1), (4, [-x for x in v], 1), (5, [x * 1e-300 for x in v[::-1]], 1)]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    assert got == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (0, 4), 5: (0, 5)}
+
+
 def test_language_model(docs, texts, empty):
     split = {i: [w.encode() for w in words_of(t)] + [b"\n"] for i, t in texts.items()}
     held = {i: zlib.crc32(str(i).encode()) % 5 == 1 for i in texts}
