@@ -15,17 +15,38 @@ def overlay(base: DataFrame, patch: DataFrame, key: str, columns: list[str]) ->
     return out.drop(*[f"__p_{c}" for c in columns])
 
 
-def tiered_match(left: DataFrame, right: DataFrame, left_id: str, right_id: str, tiers: list[tuple[str, str]]) -> DataFrame:
-    """J06, J07. Match by the first tier in which a row has exactly one partner. A tier names the columns to compare,
-    arrays or scalars; each becomes one equi-join on exploded keys. Returns left_id, right_id, tier (null: none)."""
+def _keys(df: DataFrame, i: str, c: str) -> DataFrame:
+    """(__id, __k): a row's distinct keys, from an array or a scalar column; null keys match nothing."""
+    many = F.array_distinct(F.col(c)) if df.schema[c].dataType.typeName() == "array" else F.array(c)
+    return df.select(F.col(i).alias("__id"), F.explode(many).alias("__k")).where("__k is not null")
+
+
+def tiered_match(left: DataFrame, right: DataFrame, left_id: str, right_id: str, tiers: list[tuple[str, str, str | None]]) -> DataFrame:
+    """J06. Match by the first tier in which a row has any partner. A tier names the columns to compare (arrays or scalars),
+    and a column of the left by which several partners are narrowed to one. Returns left_id, right_id, tier, outcome: OK,
+    AMBIGUOUS (several partners, none or several after narrowing) or MISSING.
+
+    The right side is reduced to the smallest and largest id of each key before it is joined: a row has one partner if
+    these agree over all its keys, so a key that many rows share expands no pairs."""
     found = None
-    for k, (a, b) in enumerate(tiers, 1):
-        keys = lambda df, i, c: df.select(F.col(i).alias("__id"), F.explode(F.array_distinct(F.col(c)) if df.schema[c].dataType.typeName() == "array" else F.array(c)).alias("__k")).where("__k is not null")
-        hits = keys(left, left_id, a).withColumnRenamed("__id", "__l").join(keys(right, right_id, b).withColumnRenamed("__id", "__r"), "__k").select("__l", "__r").distinct()
-        one = hits.groupBy("__l").agg(F.count("*").alias("n"), F.min("__r").alias("__r")).where("n = 1").select("__l", "__r", F.lit(k).alias("__t"))
-        found = one if found is None else found.union(one)
-    best = found.groupBy("__l").agg(F.min(F.struct("__t", "__r")).alias("m"))
-    return left.select(left_id).join(best, F.col(left_id) == F.col("__l"), "left").select(left_id, F.col("m.__r").alias(right_id), F.col("m.__t").alias("tier"))
+    for k, (a, b, narrow) in enumerate(tiers, 1):
+        held = _keys(right, right_id, b).groupBy("__k").agg(F.min("__id").alias("__lo"), F.max("__id").alias("__hi"))
+        reach = lambda c: _keys(left, left_id, c).join(held, "__k").groupBy("__id").agg(F.min("__lo").alias("__lo"), F.max("__hi").alias("__hi"))  # noqa: B023, E731
+        hits = reach(a).select("__id", F.lit(k).alias("__t"), F.when(F.col("__lo") == F.col("__hi"), F.col("__lo")).alias("__r"))
+        if narrow:
+            exact = reach(narrow).where("__lo = __hi").select("__id", F.col("__lo").alias("__x"))
+            hits = hits.join(exact, "__id", "left").select("__id", "__t", F.coalesce("__r", "__x").alias("__r"))
+        found = hits if found is None else found.union(hits)
+    best = found.groupBy("__id").agg(F.min_by(F.struct("__t", "__r"), "__t").alias("m"))
+    out = left.select(left_id).join(best, F.col(left_id) == F.col("__id"), "left")
+    outcome = F.when(F.col("m").isNull(), "MISSING").when(F.col("m.__r").isNull(), "AMBIGUOUS").otherwise("OK")
+    return out.select(left_id, F.col("m.__r").alias(right_id), F.col("m.__t").alias("tier"), outcome.alias("outcome"))
+
+
+def overlap_matches(left: DataFrame, right: DataFrame, left_id: str, right_id: str, left_keys: str, right_keys: str) -> DataFrame:
+    """J07. All pairs that share a key, with the sorted keys that they share; as many rows as there are pairs."""
+    pairs = _keys(left, left_id, left_keys).withColumnRenamed("__id", left_id).join(_keys(right, right_id, right_keys).withColumnRenamed("__id", right_id), "__k")
+    return pairs.groupBy(left_id, right_id).agg(F.sort_array(F.collect_set("__k")).alias("overlap"))
 
 
 def decision_table(conditions: list[tuple[Column, dict[str, object]]], default: dict[str, object]) -> Column:

@@ -22,8 +22,9 @@ def snapshot_diff(current: DataFrame, previous: DataFrame, keys: tuple[str, ...]
 
 
 def resources_hash(resources: DataFrame, by: list[str], key: str = "resource_key", evidence: str = "evidence") -> DataFrame:
-    """A03. Hash of each snapshot's sorted ``key|evidence`` signatures, and their number."""
-    sig = F.concat_ws("|", key, evidence)
+    """A03. Hash of each snapshot's sorted signatures, ``key|evidence`` or the key alone without evidence, and their number.
+    A snapshot's signatures meet in one row, as the hash of their whole requires: 100 bytes a resource."""
+    sig = F.concat_ws("|", key, F.nullif(F.col(evidence), F.lit("")))
     return resources.groupBy(*by).agg(F.sha2(F.array_join(F.array_sort(F.collect_list(sig)), "|"), 256).alias("resources_hash"), F.count("*").alias("total_resources"))
 
 

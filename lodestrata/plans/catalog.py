@@ -12,7 +12,7 @@ from ..functions import urls as U
 from ..operators import audit, catalog, frontier, projection, state
 from ..sources import files, sinks
 from .registry import QUERIES, SQL, query  # noqa: F401
-from .views import CANDIDATES, RESOURCES, RUNS, build_resources, candidates, decisions, resources, runs, table
+from .views import CANDIDATES, RESOURCES, RUNS, build_resources, candidates, decisions, resources, runs, shared_path, table
 
 _ORIGIN = "regexp_extract(url, '^([a-z]+://[^/?#]+)', 1)"
 _HOST = "regexp_extract(url, '^[a-z]+://([^/?#:]+)', 1)"
@@ -182,7 +182,7 @@ def snapshot_diff(spark, sf_dir):
     return catalog.snapshot_diff(*_snapshots(spark, sf_dir))
 
 
-@query(f"SELECT source_id, sha256(string_agg(s, '|' ORDER BY s)) AS resources_hash, count(*) AS total_resources FROM (SELECT source_id, resource_key || '|etag:' || etag || CASE WHEN k % 7 = 0 THEN 'b' ELSE '' END AS s FROM ({RESOURCES}) WHERE k % 10 <> 1) GROUP BY 1")
+@query(f"SELECT source_id, sha256(string_agg(s, '|' ORDER BY s)) AS resources_hash, count(*) AS total_resources FROM (SELECT source_id, concat_ws('|', resource_key, nullif(CASE WHEN etag = '' THEN '' ELSE 'etag:' || etag END || CASE WHEN k % 7 = 0 THEN 'b' ELSE '' END, '')) AS s FROM ({RESOURCES}) WHERE k % 10 <> 1) GROUP BY 1")
 def snapshot_hash(spark, sf_dir):
     return catalog.resources_hash(_snapshots(spark, sf_dir)[0], ["source_id"])
 
@@ -217,7 +217,7 @@ def streaming_health(spark, sf_dir):
 
     from ..streaming import health as stream
 
-    base = f"{(spark.conf.get('spark.checkpoint.dir', None) or '/tmp/checkpoints').rstrip('/')}/stream-{uuid.uuid4().hex}"
+    base = shared_path(spark, f"stream-{uuid.uuid4().hex}")
     stream.run_available(spark, f"{sf_dir}/events.parquet", f"{base}/state", f"{base}/out")
     return spark.read.parquet(f"{base}/out").select("source_id", "run_id", "failures", "health")
 
@@ -280,15 +280,30 @@ def plan_overlay_left_join(spark, sf_dir):
     return audit.multi_histogram(merged, ["n_name", "segment"])
 
 
-@query("""WITH s AS (SELECT s_suppkey, s_suppkey % 150 AS key, s_nationkey AS nation FROM supplier), c AS (SELECT c_custkey, c_custkey AS key, c_nationkey AS nation FROM customer WHERE c_custkey % 20 = 0),
-t1 AS (SELECT s_suppkey, min(c_custkey) AS c, 1 AS t FROM s JOIN c ON s.key = c.key GROUP BY 1 HAVING count(*) = 1),
-t2 AS (SELECT s_suppkey, min(c_custkey) AS c, 2 AS t FROM s JOIN c ON s.nation = c.nation GROUP BY 1 HAVING count(*) = 1),
-b AS (SELECT s_suppkey, arg_min(c, t) AS c, min(t) AS t FROM (SELECT * FROM t1 UNION ALL SELECT * FROM t2) GROUP BY 1)
-SELECT s.s_suppkey, b.c AS c_custkey, b.t AS tier FROM s LEFT JOIN b USING (s_suppkey)""")
+_SIDES = """s AS (SELECT s_suppkey, 'n' || (s_suppkey % 8) AS own, ['n' || (s_suppkey % 8), 'c' || (s_suppkey * 7 % 90)] AS names, s_nationkey AS site FROM supplier),
+c AS (SELECT c_custkey, ['c' || c_custkey, CASE WHEN c_custkey % 50 = 0 THEN 'n' || (c_custkey // 50 % 6) END] AS names, c_nationkey AS site FROM customer)"""
+
+
+def _sides(spark, sf_dir):
+    name = lambda tag, c: F.concat(F.lit(tag), c.cast("string"))
+    k, c = F.col("s_suppkey"), F.col("c_custkey")
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", name("n", k % 8).alias("own"), F.array(name("n", k % 8), name("c", k * 7 % 90)).alias("names"), F.col("s_nationkey").alias("site"))
+    return s, table(spark, sf_dir, "customer").select("c_custkey", F.array(name("c", c), F.when(c % 50 == 0, name("n", F.floor(c / 50) % 6))).alias("names"), F.col("c_nationkey").alias("site"))
+
+
+@query(f"""WITH {_SIDES}, p1 AS (SELECT s_suppkey, c_custkey, list_contains(c.names, own) AS exact FROM s JOIN c ON list_has_any(s.names, list_filter(c.names, lambda x: x IS NOT NULL))),
+t1 AS (SELECT s_suppkey, count(*) AS n, min(c_custkey) AS c, count(*) FILTER (exact) AS xn, min(c_custkey) FILTER (exact) AS xc FROM p1 GROUP BY 1), t2 AS (SELECT s_suppkey, count(*) AS n, min(c_custkey) AS c FROM s JOIN c ON s.site = c.site GROUP BY 1)
+SELECT s.s_suppkey, CASE WHEN t1.n = 1 THEN t1.c WHEN t1.n > 1 THEN CASE WHEN xn = 1 THEN xc END WHEN t2.n = 1 THEN t2.c END AS c_custkey, CASE WHEN t1.n > 0 THEN 1 WHEN t2.n > 0 THEN 2 END AS tier,
+CASE WHEN coalesce(t1.n, t2.n) IS NULL THEN 'MISSING' WHEN t1.n = 1 OR (t1.n > 1 AND xn = 1) OR (t1.n IS NULL AND t2.n = 1) THEN 'OK' ELSE 'AMBIGUOUS' END AS outcome FROM s LEFT JOIN t1 USING (s_suppkey) LEFT JOIN t2 USING (s_suppkey)""")
 def fallback_match_join(spark, sf_dir):
-    s = table(spark, sf_dir, "supplier").select("s_suppkey", (F.col("s_suppkey") % 150).alias("key"), F.col("s_nationkey").cast("long").alias("nation"))
-    c = table(spark, sf_dir, "customer").where("c_custkey % 20 = 0").select("c_custkey", F.col("c_custkey").alias("key"), F.col("c_nationkey").cast("long").alias("nation"))
-    return audit.tiered_match(s, c, "s_suppkey", "c_custkey", [("key", "key"), ("nation", "nation")])
+    """J06."""
+    return audit.tiered_match(*_sides(spark, sf_dir), "s_suppkey", "c_custkey", [("names", "names", "own"), ("site", "site", None)])
+
+
+@query(f"WITH {_SIDES} SELECT s_suppkey, c_custkey, array_to_string(list_sort(list_intersect(s.names, c.names)), ',') AS overlap FROM s JOIN c ON list_has_any(s.names, list_filter(c.names, lambda x: x IS NOT NULL))")
+def overlap_join(spark, sf_dir):
+    """J07."""
+    return audit.overlap_matches(*_sides(spark, sf_dir), "s_suppkey", "c_custkey", "names", "names").withColumn("overlap", F.array_join("overlap", ","))
 
 
 @query("""SELECT c_custkey AS k, 'missing' AS side FROM (SELECT c_custkey FROM customer EXCEPT SELECT o_custkey FROM orders)
@@ -354,9 +369,9 @@ def extension_kind(spark, sf_dir):
     return candidates(spark, sf_dir).select("k", F.regexp_replace(e, r"^\.", "").alias("extension"), U.kind_of(e).alias("kind"), U.is_resource(F.col("url")).alias("is_resource"))
 
 
-@query("SELECT doc_id, CASE WHEN s = '' THEN 'resource' ELSE s END AS slug FROM (SELECT doc_id, array_to_string(regexp_extract_all(strip_accents(lower(substr(text, 1, 60))), '([a-z0-9]+)', 1), '-') AS s FROM documents)")
+@query("SELECT doc_id, CASE WHEN s = '' THEN 'resource' ELSE s END AS slug FROM (SELECT doc_id, array_to_string(regexp_extract_all(strip_accents(lower(text)), '([a-z0-9]+)', 1), '-') AS s FROM documents)")
 def slugs(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", T.slugify(F.substring("text", 1, 60)).alias("slug"))
+    return table(spark, sf_dir, "documents").select("doc_id", T.slugify(F.col("text")).alias("slug"))
 
 
 @query(r"SELECT page_id, len(regexp_extract_all(html, '(?i)<a\b'))::INT AS anchors, len(regexp_extract_all(html, '(?i)<script\b'))::INT AS scripts, len(regexp_extract_all(html, '(?i)<form\b'))::INT AS forms FROM pages")
@@ -404,26 +419,6 @@ def workflow_fit(spark, sf_dir):
     return o.select("o_orderkey", audit.workflow_compatibility(F.col("o_orderstatus"), F.col("c_mktsegment"), {"O": ["BUILDING", "MACHINERY"]}).alias("fit"))
 
 
-@query("""SELECT * FROM (VALUES ('http://a/1', 'http://a/3', 2, 'FINAL'), ('http://b/1', 'http://b/2', 1, 'LOOP'), ('http://c/1', 'http://c/1', 0, 'FINAL')) t(start, url, hops, outcome)""")
-def redirect_chains(spark, sf_dir):
-    r = spark.createDataFrame([("http://a/1", "http://a/2"), ("http://a/2", "http://a/3"), ("http://b/1", "http://b/2"), ("http://b/2", "http://b/1")], "url string, location string")
-    return frontier.redirect_chain(r, spark.createDataFrame([("http://a/1",), ("http://b/1",), ("http://c/1",)], "url string"))
-
-
-@query("""SELECT * FROM (VALUES ('/open/x', true), ('/private/x', false), ('/private/ok', true), ('/', true)) t(path, allowed)""")
-def robots_decisions(spark, sf_dir):
-    text = "User-agent: other\nDisallow: /\n\nUser-agent: *\nDisallow: /private # not this\nAllow: /private/ok\nSitemap: https://a.org/s.xml"
-    p = spark.createDataFrame([("/open/x",), ("/private/x",), ("/private/ok",), ("/",)], "path string")
-    return p.select("path", frontier.robots_allowed(F.col("path"), frontier.robots_rules(F.lit(text))).alias("allowed"))
-
-
-@query("""SELECT 'a' AS source_id, u AS link FROM (SELECT unnest(['https://a.org/1', 'https://a.org/2?x=1']) AS u)""")
-def sitemap_scan(spark, sf_dir):
-    xml = "<urlset xmlns='http://www.sitemaps.org/schemas/sitemap/0.9'><url><loc> https://A.org/1 </loc></url><url><loc>https://a.org/2?x=1&amp;utm_source=f</loc></url><url><loc>https://b.org/3</loc></url><url><loc>https://a.org/1</loc></url></urlset>"
-    docs = spark.createDataFrame([("a", "https://a.org/sitemap.xml", xml)], "source_id string, url string, xml string")
-    return H.sitemap_entries(docs, spark.createDataFrame([("a", "a.org")], "source_id string, host string")).select("source_id", "link")
-
-
 @query(f"SELECT k, 'https://x.org/news/DATE' AS template, yyyy || '/' || mm AS value FROM ({CANDIDATES})")
 def calendar_family(spark, sf_dir):
     c = candidates(spark, sf_dir).withColumn("u", F.concat(F.lit("https://x.org/news/"), "yyyy", F.lit("/"), "mm"))
@@ -440,52 +435,6 @@ def upsert_latest(spark, sf_dir):
     return sinks.upsert(first, last, ["user_id"], "ts").select("user_id", "event_type")
 
 
-_BODIES = [
-    (1, '[{"a": 1}, {"a": 2}]', "application/json"), (2, '{"type": "FeatureCollection", "features": [1, 2, 3]}', ""), (3, '{"openapi": "3.0.0", "paths": {}}', "application/json"),
-    (4, "a,b\n1,2\n3,4\n", "text/csv"), (5, '{"a": 1}\n{"a": 2}\n', "application/x-ndjson"), (6, "<?xml version='1.0'?><x/>", ""), (7, '{"class": "dataset", "dimension": {}, "value": [1, 2]}', ""),
-    (8, "plain", ""), (9, '{"items": [1], "next": "/x?page=2"}', "application/json"), (10, '{"type": "Topology", "objects": {"a": {}, "b": {}}}', ""),
-]
-
-
-@query("""SELECT * FROM (VALUES (1, 'json', 2::BIGINT, 'LIST_RECORDS', false), (2, 'geojson', 3, 'ARRAY_FIELD:features', false), (3, 'openapi', NULL, 'OBJECT', false), (4, 'csv', 2, 'INVALID', false), (5, 'ndjson', 2, 'INVALID', false),
-(6, 'xml', NULL, 'INVALID', false), (7, 'jsonstat', 2, 'OBJECT', false), (8, NULL, NULL, 'INVALID', false), (9, 'json', 1, 'ARRAY_FIELD:items', true), (10, 'topojson', 2, 'OBJECT', false)) t(id, format, records, shape, paged)""")
-def api_bodies(spark, sf_dir):
-    b = spark.createDataFrame(_BODIES, "id int, body string, content_type string").withColumn("format", A.detect_format(F.col("body"), F.col("content_type")))
-    return b.select("id", "format", A.records(F.col("body"), F.col("format")).alias("records"), A.data_shape(F.col("body")).alias("shape"), A.has_pagination(F.col("body"), F.lit("http://a.org/x")).alias("paged"))
-
-
-@query("""SELECT * FROM (VALUES (1, 'https://a.org/x?page=2', 'link_header', 'OK'), (2, 'https://a.org/x?page=3', 'json_next', 'OK'), (3, 'https://a.org/x?page=3&q=1', 'page_number', 'OK'), (4, NULL, 'json_next', 'NEXT_HOST_CHANGED'), (5, NULL, 'json_next', 'SAME_PAGE'), (6, NULL, NULL, 'NO_NEXT'), (7, 'https://a.org/x?cursor=ab', 'cursor', 'OK')) t(id, next_url, strategy, reason)""")
-def api_next_page(spark, sf_dir):
-    rows = [(1, "[]", '<https://a.org/x?page=2>; rel="next"', "https://a.org/x"), (2, '{"next": "/x?page=3"}', None, "https://a.org/x?page=2"), (3, '{"page": 2, "total_pages": 5}', None, "https://a.org/x?page=2&q=1"), (4, '{"next": "https://b.org/x?page=3"}', None, "https://a.org/x"), (5, '{"next": "/x"}', None, "https://a.org/x"), (6, "{}", None, "https://a.org/x"), (7, '{"cursor": "ab"}', None, "https://a.org/x")]
-    d = spark.createDataFrame(rows, "id int, body string, link string, url string")
-    return d.select("id", A.next_page(F.col("body"), F.col("link"), F.col("url")).alias("n")).select("id", "n.*")
-
-
-@query("""SELECT * FROM (VALUES ('/items', 'https://a.org/v1/items', 'json', false, 0), ('/items/{id}', 'https://a.org/v1/items/{id}', 'csv', true, 1)) t(path, url, format, auth_required, missing)""")
-def openapi_operations(spark, sf_dir):
-    doc = '{"openapi": "3.0.0", "servers": [{"url": "/{v}", "variables": {"v": {"default": "v1"}}}], "security": [{"key": []}], "paths": {"/items": {"get": {"operationId": "list", "security": [{}], "responses": {"200": {"content": {"application/json": {}}}}}, "post": {}}, "/items/{id}": {"get": {"parameters": [{"name": "id", "in": "path", "required": true}], "responses": {"200": {"content": {"text/csv": {}}}}}}}}'
-    d = spark.createDataFrame([("https://a.org/openapi.json", doc), ("https://a.org/none", "x")], "url string, body string")
-    return A.openapi_operations(d).select("path", F.col("url_of_operation").alias("url"), "format", "auth_required", F.size("unresolved").alias("missing"))
-
-
-@query("SELECT * FROM (VALUES ('z', 'a/b.csv', 3::BIGINT, '.csv'), ('t', 'c.json', 2, '.json')) t(path, filename, size_bytes, extension)")
-def archive_listing(spark, sf_dir):
-    import io
-    import tarfile
-    import zipfile
-
-    z, t = io.BytesIO(), io.BytesIO()
-    with zipfile.ZipFile(z, "w") as f:
-        f.writestr("a/b.csv", "x,y")
-        f.writestr("a/.hidden", "x")
-    with tarfile.open(fileobj=t, mode="w") as f:
-        info = tarfile.TarInfo("c.json")
-        info.size = 2
-        f.addfile(info, io.BytesIO(b"{}"))
-    d = spark.createDataFrame([("z", bytearray(z.getvalue())), ("t", bytearray(t.getvalue())), ("n", bytearray(b"none"))], "path string, content binary")
-    return files.archive_entries(d)
-
-
 @query("SELECT page_id, count(*) AS anchors FROM (SELECT page_id, unnest(regexp_extract_all(html, '(?is)<a\\b[^>]*>.*?</a>')) FROM pages) GROUP BY 1")
 def anchor_contexts(spark, sf_dir):
     return H.contexts(table(spark, sf_dir, "pages"), "page_id").groupBy("page_id").agg(F.count("*").alias("anchors"))

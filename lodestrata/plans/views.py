@@ -18,6 +18,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A place in the cluster's shared folder, ``spark.checkpoint.dir``. Where that is unset, a folder of this machine serves
+    a session that runs on this machine alone; on a cluster it is an error."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{(base or '/tmp/checkpoints').rstrip('/')}/{name}"
+
+
 _stored: dict[tuple[str, str, str], str] = {}
 
 
@@ -26,8 +35,7 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     filters then reach the Parquet scan instead of being inlined into the expressions that made the columns."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _stored:
-        base = (spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints").rstrip("/")
-        path = f"{base}/catalog-{uuid.uuid4().hex}/{name}"
+        path = shared_path(spark, f"catalog-{uuid.uuid4().hex}/{name}")
         build().write.parquet(path)
         _stored[key] = path
     return spark.read.parquet(_stored[key])
@@ -84,14 +92,14 @@ def build_resources(spark: SparkSession, sf_dir: str) -> DataFrame:
             "file_extension": U.extension(F.col("nurl")),
             "resource_type": F.lit("file"),
             "period_label": T.period(F.lit(None).cast("string"), F.col("title"), F.lit(None).cast("string"), F.lit(None).cast("string"), F.col("nurl")),
-            "etag": F.concat(F.lit("e"), (F.col("k") % 100).cast("string")),
+            "etag": F.when(F.col("k") % 9 == 0, "").otherwise(F.concat(F.lit("e"), (F.col("k") % 100).cast("string"))),
         }
     )
 
 
 RESOURCES = f"""
 SELECT *, sha256(source_id || '|' || nurl) AS resource_key, CASE WHEN ext = '' THEN '' ELSE '.' || ext END AS file_extension,
-  yyyy || '-' || mm AS period_label, 'e' || (k % 100) AS etag
+  yyyy || '-' || mm AS period_label, CASE WHEN k % 9 = 0 THEN '' ELSE 'e' || (k % 100) END AS etag
 FROM ({CANDIDATES})
 """
 
