@@ -207,12 +207,19 @@ def clean_key(text: Column) -> Column:
 def family_key(title: Column, context: Column, anchor: Column, url: Column, api_identity: Column | None = None) -> Column:
     """F19. The first specific candidate of at least four letters, else the first, else the path."""
     specific = lambda c: let(F.trim(c), lambda t: F.when((t != "") & ~fold_latin(t).isin(*GENERIC), clean_key(t)))
-    base = urls.unquote(F.regexp_extract(F.regexp_replace(urls.path(url), r"/+$", ""), r"([^/]*)$", 1))
-    every = [*([clean_key(api_identity)] if api_identity is not None else []), specific(title), clean_key(blank_to_null(context)), specific(anchor), clean_key(base)]
-    keys = F.filter(F.array(*every), lambda k: k.isNotNull() & (k != ""))
-    first_good = lambda ks: F.coalesce(F.try_element_at(F.filter(ks, lambda k: (F.length(k) >= 4) & ~k.isin(*STOP_KEYS)), F.lit(1)), F.try_element_at(ks, F.lit(1)))
-    rest = clean_key(F.regexp_replace(urls.path(url), r"^/+|/+$", ""))
-    return F.coalesce(let(keys, first_good), F.nullif(rest, F.lit("")), F.lit("resource"))
+    good = lambda k: (F.length(k) >= 4) & ~k.isin(*STOP_KEYS)
+
+    def others(*first: Column) -> Column:
+        base = urls.unquote(F.regexp_extract(F.regexp_replace(urls.path(url), r"/+$", ""), r"([^/]*)$", 1))
+        keys = F.filter(F.array(*first, clean_key(blank_to_null(context)), specific(anchor), clean_key(base)), lambda k: k.isNotNull() & (k != ""))
+        rest = clean_key(F.regexp_replace(urls.path(url), r"^/+|/+$", ""))
+        chosen = let(keys, lambda ks: F.coalesce(F.try_element_at(F.filter(ks, good), F.lit(1)), F.try_element_at(ks, F.lit(1))))
+        return F.coalesce(chosen, F.nullif(rest, F.lit("")), F.lit("resource"))
+
+    # the first candidate decides alone for most rows: the others are made only where it does not
+    if api_identity is None:
+        return let(specific(title), lambda k: F.when(good(k), k).otherwise(others(k)))
+    return let(clean_key(api_identity), lambda k: F.when(good(k), k).otherwise(others(k, specific(title))))
 
 
 def family_id(source_id: Column, key: Column) -> Column:

@@ -27,7 +27,7 @@ def acquisition_jobs(audit: DataFrame) -> DataFrame:
 
 def row_summary(config: DataFrame) -> DataFrame:
     """P12, Z63. What an audit shows of a configuration."""
-    return config.select("source_id", F.coalesce("name", "source_id").alias("name"), "entrypoint", F.coalesce(F.size("seeds"), F.lit(0)).alias("seeds"), U.canonical_host(F.col("entrypoint")).alias("host"))
+    return config.select("source_id", F.coalesce("name", F.col("source_id").cast("string")).alias("name"), "entrypoint", F.coalesce(F.size("seeds"), F.lit(0)).alias("seeds"), U.canonical_host(F.col("entrypoint")).alias("host"))
 
 
 def require_rows(df: DataFrame, n: int) -> DataFrame:

@@ -95,6 +95,21 @@ def resumable(checkpoint: DataFrame, include_failed: bool = True) -> DataFrame:
     return checkpoint.where(F.col("state").isin("PENDING", *(["FAILED"] if include_failed else [])))
 
 
+def run_pass(checkpoint: DataFrame, outcomes: DataFrame, run: str = "run_id", order: str = "ord", most: int | None = None, fail_fast: bool = False, include_failed: bool = True) -> DataFrame:
+    """G15. The checkpoint after one pass of the run loop: of each run's sources, in order, the interrupted count as failed, the
+    resumable ones are run, at most ``most`` and with ``fail_fast`` none after the first that fails. ``outcomes``: (run,
+    source_id, ok); a source without one fails. Returns the checkpoint with its new states and attempts."""
+    c = recover(checkpoint).join(outcomes.select(run, "source_id", "ok"), [run, "source_id"], "left")
+    due = F.col("state").isin("PENDING", *(["FAILED"] if include_failed else []))
+    failed = ~F.coalesce("ok", F.lit(False))
+    upto = Window.partitionBy(run).orderBy(order)
+    c = c.withColumn("__due", due)
+    c = c.withColumns({"__n": F.sum(F.col("__due").cast("int")).over(upto), "__f": F.coalesce(F.sum((F.col("__due") & failed).cast("int")).over(upto.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))})
+    go = F.col("__due") & (F.lit(True) if most is None else F.col("__n") <= most) & ((F.col("__f") == 0) | F.lit(not fail_fast))
+    state = F.when(go, F.when(failed, "FAILED").otherwise("SUCCEEDED")).otherwise(F.col("state"))
+    return c.withColumns({"state": state, "attempts": F.col("attempts") + go.cast("int")}).drop("ok", "__due", "__n", "__f")
+
+
 def state_summary(checkpoint: DataFrame) -> DataFrame:
     """A23. Count of each known state, zero included."""
     known = checkpoint.sparkSession.createDataFrame([(s,) for s in STATES], "state string")

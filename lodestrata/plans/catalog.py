@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -26,12 +28,14 @@ _NORMAL = f"{_ORIGIN} || CASE WHEN {_PATH} = '' THEN '/' ELSE {_PATH} END || CAS
 
 @query(f"SELECT page_id, {_NORMAL} AS url, regexp_replace({_HOST}, '^www\\.', '') AS host, sha256({_NORMAL}) AS url_hash, sha256('pages|' || {_NORMAL}) AS resource_key FROM pages")
 def url_normalize(spark, sf_dir):
+    """F01, F02, F03, F08."""
     n = U.normalize(F.col("url"))
     return table(spark, sf_dir, "pages").select("page_id", n.alias("url"), U.canonical_host(F.col("url")).alias("host"), U.url_hash(n).alias("url_hash"), U.resource_key(F.lit("pages"), n).alias("resource_key"))
 
 
 @query(f"WITH p AS (SELECT regexp_replace({_HOST}, '^www\\.', '') AS host, page_id FROM pages), s AS (SELECT DISTINCT host FROM p WHERE page_id % 3 = 0) SELECT p.host, count(*) AS n, (s.host IS NOT NULL) AS in_scope FROM p LEFT JOIN s ON p.host = s.host GROUP BY p.host, s.host")
 def host_scope_counts(spark, sf_dir):
+    """F53, Z07."""
     p = table(spark, sf_dir, "pages").select(U.canonical_host(F.col("url")).alias("host"), "page_id")
     scope = p.where("page_id % 3 = 0").select("host").distinct().withColumn("in_scope", F.lit(True))
     return p.groupBy("host").agg(F.count("*").alias("n")).join(scope, "host", "left").select("host", "n", F.coalesce("in_scope", F.lit(False)).alias("in_scope"))
@@ -42,6 +46,7 @@ _STARRED = f"array_to_string(list_sort(list_transform(list_filter(string_split({
 
 @query(f"SELECT * FROM (SELECT page_id, CASE WHEN len(list_filter(string_split({_QUERY}, '&'), lambda p: lower(split_part(p, '=', 1)) IN {_PAGED})) > 0 THEN {_ORIGIN} || {_PATH} || '?' || {_STARRED} END AS family FROM pages) WHERE family IS NOT NULL")
 def pagination_family(spark, sf_dir):
+    """F06, F76."""
     return table(spark, sf_dir, "pages").select("page_id", U.pagination_family(F.col("url")).alias("family")).where("family IS NOT NULL")
 
 
@@ -76,6 +81,7 @@ WITH a AS (SELECT page_id, url, unnest({_ANCHORS}) AS a, generate_subscripts({_A
 h AS (SELECT page_id, ord::INT AS ord, trim(regexp_extract(a, '(?i)\\bhref\\s*=\\s*["'']([^"'']*)["'']', 1)) AS href, trim(regexp_replace(replace(regexp_replace(a, '(?is)<[^>]+>', ' ', 'g'), '&nbsp;', ' '), '\\s+', ' ', 'g')) AS title, {_ORIGIN} AS origin FROM a)
 SELECT page_id, ord, href, title, origin || href AS link FROM h WHERE href <> '' AND href NOT LIKE '#%'""")
 def link_extract(spark, sf_dir):
+    """F11, F62, H01, H08."""
     return H.links(table(spark, sf_dir, "pages")).select("page_id", "ord", "href", "title", "link")
 
 
@@ -86,12 +92,14 @@ def comment_extract(spark, sf_dir):
 
 @query("SELECT sha256(text) AS digest, count(*) AS n, string_agg(doc_id::VARCHAR, ',' ORDER BY doc_id::VARCHAR) AS members, count(DISTINCT source) AS physical_sources, count(DISTINCT source) = 1 AS shared_physical FROM documents GROUP BY text HAVING count(*) >= 2")
 def page_fingerprint_dups(spark, sf_dir):
+    """A15, A16, A17."""
     d = table(spark, sf_dir, "documents").withColumn("digest", F.sha2("text", 256))
     return catalog.duplicate_payloads(d, "digest", "doc_id", "source")
 
 
 @query(f"SELECT k, source_id, resource_key, nurl AS url, file_extension, period_label, title FROM ({RESOURCES})")
 def resource_build(spark, sf_dir):
+    """P01."""
     return build_resources(spark, sf_dir).select("k", "source_id", "resource_key", F.col("nurl").alias("url"), "file_extension", "period_label", "title")
 
 
@@ -147,12 +155,14 @@ _SLOTTED = f"""SELECT *, 'files/' || replace(array_to_string(list_transform(stri
 @query(f"""SELECT source_id, route, CASE WHEN rn = 1 THEN 'Descargar.csv' ELSE 'Descargar_' || rn || '.csv' END AS slot, title AS descripcion, url AS url_descarga, period AS fecha_actualizacion, upper(format) AS tipo_archivo
 FROM (SELECT *, row_number() OVER (PARTITION BY source_id, route ORDER BY mm DESC, rank DESC, url, resource_key) AS rn FROM ({_SLOTTED}))""")
 def legacy_slots(spark, sf_dir):
+    """E04, P05, W03, W04."""
     s = projection.legacy_slots(decisions(spark, sf_dir).where("selected"))
     return projection.legacy_records(s).select("source_id", "route", "slot", "descripcion", "url_descarga", "fecha_actualizacion", "tipo_archivo")
 
 
 @query(f"SELECT source_id, count(*) AS valid, 0::BIGINT AS invalid FROM ({_DECIDED}) WHERE selected GROUP BY 1")
 def legacy_validation(spark, sf_dir):
+    """A24, A25, Z50."""
     return projection.validate_legacy(projection.legacy_records(projection.legacy_slots(decisions(spark, sf_dir).where("selected"))))
 
 
@@ -197,6 +207,7 @@ def content_status(spark, sf_dir):
 
 @query(f"SELECT source_id, count(*) AS processed, count(*) FILTER (status = 'FAILED') AS failed, count(*) FILTER (status = 'CHANGED') AS changed, count(*) FILTER (status = 'NO_CHANGE') AS unchanged, min(ts) AS started_at, max(ts) AS finished_at FROM ({RUNS}) GROUP BY 1")
 def run_report(spark, sf_dir):
+    """A01, A02."""
     return catalog.run_report(runs(spark, sf_dir), ["source_id"])
 
 
@@ -213,8 +224,6 @@ def health_state(spark, sf_dir):
 @query(_HEALTH)
 def streaming_health(spark, sf_dir):
     """The streaming rule over the same events, read as one available batch."""
-    import uuid
-
     from ..streaming import health as stream
 
     base = shared_path(spark, f"stream-{uuid.uuid4().hex}")
@@ -315,6 +324,7 @@ def integrity_anti_join(spark, sf_dir):
 @query("""WITH a AS (SELECT doc_id, CASE WHEN quality = 1 THEN 'good' ELSE 'poor' END AS evidence, 0 AS tier FROM labels), b AS (SELECT doc_id, lang AS evidence, 1 AS tier FROM documents)
 SELECT doc_id, arg_min(evidence, tier) AS evidence, min(tier) AS tier FROM (SELECT * FROM a UNION ALL SELECT * FROM b) GROUP BY 1""")
 def evidence_precedence(spark, sf_dir):
+    """J13, Z57, Z65."""
     l = table(spark, sf_dir, "labels").select("doc_id", F.when(F.col("quality") == 1, "good").otherwise("poor").alias("evidence"))
     return audit.precedence([l, table(spark, sf_dir, "documents").select("doc_id", F.col("lang").alias("evidence"))], "doc_id").select("doc_id", "evidence", "tier")
 
@@ -346,16 +356,23 @@ def catalog_top_k(spark, sf_dir):
     return catalog.top_k(table(spark, sf_dir, "orders"), ["o_custkey"], [F.col("o_orderdate").desc(), F.col("o_orderkey")], 3).select("o_custkey", "o_orderkey", "rn")
 
 
-_EDGES = rf"""SELECT DISTINCT a.w AS parent, b.w AS child FROM (SELECT page_id, unnest(regexp_extract_all(html, 'href="(/[^"]*)"', 1)) AS w FROM pages) a JOIN (SELECT page_id, unnest(regexp_extract_all(html, 'href="(/[^"]*)"', 1)) AS w FROM pages) b ON a.page_id = b.page_id WHERE a.w < b.w"""
+_EDGES = rf"""SELECT DISTINCT parent, w AS child FROM (SELECT page_id, w, min(w) OVER (PARTITION BY page_id) AS parent FROM (SELECT page_id, unnest(regexp_extract_all(html, 'href="(/[^"]*)"', 1)) AS w FROM pages)) WHERE w <> parent"""
 
 
 @query(f"""WITH RECURSIVE e AS ({_EDGES}), s AS (SELECT min(parent) AS url FROM e),
 b(url, depth) AS (SELECT url, 0 FROM s UNION SELECT e.child, b.depth + 1 FROM b JOIN e ON b.url = e.parent WHERE b.depth < 3)
 SELECT url, min(depth) AS depth FROM b GROUP BY 1""")
 def bfs_levels(spark, sf_dir):
-    w = table(spark, sf_dir, "pages").select("page_id", F.explode(F.array_distinct(F.regexp_extract_all("html", F.lit('href="(/[^"]*)"'), 1))).alias("w"))
-    edges = w.alias("a").join(w.alias("b"), "page_id").where("a.w < b.w").select(F.col("a.w").alias("parent"), F.col("b.w").alias("child")).distinct()
-    return frontier.bfs_levels(edges, edges.agg(F.min("parent").alias("url")), 3)
+    """From each page's least link to its others; levels are written, so none is computed again."""
+
+    def checkpoint(df):
+        path = shared_path(spark, f"level-{uuid.uuid4().hex}")
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    w = table(spark, sf_dir, "pages").select(F.array_sort(F.array_distinct(F.regexp_extract_all("html", F.lit('href="(/[^"]*)"'), 1))).alias("w")).where(F.size("w") > 1)
+    edges = checkpoint(w.select(F.col("w")[0].alias("parent"), F.explode(F.slice("w", 2, F.size("w"))).alias("child")).distinct())
+    return frontier.bfs_levels(edges, edges.agg(F.min("parent").alias("url")), 3, checkpoint)
 
 
 @query(f"SELECT page_id, 'GET ' || {_ORIGIN} || CASE WHEN {_PATH} = '' THEN '/' ELSE {_PATH} END || CASE WHEN q = '' THEN '' ELSE '?' || q END AS identity FROM (SELECT *, array_to_string(list_filter(string_split({_KEPT}, '&'), lambda p: p <> '' AND split_part(p, '=', 1) <> 'page'), '&') AS q FROM pages)")
@@ -365,6 +382,7 @@ def api_identity(spark, sf_dir):
 
 @query(f"SELECT k, ext AS extension, CASE WHEN ext IN ('csv', 'xlsx', 'ods') THEN 'table' WHEN ext IN ('pdf', 'docx') THEN 'document' WHEN ext = 'zip' THEN 'archive' WHEN ext = 'json' THEN 'data' ELSE 'other' END AS kind, ext <> '' AS is_resource FROM ({CANDIDATES})")
 def extension_kind(spark, sf_dir):
+    """F05, F10, F57."""
     e = U.extension(F.col("url"))
     return candidates(spark, sf_dir).select("k", F.regexp_replace(e, r"^\.", "").alias("extension"), U.kind_of(e).alias("kind"), U.is_resource(F.col("url")).alias("is_resource"))
 
@@ -442,6 +460,7 @@ def anchor_contexts(spark, sf_dir):
 
 @query("SELECT user_id % 7 AS host, string_agg(DISTINCT code, ',' ORDER BY code) FILTER (event_type = 'view') AS robots_codes, string_agg(DISTINCT code, ',' ORDER BY code) FILTER (event_type <> 'view') AS site_codes FROM (SELECT *, (200 + user_id % 3)::VARCHAR AS code FROM events) GROUP BY 1")
 def status_codes(spark, sf_dir):
+    """Z38, Z64."""
     e = table(spark, sf_dir, "events").select((F.col("user_id") % 7).alias("host"), F.when(F.col("event_type") == "view", "http://a/robots.txt").otherwise("http://a/x").alias("url"), (200 + F.col("user_id") % 3).cast("string").alias("code"))
     return audit.status_split(e, ["host"], "url", "code")
 

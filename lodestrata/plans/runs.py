@@ -87,6 +87,17 @@ def checkpoint_from_plan(spark, sf_dir):
     return resolution.new_checkpoint(plan).join(packages.remediation_state(plan, saved).select("source_id", F.col("attempts").alias("saved")), "source_id")
 
 
+@query("""WITH c AS (SELECT o_custkey AS run_id, o_orderkey AS source_id, CASE o_orderkey % 4 WHEN 0 THEN 'SUCCEEDED' WHEN 1 THEN 'RUNNING' ELSE 'PENDING' END AS state, o_orderkey % 5 <> 0 AS ok FROM orders),
+d AS (SELECT *, state <> 'SUCCEEDED' AS due, sum((state <> 'SUCCEEDED')::INT) OVER w AS n, coalesce(sum((state <> 'SUCCEEDED' AND NOT ok)::INT) OVER (PARTITION BY run_id ORDER BY source_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS f FROM c WINDOW w AS (PARTITION BY run_id ORDER BY source_id))
+SELECT run_id, source_id, CASE WHEN due AND n <= 6 AND f = 0 THEN CASE WHEN ok THEN 'SUCCEEDED' ELSE 'FAILED' END WHEN state = 'RUNNING' THEN 'FAILED' ELSE state END AS state, (due AND n <= 6 AND f = 0)::INT AS attempts FROM d""")
+def checkpointed_pass(spark, sf_dir):
+    """G15."""
+    k = F.col("o_orderkey")
+    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("run_id"), k.alias("source_id"), k.alias("ord"), F.when(k % 4 == 0, "SUCCEEDED").when(k % 4 == 1, "RUNNING").otherwise("PENDING").alias("state"), F.lit(0).alias("attempts"))
+    outcomes = o.where("source_id % 5 <> 0").select("run_id", "source_id", F.lit(True).alias("ok"))
+    return state.run_pass(o, outcomes, most=6, fail_fast=True).select("run_id", "source_id", "state", "attempts")
+
+
 @query("""SELECT c_custkey AS source_id, CASE WHEN c_nationkey < 20 AND n = 0 THEN 'MISSING' WHEN c_nationkey < 20 AND n > 1 THEN 'AMBIGUOUS' WHEN c_nationkey >= 20 AND n > 0 THEN 'UNEXPECTED' ELSE 'OK' END AS outcome
 FROM (SELECT c_custkey, c_nationkey, (SELECT count(*) FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT') AS n FROM customer)""")
 def mapping_outcomes(spark, sf_dir):
