@@ -64,3 +64,21 @@ def test_pages_and_vectors(spark):
     df = spark.createDataFrame([(None, v, 1), (1, v, 1), (1, v, 1), (2, v, 1), (3, [], 1), (4, v, None)], "vec_id long, embedding array<double>, label int")
     got = {r.vec_id: (r.n_links, r.component_id) for r in near_vectors(df).collect()}
     assert got == {None: (0, None), 1: (1, 1), 2: (1, 1), 3: (0, 3), 4: (0, 4)}
+
+
+def test_pipeline_of_odd_tables(spark, tmp_path):
+    """Null ids, repeated rows, null and empty texts, clashing column names, and no rows at all."""
+    import corpus_pipeline
+
+    schema = "doc_id long, text string, lang string, source string, n_chars long, digest string, part int, length long, key string"
+    item = " ".join(f"leak{i}" for i in range(30))
+    rows = [*ROWS, (7, f"clean start {item} end"), (8, "a clean text of its own"), (9, None)]
+    for name, some in (("odd", rows), ("none", [])):
+        d = tmp_path / name
+        spark.createDataFrame([(i, t, "en", "s", None, "d", 1, 2, "k") for i, t in some], schema).write.parquet(str(d / "documents.parquet"))
+        spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(d / "labels.parquet"))
+        spark.createDataFrame([(1, item), (2, None)], "item_id long, text string").write.parquet(str(d / "benchmark.parquet"))
+        got = corpus_pipeline.run(spark, str(d)).collect()
+        # no labels: every score is 0.5 and nothing is rejected; 2 repeats 1, whose row occurs twice; 4 and 9 repeat 3; 7 leaks
+        ids = sorted((r.doc_id is None, r.doc_id or 0) for r in got if r.piece == 0)
+        assert ids == ([(False, 1), (False, 1), (False, 3), (False, 5), (False, 6), (False, 8), (True, 0), (True, 0)] if some else [])
