@@ -35,8 +35,12 @@ def bound_batches(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: ``spark.checkpoint.dir``, or a local one where that is unset (tests)."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints").rstrip("/")
+    """The folder that all executors share: ``spark.checkpoint.dir``. Where that is unset, a folder of this machine serves a
+    session that runs on this machine alone (tests); on a cluster it is an error."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return (base or "/tmp/checkpoints").rstrip("/")
 
 
 def materialize(df: DataFrame) -> DataFrame:
