@@ -30,14 +30,19 @@ def _column(v):
 def cases(inputs: dict[str, list], source: str = "orders", key: str = "o_orderkey"):
     """(DataFrame of (spark, sf_dir), SQL) of the rows' key k and, for each input, one of its values, picked by the digits of the
     scrambled key in a mixed base."""
-    spark_columns, sql_columns, base = [], [], 1
+    bases, sql_columns, base = {}, [], 1
     for name, values in inputs.items():
-        n = len(values)
-        spark_columns.append(F.element_at(F.array(*map(_column, values)), F.expr(f"cast({MIX.format(f'cast({key} as bigint)')} div {base} % {n} + 1 as int)")).alias(name))
+        n, bases[name] = len(values), base
         kind = "::INT[][]" if isinstance(values[0], list) else ""
         sql_columns.append(f"({_literal(values)}{kind})[{MIX.format(f'{key}::BIGINT')} // {base} % {n} + 1] AS {name}")
         base *= n
-    return lambda spark, sf_dir: table(spark, sf_dir, source).select(F.col(key).alias("k"), *spark_columns), f"SELECT {key} AS k, {', '.join(sql_columns)} FROM {source}"
+
+    def build(spark, sf_dir):
+        pick = lambda name, values: F.expr(f"cast({MIX.format(f'cast({key} as bigint)')} div {bases[name]} % {len(values)} + 1 as int)")
+        columns = [F.element_at(F.array(*map(_column, values)), pick(name, values)).alias(name) for name, values in inputs.items()]
+        return table(spark, sf_dir, source).select(F.col(key).alias("k"), *columns)
+
+    return build, f"SELECT {key} AS k, {', '.join(sql_columns)} FROM {source}"
 
 
 def _c(*names: str):
