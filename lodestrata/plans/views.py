@@ -27,13 +27,23 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{(base or '/tmp/checkpoints').rstrip('/')}/{name}"
 
 
-_stored: dict[tuple[str, str, str], str] = {}
+_stored: dict[tuple, str] = {}
+
+
+def _stamps(spark: SparkSession, sf_dir: str, tables: tuple[str, ...] = ("orders", "customer", "nation")) -> tuple:
+    """Times and sizes of the input tables' files: what is stored of them is stale once these change."""
+    out = []
+    for t in tables:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/{t}.parquet")
+        status = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path)
+        out.append((status.getModificationTime(), status.getLen()))
+    return tuple(out)
 
 
 def stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    """A catalog table, written once in an application for each input folder and read from there by later stages: their
-    filters then reach the Parquet scan instead of being inlined into the expressions that made the columns."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    """A catalog table, written once in an application for each state of the input folder and read from there by later stages:
+    their filters then reach the Parquet scan instead of being inlined into the expressions that made the columns."""
+    key = (spark.sparkContext.applicationId, sf_dir, name, _stamps(spark, sf_dir))
     if key not in _stored:
         path = shared_path(spark, f"catalog-{uuid.uuid4().hex}/{name}")
         build().write.parquet(path)
