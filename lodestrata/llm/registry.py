@@ -7,6 +7,7 @@ from .embedding_dedup import OP2_SQL, op2_embedding_near_dedup
 from .lm_scoring import op3_lm_scoring
 from .ngram_join import OP4_SQL, op4_ngram_jaccard_join
 from .packing import op6_best_fit_packing
+from .prefix_trie import OP13_SQL, op13_conversation_prefix_trie
 from .quality_classifier import op10_quality_classifier
 from .sharding import op1_sharding
 from .substring_dedup import op9_substring_dedup
@@ -24,5 +25,6 @@ QUERIES = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_quality_classifier": op10_quality_classifier,
+    "op13_conversation_prefix_trie": op13_conversation_prefix_trie,
 }
-SQL = {"op2_embedding_near_dedup": OP2_SQL, "op4_ngram_jaccard_join": OP4_SQL, "op7_warc": OP7_SQL}
+SQL = {"op2_embedding_near_dedup": OP2_SQL, "op4_ngram_jaccard_join": OP4_SQL, "op7_warc": OP7_SQL, "op13_conversation_prefix_trie": OP13_SQL}
