@@ -1,18 +1,22 @@
 """Segmented scans: running aggregates along each key's order, where one key may hold most of the rows.
 
-A window of a key runs in one task. Here rows are dealt by ranges of (key, order), so a large key spreads over many tasks;
-each range is scanned on its own, and what a key's earlier ranges amount to is added to its later ones."""
+A window runs a key in one task. Keys with more rows than a task's share are scanned otherwise: their rows are dealt by ranges
+of (key, order), each range is scanned on its own, and what a key's earlier ranges amount to is added to its later ones."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from ..sources.shared import store as to_shared
 
 PART = "__part"
+LEAST = 10_000  # rows that any task can take in one window
+_SPARK = {"sum": F.sum, "max": F.max, "min": F.min, "bit_xor": F.bit_xor}
+_PYTHON = {"sum": lambda a, b: a + b, "max": max, "min": min, "bit_xor": lambda a, b: a ^ b}
 
 
 def plan_bytes(df: DataFrame) -> int:
@@ -25,41 +29,59 @@ def ranges(df: DataFrame, mb: float = 4.0, most: int = 20_000) -> int:
     return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(most, int(plan_bytes(df) / (mb * 1e6)) + 1))
 
 
-def dealt(df: DataFrame, key: list[str], order: list[str], store: Callable = to_shared, parts: int | None = None) -> DataFrame:
-    """The table by ranges of (key, order), each row with the number of its range; written, so that numbers stay."""
-    return store(df.repartitionByRange(parts or ranges(df), *key, *order).withColumn(PART, F.spark_partition_id()))
+def large_keys(df: DataFrame, key: list[str], limit: int | None = None) -> list[Row]:
+    """Keys with more rows than ``limit``: by default twice a shuffle partition's share, so they are fewer than partitions."""
+    if limit is None:
+        limit = max(LEAST, 2 * df.count() // int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return df.groupBy(*key).agg(F.count("*").alias("__n")).where(F.col("__n") > limit).select(*key, "__n").collect()
 
 
-def _joined(left: DataFrame, carry: DataFrame, key: list[str]) -> DataFrame:
-    on = left[PART] == carry["__at"]
-    for k in key:
-        on = on & left[k].eqNullSafe(carry[f"__{k}"])
-    return left.join(F.broadcast(carry), on, "left")  # at most one row for each range: only its first key can have begun before
+def _same(left: DataFrame, right: DataFrame, key: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[f"__{k}"]) for k in key], F.lit(True))
 
 
-def running(df: DataFrame, key: list[str], order: list[str], columns: dict[str, tuple[str, str]], store: Callable = to_shared, parts: int | None = None) -> DataFrame:
-    """``df`` with running aggregates up to and including each row. columns: name -> (function, column), the function
-    one of sum, max, min, bit_xor. Rows that tie in (key, order) are taken in any order. ``df`` should be a stored table or a
-    cheap view of one, as it is read twice (once for the sample that sets the ranges)."""
-    rows = dealt(df, key, order, store, parts)
+def _spread(df: DataFrame, key: list[str], order: list[str], columns: dict[str, tuple[str, str]], store: Callable) -> DataFrame:
+    dealt = store(df.repartitionByRange(ranges(df), *key, *order).withColumn(PART, F.spark_partition_id()))
     here = Window.partitionBy(PART, *key).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    earlier = Window.partitionBy(*key).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
-    of = {"sum": F.sum, "max": F.max, "min": F.min, "bit_xor": F.bit_xor}
-    totals = rows.groupBy(PART, *key).agg(*[of[f](c).alias(n) for n, (f, c) in columns.items()])
-    totals = totals.withColumn("__before", F.count(F.lit(1)).over(earlier)).withColumns({f"__c_{n}": of[f](n).over(earlier) for n, (f, _) in columns.items()})
-    carry = totals.where("__before > 0").select(F.col(PART).alias("__at"), *[F.col(k).alias(f"__{k}") for k in key], *[f"__c_{n}" for n in columns])
-    out = _joined(rows.withColumns({n: of[f](c).over(here) for n, (f, c) in columns.items()}), carry, key)
+    totals = dealt.groupBy(PART, *key).agg(*[_SPARK[f](c).alias(n) for n, (f, c) in columns.items()]).orderBy(PART)
+    so_far: dict[tuple, dict] = {}
+    carry = []
+    for r in totals.collect():  # one for each range, and one more for each key
+        k = tuple(r[x] for x in key)
+        if k in so_far:
+            carry.append((r[PART], *k, *so_far[k].values()))
+        before = so_far.get(k, dict.fromkeys(columns))
+        so_far[k] = {n: r[n] if before[n] is None else before[n] if r[n] is None else _PYTHON[f](before[n], r[n]) for n, (f, _) in columns.items()}
+    names = ["__at", *[f"__{k}" for k in key], *[f"__c_{n}" for n in columns]]
+    before = df.sparkSession.createDataFrame(carry, totals.schema).toDF(*names)
+    out = dealt.withColumns({n: _SPARK[f](c).over(here) for n, (f, c) in columns.items()})
+    out = out.join(F.broadcast(before), (F.col(PART) == F.col("__at")) & _same(out, before, key), "left")  # at most a row for each range
 
     def both(name: str, f: str) -> Column:
-        mine, before = F.col(name), F.col(f"__c_{name}")
+        mine, earlier = F.col(name), F.col(f"__c_{name}")
         if f in ("max", "min"):
-            return (F.greatest if f == "max" else F.least)(mine, before)
-        both_ = mine + before if f == "sum" else mine.bitwiseXOR(before)
-        return F.when(before.isNull(), mine).when(mine.isNull(), before).otherwise(both_)
+            return (F.greatest if f == "max" else F.least)(mine, earlier)
+        return F.when(earlier.isNull(), mine).when(mine.isNull(), earlier).otherwise(mine + earlier if f == "sum" else mine.bitwiseXOR(earlier))
 
     return out.select(*df.columns, *[both(n, f).alias(n) for n, (f, _) in columns.items()])
 
 
-def numbered(df: DataFrame, key: list[str], order: list[str], name: str, store: Callable = to_shared, parts: int | None = None) -> DataFrame:
+def running(df: DataFrame, key: list[str], order: list[str], columns: dict[str, tuple[str, str]], store: Callable = to_shared, limit: int | None = None, large: list[Row] | None = None) -> DataFrame:
+    """``df`` with running aggregates up to and including each row. columns: name -> (function, column), the function
+    one of sum, max, min, bit_xor. Rows that tie in (key, order) are taken in any order. ``df`` should be a stored table or a
+    cheap view of one, as it is read more than once. ``large``: the result of ``large_keys``, where that is known."""
+    large = large_keys(df, key, limit) if large is None else large
+    here = Window.partitionBy(*key).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    plain = {n: _SPARK[f](c).over(here) for n, (f, c) in columns.items()}
+    if not large:
+        return df.withColumns(plain)
+    if not key:
+        return _spread(df, key, order, columns, store)
+    keys = df.sparkSession.createDataFrame([tuple(r[k] for k in key) for r in large], df.select(*key).schema).toDF(*[f"__{k}" for k in key])
+    small = df.join(F.broadcast(keys), _same(df, keys, key), "left_anti")
+    return small.withColumns(plain).union(_spread(df.join(F.broadcast(keys), _same(df, keys, key), "left_semi"), key, order, columns, store))
+
+
+def numbered(df: DataFrame, key: list[str], order: list[str], name: str, store: Callable = to_shared, limit: int | None = None) -> DataFrame:
     """``df`` with each row's place (from 1) in its key's order."""
-    return running(df.withColumn("__one", F.lit(1).cast("long")), key, order, {name: ("sum", "__one")}, store, parts).drop("__one")
+    return running(df.withColumn("__one", F.lit(1).cast("long")), key, order, {name: ("sum", "__one")}, store, limit).drop("__one")
