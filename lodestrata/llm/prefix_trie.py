@@ -3,16 +3,18 @@
 from __future__ import annotations
 
 import hashlib
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.scan import numbered, ranges, running
+from ..operators.scan import large_keys, running
 from ..sources.shared import store
 
-CHUNK = 1 << 20  # bytes of joined ids in one row
+SPAN = 16  # bits of the ids that a piece of joined ids may cover: 2^16 ids, about a megabyte
 NODE = ["depth", "k1", "k2"]
+NO_ENDS = hashlib.sha256(b"").hexdigest()
 
 
 def turn_rows(conversations: DataFrame) -> DataFrame:
@@ -23,148 +25,134 @@ def turn_rows(conversations: DataFrame) -> DataFrame:
     return conversations.where("conv_id is not null").select("conv_id", "turn", content.alias("content"), F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("words"))
 
 
-def with_shared_start(turns: DataFrame, group: int = 20, most: int = 4) -> tuple[DataFrame, DataFrame]:
+def with_shared_start(turns: DataFrame, group: int = 20, most: int = 4) -> DataFrame:
     """Conversations rebuilt on the start of their group's first one: conversation c gets the first h turns of conversation
     c - c % group (all, if it has fewer; none, if it is absent), then its own turns after its first h; h = crc32(c) % most.
-    Turns are ordered by turn, nulls first, ties by content. Returns the turns (conv_id, depth from 1, content, words, last)
-    and the conversations (conv_id, turns), those without turns included."""
-    rows = store(numbered(store(turns), ["conv_id"], ["turn", "content"], "pos"))
-    n = store(rows.groupBy("conv_id").agg(F.count("*").alias("n")))
-    first = F.col("conv_id") - F.col("conv_id") % group
-    bases = n.where(F.col("conv_id") % group == 0).select(F.col("conv_id").alias("base"), F.col("n").alias("base_n"))
+    Turns are ordered by turn, nulls first, ties by content. Returns (conv_id, depth, content, words, last): the turns at
+    depths from 1, and one row at depth 0 for each conversation, those left without turns included."""
+    turns = store(turns)
+    large = large_keys(turns, ["conv_id"])
+    rows = running(turns.withColumn("one", F.lit(1).cast("long")), ["conv_id"], ["turn", "content"], {"pos": ("sum", "one")}, large=large)
+    rows = store(rows.select("conv_id", "pos", "content", "words"))
+    start = rows.where((F.col("conv_id") % group == 0) & (F.col("pos") < most)).groupBy(F.col("conv_id").alias("base"))
+    start = start.agg(F.array_sort(F.collect_list(F.struct("pos", "content", "words"))).alias("start"))  # fewer than ``most`` turns
+    n = rows.groupBy("conv_id").agg(F.count("*").alias("n"))
     h = F.pmod(F.crc32(F.col("conv_id").cast("string").cast("binary")), F.lit(most))
-    plan = n.withColumns({"base": first, "h": h}).join(bases, "base", "left")
-    plan = plan.withColumn("take", F.least("h", F.coalesce("base_n", F.lit(0)))).withColumn("turns", F.col("take") + F.greatest(F.col("n") - F.col("h"), F.lit(0)))
-    plan = store(plan.select("conv_id", "base", "h", "take", "turns"))
-    columns = ["depth", "content", "words", (F.col("depth") == F.col("turns")).alias("last")]
-    own = rows.join(plan, "conv_id").where("pos > h").withColumn("depth", F.col("take") + F.col("pos") - F.col("h")).select("conv_id", *columns)
-    starts = rows.where((F.col("conv_id") % group == 0) & (F.col("pos") < most)).select(F.col("conv_id").alias("base"), F.col("pos").alias("depth"), "content", "words")
-    given = plan.join(starts, "base").where("depth <= take").select("conv_id", *columns)
-    return own.union(given), plan.select("conv_id", "turns")
-
-
-def _ids(batches):
-    """Joined ids of each run of one node in sorted rows: (node, first id, text of at most about CHUNK bytes)."""
-    for b in batches:
-        cols = [c.to_pylist() for c in b.columns]
-        out, key, text, first, size = [], None, [], None, 0
-        for *node, c in zip(*cols, strict=True):
-            if node != key or size > CHUNK:
-                if text:
-                    out.append((*key, first, ",".join(text)))
-                key, text, first, size = node, [], c, 0
-            text.append(str(c))
-            size += len(text[-1]) + 1
-        if text:
-            out.append((*key, first, ",".join(text)))
-        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), [pa.int64()] * 4 + [pa.string()], strict=True)] if out else [pa.array([], t) for t in [pa.int64()] * 4 + [pa.string()]], ["depth", "k1", "k2", "first", "text"])
+    plan = n.withColumns({"h": h, "base": F.col("conv_id") - F.col("conv_id") % group}).join(start, "base", "left")
+    plan = plan.withColumn("given", F.slice(F.coalesce("start", F.array()), 1, F.col("h").cast("int"))).drop("start")
+    plan = store(plan.withColumn("turns", F.size("given") + F.greatest(F.col("n") - F.col("h"), F.lit(0))))
+    last = (F.col("depth") == F.col("turns")).alias("last")
+    own = rows.join(plan.select("conv_id", "h", "turns", F.size("given").alias("take")), "conv_id").where("pos > h").withColumn("depth", F.col("take") + F.col("pos") - F.col("h"))
+    none = F.struct(F.lit(0).cast("long").alias("pos"), F.lit(None).cast("binary").alias("content"), F.lit(0).cast("long").alias("words"))
+    given = plan.select("conv_id", "turns", F.explode(F.concat(F.array(none), "given")).alias("t")).select("conv_id", "turns", F.col("t.pos").alias("depth"), "t.content", "t.words")
+    return own.select("conv_id", "depth", "content", "words", last).union(given.select("conv_id", "depth", "content", "words", last))
 
 
 def _digests(batches):
     """SHA-256 of each node's ids, whose pieces arrive in order; one piece is held at a time."""
     key, state = None, None
 
-    def row():
-        return pa.RecordBatch.from_arrays([*[pa.array([x], pa.int64()) for x in key], pa.array([state.hexdigest()])], [*NODE, "ends_sha256"])
+    def rows(done):
+        cols = list(zip(*done, strict=True))
+        return pa.RecordBatch.from_arrays([*[pa.array(c, pa.int64()) for c in cols[:3]], pa.array(cols[3])], [*NODE, "ends_sha256"])
 
     for b in batches:
         done = []
-        for d, k1, k2, text in zip(*[b.column(c).to_pylist() for c in (*NODE, "text")], strict=True):
-            if (d, k1, k2) != key:
+        for *node, text in zip(*[b.column(c).to_pylist() for c in (*NODE, "text")], strict=True):
+            if node != key:
                 if key is not None:
                     done.append((*key, state.hexdigest()))
-                key, state = (d, k1, k2), hashlib.sha256(text.encode())
+                key, state = node, hashlib.sha256(text.encode())
             else:
                 state.update(b"," + text.encode())
         if done:
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*done, strict=True)], [*NODE, "ends_sha256"])
+            yield rows(done)
     if key is not None:
-        yield row()
+        yield rows([(*key, state.hexdigest())])
 
 
 def ends_digests(ends: DataFrame) -> DataFrame:
-    """(node, ends_sha256) of (node, conv_id): SHA-256 of the node's ids in ascending order, joined by commas. Ranges of the
-    sorted table join their ids to pieces in parallel; one task then feeds a node's pieces to the digest one by one, as the
-    digest allows no other way; its memory is bounded by a piece."""
-    ends = store(ends)
-    parts = ranges(ends)
-    pieces = ends.repartitionByRange(parts, *NODE, "conv_id").sortWithinPartitions(*NODE, "conv_id").mapInArrow(_ids, "depth long, k1 long, k2 long, first long, text string")
-    return pieces.repartition(parts, *NODE).sortWithinPartitions(*NODE, "first").mapInArrow(_digests, "depth long, k1 long, k2 long, ends_sha256 string")
+    """(node, ends_sha256) of (node, conv_id): SHA-256 of the node's ids in ascending order, joined by commas. A node's ids are
+    joined in pieces of at most 2^16 ids each, in parallel; one task then feeds the pieces to the digest one by one, as
+    the digest allows no other way; its memory is bounded by a piece."""
+    pieces = ends.groupBy(*NODE, F.shiftright("conv_id", SPAN).alias("span")).agg(F.array_join(F.array_sort(F.collect_list("conv_id")).cast("array<string>"), ",").alias("text"))
+    return pieces.repartition(*NODE).sortWithinPartitions(*NODE, "span").mapInArrow(_digests, "depth long, k1 long, k2 long, ends_sha256 string")
 
 
 def subtree_sums(tree: DataFrame, steps: DataFrame, values: list[str]) -> DataFrame:
     """(node, sums of ``values`` over the node's subtree) of a trie.
 
-    tree: one row per node (depth, k1, k2; p1, p2 of its parent; conv_id; n_convs; n_children; heavy: the child with most
-    members, the least conv_id on ties; ``values``). steps: (conv_id, node) for each conversation and depth.
+    tree: one row per node (depth, k1, k2; p1, p2 of its parent; conv_id; n_children; light: not the child with most members of
+    its parent, or a child of the root; ``values``). steps: (conv_id, node) for each conversation and depth.
     Each childless node ends one heavy path; its conversation's steps tell where the path begins (the last step onto a
     light child; the root is a path of its own, so all its children count as light) and how many light edges lie above: at
-    most one more than the logarithm of the conversations, as a light child has at most half of its parent's members. Rounds go from the paths with most light edges above to those with none: each sums
-    its paths' arrays from their ends, and hands the sums at their heads to the parents for the next round."""
-    leaves = tree.where("n_children = 0").select("conv_id", F.col("depth").alias("end"))
-    own = tree.select(*NODE, "p1", "p2", "light", *values)
-    walk = steps.join(leaves, "conv_id").join(own, NODE)
-    head = walk.groupBy("conv_id").agg(F.count_if("light").alias("level"), F.max(F.when(F.col("light"), F.col("depth"))).alias("head"))
-    path = store(walk.join(head, "conv_id").where("depth >= head").select("conv_id", "level", "head", *NODE, "p1", "p2", (-F.col("depth")).alias("up"), *values), "level")
-    deepest = path.agg(F.max("level")).first()[0] or 0
+    most one more than the logarithm of the conversations, as a light child has at most half of its parent's members.
+    Rounds go from the paths with most light edges above to those with none: each sums its paths' arrays from their ends, and
+    hands the sums at their heads to the parents' places in their own arrays for the next round."""
+    leaves = tree.where("n_children = 0").select("conv_id")
+    walk = store(steps.join(leaves, "conv_id").join(tree.select(*NODE, "p1", "p2", "light", *values), NODE))
+    head = walk.groupBy("conv_id").agg(F.count_if("light").alias("level"), F.coalesce(F.max(F.when(F.col("light"), F.col("depth"))), F.lit(0)).alias("head"))
+    up = (-F.col("depth")).alias("up")
+    path = store(walk.join(head, "conv_id").where("depth >= head AND (depth > 0 OR level = 0)").select("conv_id", "level", "head", *NODE, "p1", "p2", up, *values), "level")
+    parent = path.select("depth", "k1", "k2", F.col("conv_id").alias("onto"))
+    heads = path.where("depth = head AND depth > 1").select("conv_id", (F.col("depth") - 1).alias("depth"), F.col("p1").alias("k1"), F.col("p2").alias("k2"))
+    onto = store(heads.join(parent, NODE).select("conv_id", "onto"))  # the path that a path hangs on
+    large = large_keys(path, ["conv_id"])
     given, done = None, []
-
-    def with_given(rows: DataFrame) -> DataFrame:
-        if given is None:
-            return rows
-        return rows.join(given, NODE, "left").select(*[c for c in rows.columns if c not in values], *[(F.col(v) + F.coalesce(F.col(f"in_{v}"), F.lit(0))).alias(v) for v in values])
-
-    for level in range(deepest, 0, -1):
-        rows = path.where(F.col("level") == level)
-        sums = store(running(rows if given is None else store(with_given(rows)), ["conv_id"], ["up"], {f"s_{v}": ("sum", v) for v in values}))
-        done.append(sums.select(*NODE, *[F.col(f"s_{v}").alias(v) for v in values]))
-        given = sums.where("depth = head").groupBy((F.col("depth") - 1).alias("depth"), F.col("p1").alias("k1"), F.col("p2").alias("k2")).agg(*[F.sum(f"s_{v}").alias(f"in_{v}") for v in values])
-    out = with_given(tree.where("depth = 0").select(*NODE, *values))
-    for more in done:
-        out = out.union(more.select(*out.columns))
-    return out
-
-
-def prefix_trie(turns: DataFrame, conversations: DataFrame) -> DataFrame:
+    for level in range(path.agg(F.max("level")).first()[0] or 0, 0, -1):
+        rows = path.where(F.col("level") == level).select("conv_id", "head", *NODE, "up", *values)
+        if given is not None:  # sums that hang on a place come just before the place itself
+            rows = store(rows.unionByName(given, allowMissingColumns=True))
+        sums = running(rows, ["conv_id"], ["up", "head"], {f"s_{v}": ("sum", v) for v in values}, large=large).where("head is not null")
+        sums = store(sums.select("conv_id", "head", *NODE, *[F.col(f"s_{v}").alias(v) for v in values]))
+        done.append(sums.select(*NODE, *values))
+        tops = sums.where("depth = head")
+        if level > 1:
+            given = tops.join(onto, "conv_id").groupBy(F.col("onto").alias("conv_id"), (1 - F.col("depth")).alias("up")).agg(*[F.sum(v).alias(v) for v in values])
+        else:
+            root = tops.agg(*[F.sum(v).alias(f"in_{v}") for v in values])
+    roots = tree.where("depth = 0").select(*NODE, *values)
+    if done:
+        roots = roots.join(F.broadcast(root)).select(*NODE, *[(F.col(v) + F.coalesce(F.col(f"in_{v}"), F.lit(0))).alias(v) for v in values])  # one row each
+    return reduce(DataFrame.union, done, roots)
+
+
+def prefix_trie(turns: DataFrame) -> DataFrame:
     """One row for each node of the trie of conversation prefixes, from the root (depth 0).
 
-    turns: (conv_id, depth from 1 without gaps, content, words, last: whether the conversation ends there); conversations:
-    (conv_id, turns). A node is a distinct sequence of contents, known by 128 bits: the exclusive or of a hash of each content
-    and its depth, so prefixes of one conversation are a running aggregate (a conversation of any length spreads over tasks).
-    Returns conv_id (the least member), depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens (over the subtree,
-    members but one times words of the last turn), ends_sha256 (of the ids of the members that end here).
+    turns: (conv_id, depth, content, words, last: whether the conversation ends there), of each conversation a row at depth 0 and
+    its turns at depths from 1 without gaps. A node is a distinct sequence of contents, known by 128 bits: the exclusive or of a
+    hash of each content and its depth, so prefixes of a conversation are a running aggregate (one of any length spreads
+    over tasks). Returns conv_id (the least member), depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens
+    (over the subtree, members but one times words of the last turn), ends_sha256 (of the ids of the members that end here).
     No conversations give no rows, not even a root. Repeated turns are turns like any other."""
-    hashed = turns.withColumns({"h1": F.xxhash64("content", "depth", F.lit(1)), "h2": F.xxhash64(F.lit(2), "depth", "content")})
+    zero = F.lit(0).cast("long")
+    some = F.col("depth") > 0
+    hashed = turns.withColumns({"h1": F.when(some, F.xxhash64("content", "depth", F.lit(1))).otherwise(zero), "h2": F.when(some, F.xxhash64(F.lit(2), "depth", "content")).otherwise(zero)})
     steps = store(running(store(hashed.drop("content")), ["conv_id"], ["depth"], {"k1": ("bit_xor", "h1"), "k2": ("bit_xor", "h2")}))
-    of = steps.groupBy(*NODE).agg(F.count("*").alias("n_convs"), F.min("conv_id").alias("conv_id"), F.max("words").alias("words"), F.max("h1").alias("h1"), F.max("h2").alias("h2"))
-    of = of.select(*NODE, F.col("k1").bitwiseXOR(F.col("h1")).alias("p1"), F.col("k2").bitwiseXOR(F.col("h2")).alias("p2"), "conv_id", "n_convs", "words")
-    zero, none = F.lit(0).cast("long"), F.lit(None).cast("long")
-    root = conversations.agg(F.min("conv_id").alias("conv_id"), F.count("*").alias("n_convs")).where("n_convs > 0")
-    nodes = store(of.union(root.select(zero, zero, zero, none, none, "conv_id", "n_convs", zero)))
-
+    nodes = steps.groupBy(*NODE).agg(F.count("*").alias("n_convs"), F.min("conv_id").alias("conv_id"), F.max("words").alias("words"), F.max("h1").alias("h1"), F.max("h2").alias("h2"))
+    nodes = store(nodes.select(*NODE, F.col("k1").bitwiseXOR(F.col("h1")).alias("p1"), F.col("k2").bitwiseXOR(F.col("h2")).alias("p2"), "conv_id", "n_convs", "words"))
     kids = nodes.where("depth > 0").groupBy((F.col("depth") - 1).alias("depth"), F.col("p1").alias("k1"), F.col("p2").alias("k2"))
     kids = kids.agg(F.count("*").alias("n_children"), F.max_by(F.struct("k1", "k2"), F.struct("n_convs", -F.col("conv_id"))).alias("heavy"))
-    up = store(nodes.join(kids, NODE, "left").select(*NODE, "conv_id", F.coalesce("n_children", F.lit(0)).alias("n_children"), F.col("heavy.k1").alias("heavy1"), F.col("heavy.k2").alias("heavy2")))
-    above = up.where("n_children > 0").select("depth", F.col("k1"), F.col("k2"), F.col("conv_id").alias("parent_conv_id"), "heavy1", "heavy2")
-    tree = nodes.join(up.select(*NODE, "n_children"), NODE)
-    tree = tree.join(above, (nodes["depth"] - 1 == above["depth"]) & (nodes["p1"] == above["k1"]) & (nodes["p2"] == above["k2"]), "left")
-    light = F.coalesce((nodes["depth"] == 1) | (nodes["k1"] != F.col("heavy1")) | (nodes["k2"] != F.col("heavy2")), F.lit(False))
+    own = store(nodes.join(kids, NODE, "left").withColumn("n_children", F.coalesce("n_children", F.lit(0))))
+    above = own.where("n_children > 0").select((F.col("depth") + 1).alias("depth"), F.col("k1").alias("p1"), F.col("k2").alias("p2"), F.col("conv_id").alias("parent_conv_id"), F.col("heavy").alias("best"))
+    light = some & ((F.col("depth") == 1) | (F.col("k1") != F.col("best.k1")) | (F.col("k2") != F.col("best.k2")))
+    below = own.where("depth > 0").join(above, ["depth", "p1", "p2"])
+    tree = below.union(own.where("depth = 0").select(*[F.lit(None).cast(t).alias(c) if c in ("parent_conv_id", "best") else F.col(c) for c, t in below.dtypes]))
     tree = store(
         tree.select(
-            *[nodes[c] for c in NODE], "p1", "p2", nodes["conv_id"], "parent_conv_id", "n_convs", "n_children", light.alias("light"),
+            *NODE, "p1", "p2", "conv_id", "parent_conv_id", "n_convs", "n_children", light.alias("light"),
             (F.col("n_children") == 0).cast("long").alias("n_leaves"), ((F.col("n_convs") - 1) * F.col("words")).alias("saved_tokens"),
         )
     )
-    empty = conversations.where("turns = 0").select(zero.alias("depth"), zero.alias("k1"), zero.alias("k2"), "conv_id")
-    digests = ends_digests(steps.where("last").select(*NODE, "conv_id").union(empty))
+    digests = ends_digests(steps.where("last").select(*NODE, "conv_id"))
     sums = subtree_sums(tree, steps.select("conv_id", *NODE), ["n_leaves", "saved_tokens"])
     out = tree.drop("n_leaves", "saved_tokens").join(sums, NODE).join(digests, NODE, "left")
-    return out.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", F.coalesce("ends_sha256", F.lit(hashlib.sha256(b"").hexdigest())).alias("ends_sha256"))
+    return out.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", F.coalesce("ends_sha256", F.lit(NO_ENDS)).alias("ends_sha256"))
 
 
 def op13_conversation_prefix_trie(spark, sf_dir: str) -> DataFrame:
-    turns, conversations = with_shared_start(turn_rows(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
-    return prefix_trie(turns, conversations)
+    return prefix_trie(with_shared_start(turn_rows(spark.read.parquet(f"{sf_dir}/conversations.parquet"))))
 
 
 # crc32 of a decimal number: DuckDB has no such function
@@ -173,7 +161,8 @@ _CRC = """xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(range
 OP13_SQL = rf"""
 WITH t AS (
   SELECT conv_id, turn, sha256(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS content,
-         len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+'))::BIGINT AS words
+         len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+'))::BIGINT AS words
   FROM conversations WHERE conv_id IS NOT NULL),
 r AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, content) AS pos FROM t),
 n AS (SELECT conv_id, count(*) AS n, conv_id - conv_id % 20 AS base FROM r GROUP BY conv_id),

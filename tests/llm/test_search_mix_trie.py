@@ -152,7 +152,7 @@ def trie(rows):
 
 def grown(spark, rows):
     df = spark.createDataFrame([(*r, 3, "w") for r in rows], "conv_id long, turn long, role string, text string, depth int, words string").repartition(3)
-    return sorted([tuple(r) for r in prefix_trie(*with_shared_start(turn_rows(df))).collect()], key=str)
+    return sorted([tuple(r) for r in prefix_trie(with_shared_start(turn_rows(df))).collect()], key=str)
 
 
 def test_trie_equals_brute_force(spark):
