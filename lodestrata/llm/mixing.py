@@ -22,7 +22,7 @@ def apportion(parties: DataFrame) -> DataFrame:
     thresholds close to votes per seat enclose the last seat with a few quotients of each party between them. Only these are
     listed and ranked, by a scan that spreads a group over tasks.
     """
-    p = store(parties.where("votes > 0 AND most > 0"))
+    p = parties.where("votes > 0 AND most > 0")
     per = p.groupBy("g").agg(F.sum("votes").alias("all"), F.count("*").alias("k"), F.max("seats").alias("seats"), F.sum("most").alias("room"))
     p = store(p.drop("seats").join(per, "g"))
     full, open_ = p.where("seats >= room"), p.where("seats < room")
@@ -38,10 +38,10 @@ def apportion(parties: DataFrame) -> DataFrame:
         margin *= 2
     spare = F.col("seats") - F.col("k")
     sure = F.when(spare > 0, above(F.col("all") / (2 * spare))).otherwise(0)
-    p = store(open_.select("g", "p", "votes", "seats", sure.alias("sure"), above(low).alias("upto")))
+    p = open_.select("g", "p", "votes", "seats", sure.alias("sure"), above(low).alias("upto"))
     left = p.groupBy("g").agg((F.max("seats") - F.sum("sure")).alias("open"))
     listed = p.where("upto > sure").select("g", "p", "votes", F.explode(F.sequence(F.col("sure") + 1, F.col("upto"))).alias("seat"))
-    ranked = numbered(store(listed.select("g", "p", (-F.col("votes") / (2 * F.col("seat") - 1)).alias("down"))), ["g"], ["down", "p"], "place")
+    ranked = numbered(listed.select("g", "p", (-F.col("votes") / (2 * F.col("seat") - 1)).alias("down")), ["g"], ["down", "p"], "place")
     more = ranked.join(left, "g").where("place <= open").groupBy("g", "p").agg(F.count("*").alias("more"))
     return p.join(more, ["g", "p"], "left").select("g", "p", (F.col("sure") + F.coalesce("more", F.lit(0))).alias("won")).union(full.select("g", "p", "most"))
 
