@@ -17,6 +17,14 @@ OPENAPI_PATHS = ["openapi.json", "openapi.yaml", "openapi.yml", "swagger.json",
 OGC = ["wfs", "wms", "wcs", "wmts"]
 PAGED_KEYS = ["next", "next_page", "nextpage", "page", "pages", "total_pages", "totalpages", "cursor", "offset", "limit", "links", "pagination"]
 LIST_KEYS = ["features", "items", "data", "results", "records"]
+SHAPE_KEYS = ["data", "results", "items", "records", "features", "observations", "series", "rows", "values"]
+NEXT_KEYS = ["next", "next_url", "nexturl", "next_page_url", "nextpageurl"]
+NEXT_CONTAINERS = ["links", "pagination", "meta"]
+CURRENT_PAGE_KEYS = ["current_page", "currentpage", "page"]
+TOTAL_PAGE_KEYS = ["total_pages", "totalpages", "pages", "page_count", "pagecount"]
+PAGE_QUERY_KEYS = ["page", "page_number", "pagenumber"]
+CURSOR_KEYS = ["next_cursor", "nextcursor", "continuation_token", "continuation"]
+CURSOR_QUERY_KEYS = ["cursor", "continuation", "continuation_token"]
 CONTENT_EXTENSIONS = {
     "application/pdf": ".pdf", "application/vnd.ms-excel": ".xls", "application/vnd.openxmlformats-officedocument.spreadsheetml.sheet": ".xlsx", "text/csv": ".csv",
     "application/zip": ".zip", "application/x-zip-compressed": ".zip", "application/json": ".json", "application/xml": ".xml", "text/xml": ".xml",
@@ -147,16 +155,32 @@ def has_pagination(body: Column, url: Column) -> Column:
     return in_query | F.exists(_keys(F.when(is_object, body)), lambda k: F.lower(k).isin(*PAGED_KEYS))
 
 
+def members(body: Column) -> Column:
+    """Members (key, value as VARIANT) of a JSON object in its order; null if the body is none."""
+    return F.map_entries(F.from_json(body, "map<string,variant>"))
+
+
 def data_shape(body: Column) -> Column:
-    """X15. LIST_RECORDS, LIST_VALUES, ARRAY_FIELD:k, OBJECT_FIELD:k, WIDE_OBJECT (20 keys or more), OBJECT, SCALAR or INVALID."""
-    text, keys = F.ltrim(body), _keys(body)
-    out = F.when(F.size(keys) >= 20, "WIDE_OBJECT").otherwise(F.lit("OBJECT"))
-    for k in reversed(LIST_KEYS):
-        out = F.when(_starts(body, f"$.{k}", "{"), F.lit(f"OBJECT_FIELD:{k}")).otherwise(out)
-    for k in reversed(LIST_KEYS):
-        out = F.when(_starts(body, f"$.{k}", "["), F.lit(f"ARRAY_FIELD:{k}")).otherwise(out)
-    listed = F.when(F.ltrim(F.get_json_object(body, "$[0]")).startswith("{"), "LIST_RECORDS").otherwise("LIST_VALUES")
-    return F.when(~F.coalesce(_is_json(body), F.lit(False)), "INVALID").when(text.startswith("["), listed).when(text.startswith("{"), out).otherwise("SCALAR")
+    """X15. LIST_RECORDS (two items or more, one of them a list or an object), LIST_SMALL_OR_SCALAR; of objects the first of
+    SHAPE_KEYS with a list that is not empty (ARRAY_FIELD:k) or an object of two members or more (OBJECT_FIELD:k), else
+    WIDE_OBJECT (8 members or more, 5 of them scalars) or OBJECT_METADATA_OR_SMALL; SCALAR; INVALID if the body is no JSON."""
+    nested = lambda v: F.schema_of_variant(v).rlike("^(ARRAY|OBJECT)")
+    text = F.ltrim(body)
+    items = F.from_json(F.when(text.startswith("["), body), "array<variant>")
+    listed = F.when((F.size(items) >= 2) & F.exists(items, nested), "LIST_RECORDS").otherwise("LIST_SMALL_OR_SCALAR")
+
+    def of_object(entries: Column) -> Column:
+        def field(k: str) -> Column:
+            def named(v: Column) -> Column:
+                kind, raw = F.schema_of_variant(v), F.to_json(v)
+                return F.when(kind.startswith("ARRAY") & (F.json_array_length(raw) > 0), F.lit(f"ARRAY_FIELD:{k}")).when(kind.startswith("OBJECT") & (F.size(F.json_object_keys(raw)) >= 2), F.lit(f"OBJECT_FIELD:{k}"))
+
+            return F.try_element_at(F.transform(F.filter(entries, lambda e: e["key"] == k), lambda e: named(e["value"])), F.lit(-1))
+
+        wide = (F.size(entries) >= 8) & (F.size(F.filter(entries, lambda e: ~nested(e["value"]))) >= 5)
+        return F.coalesce(*[field(k) for k in SHAPE_KEYS], F.when(wide, "WIDE_OBJECT").otherwise("OBJECT_METADATA_OR_SMALL"))
+
+    return F.when(~F.coalesce(_is_json(body), F.lit(False)), "INVALID").when(text.startswith("["), listed).when(text.startswith("{"), U.let(members(body), of_object)).otherwise("SCALAR")
 
 
 def link_header(value: Column) -> Column:
@@ -165,31 +189,69 @@ def link_header(value: Column) -> Column:
     return F.transform(parts, lambda p: F.struct(F.regexp_extract(p, r"<([^>]*)>", 1).alias("url"), F.lower(F.regexp_extract(p, r'(?i)rel\s*=\s*"?([^";]+)"?', 1)).alias("rel")))
 
 
+def _last(entries: Column, keys: list[str], field: str) -> Column:
+    """The field of the first of the keys that has one; of members of one name in lower case the last counts."""
+
+    def of(key: str) -> Column:
+        return F.try_element_at(F.filter(entries, lambda e: F.lower(e["k"]) == key), F.lit(-1))[field]
+
+    return F.coalesce(*[of(k) for k in keys])
+
+
+def _targets(entries: Column) -> Column:
+    """Members with what they may hold for a next page: a URL (a string, or an object's url or href), a whole number, a text."""
+
+    def string(v: Column, path: str) -> Column:
+        is_string = F.schema_of_variant(F.try_variant_get(v, path, "variant")) == "STRING"
+        return F.nullif(F.trim(F.when(is_string, F.try_variant_get(v, path, "string"))), F.lit(""))
+
+    def one(e: Column) -> Column:
+        v, kind = e["value"], F.schema_of_variant(e["value"])
+        whole = F.when(kind == "BIGINT", F.try_variant_get(v, "$", "bigint"))
+        link = F.when(kind == "STRING", string(v, "$")).when(kind.startswith("OBJECT"), F.coalesce(string(v, "$.url"), string(v, "$.href")))
+        return F.struct(e["key"].alias("k"), link.alias("url"), whole.alias("n"), F.coalesce(string(v, "$"), whole.cast("string")).alias("text"), F.when(kind.startswith("OBJECT"), F.to_json(v)).alias("object"))
+
+    return F.transform(entries, one)
+
+
 def next_page(body: Column, link: Column, url: Column) -> Column:
-    """X06, X07, X08. (next_url, strategy, reason): the Link header, then the body's next, its links, a numeric page and
-    a cursor; refused if it is the same page, no web URL, on another host, or another identity."""
-    by_link = F.try_element_at(F.filter(link_header(link), lambda x: x["rel"] == "next"), F.lit(1))["url"]
-    direct = F.coalesce(*[F.get_json_object(body, f"$.{p}") for p in ("next", "next_page", "nextPage", "links.next", "pagination.next", "meta.next", "_links.next.href")])
-    web = F.when(direct.rlike(r"^(https?://|/|\?)"), direct)
-    base = F.substring_index(url, "?", 1)
-    page, pages = F.get_json_object(body, "$.page").try_cast("long"), F.coalesce(F.get_json_object(body, "$.total_pages"), F.get_json_object(body, "$.pages")).try_cast("long")
-    others = U.encode_pairs(F.filter(U.pairs(url), lambda p: ~F.lower(p["k"]).isin("page", "cursor")))
-    turned = lambda name, v: F.concat(base, F.lit("?"), F.when(others != "", F.concat(others, F.lit("&"))).otherwise(""), F.lit(f"{name}="), v)
-    numeric = F.when(page < pages, turned("page", (page + 1).cast("string")))
-    token = F.coalesce(F.get_json_object(body, "$.next_cursor"), F.get_json_object(body, "$.cursor"))
-    cursor = F.when(token != "", turned("cursor", F.url_encode(token)))
-    raw = F.coalesce(by_link, web, numeric, cursor)
-    strategy = F.when(by_link.isNotNull(), "link_header").when(web.isNotNull(), "json_next").when(numeric.isNotNull(), "page_number").when(cursor.isNotNull(), "cursor")
-    target = U.normalize(raw, url)
-    reason = (
-        F.when(raw.isNull(), "NO_NEXT")
-        .when(~U.scheme(target).isin("http", "https"), "INVALID_NEXT")
-        .when(target == U.normalize(url), "SAME_PAGE")
-        .when(U.netloc(target) != U.netloc(url), "NEXT_HOST_CHANGED")
-        .when(U.api_identity(F.lit("GET"), target) != U.api_identity(F.lit("GET"), url), "NEXT_IDENTITY_CHANGED")
-        .otherwise("OK")
-    )
-    return F.struct(F.when(reason == "OK", target).alias("next_url"), strategy.alias("strategy"), reason.alias("reason"))
+    """X06, X07, X08. (next_url, strategy, reason). The candidate: rel=next of the Link header (http_link_next); the object's
+    next (json_next) or that of its links, pagination or meta (json_<container>_next); the page after the current one of a
+    known total, where the URL has a page parameter (numeric_page); a cursor, where it has that (cursor). Refused as NO_EXPLICIT_NEXT,
+    SAME_PAGE, INVALID_NEXT, NEXT_HOST_CHANGED (ports do not count) or NEXT_IDENTITY_CHANGED, then without a strategy."""
+    by_link = F.nullif(F.try_element_at(F.filter(link_header(link), lambda x: x["rel"] == "next"), F.lit(1))["url"], F.lit(""))
+
+    def of(s: Column) -> Column:
+        m, pairs = s["m"], s["pairs"]
+        nested = {c: _last(_targets(members(_last(m, [c], "object"))), NEXT_KEYS, "url") for c in NEXT_CONTAINERS}
+
+        def turned(names: list[str], value: Column) -> Column:
+            """The URL with the value in the parameter; null without the parameter."""
+            own = _last(pairs, names, "k")
+            put = F.transform(pairs, lambda p: F.struct(p["k"].alias("k"), F.when(p["k"] == own, value).otherwise(p["v"]).alias("v")))
+            return F.when(own.isNotNull() & value.isNotNull(), F.concat(F.substring_index(url, "?", 1), F.lit("?"), U.encode_pairs(put)))
+
+        page, pages = _last(m, CURRENT_PAGE_KEYS, "n"), _last(m, TOTAL_PAGE_KEYS, "n")
+        found = [("http_link_next", s["link"]), ("json_next", _last(m, NEXT_KEYS, "url")), *[(f"json_{c}_next", v) for c, v in nested.items()]]
+        found += [("numeric_page", turned(PAGE_QUERY_KEYS, F.when(page < pages, (page + 1).cast("string")))), ("cursor", turned(CURSOR_QUERY_KEYS, _last(m, CURSOR_KEYS, "text")))]
+        return F.coalesce(*[F.when(v.isNotNull(), F.struct(F.lit(k).alias("strategy"), v.alias("raw"))) for k, v in found])
+
+    candidate = U.let(F.struct(_targets(members(body)).alias("m"), U.pairs(url).alias("pairs"), by_link.alias("link")), of)
+
+    def decided(s: Column) -> Column:
+        target, current = s["target"], s["current"]
+        reason = (
+            F.when(target.isNull(), "NO_EXPLICIT_NEXT")
+            .when(target == current, "SAME_PAGE")
+            .when(~U.scheme(target).isin("http", "https") | (U.host(target) == ""), "INVALID_NEXT")
+            .when(U.host(target) != U.host(current), "NEXT_HOST_CHANGED")
+            .when(U.api_identity(F.lit("GET"), target) != U.api_identity(F.lit("GET"), current), "NEXT_IDENTITY_CHANGED")
+            .otherwise("OK")
+        )
+        ok = reason == "OK"
+        return F.struct(F.when(ok, target).alias("next_url"), F.when(ok, s["strategy"]).alias("strategy"), reason.alias("reason"))
+
+    return U.let(U.let(candidate, lambda c: F.struct(U.normalize(c["raw"], url).alias("target"), U.normalize(url).alias("current"), c["strategy"].alias("strategy"))), decided)
 
 
 def canonical_body(body: Column, fmt: Column) -> Column:
@@ -228,9 +290,6 @@ def sample_hash(pages: DataFrame, by: list[str], order: str, digest: str, fmt: s
     return pages.groupBy(*by).agg(F.sha2(F.concat_ws("|", F.lit("api-sample-v1"), F.first(fmt), F.count("*").cast("string"), joined), 256).alias("sample_hash"))
 
 
-OPERATIONS = "path string, operation_id string, url string, format string, auth_required boolean, unresolved array<string>"
-
-
 def openapi_operations(docs: DataFrame, url: str = "url", body: str = "body") -> DataFrame:
     """X10-X14, Z14. GET operations of OpenAPI 3 and Swagger 2 documents in JSON, by a vectorised table function: the
     resolved server, required parameters without default or example, whether every security choice needs credentials,
@@ -246,13 +305,13 @@ def openapi_operations(docs: DataFrame, url: str = "url", body: str = "body") ->
                     continue
                 if isinstance(doc, dict) and isinstance(doc.get("paths"), dict) and ("openapi" in doc or "swagger" in doc):
                     base = server_base(doc, u)
-                    for path, item in sorted(doc["paths"].items()):
+                    for ord_, (path, item) in enumerate(doc["paths"].items()):
                         op = item.get("get") if isinstance(item, dict) else None
                         if isinstance(op, dict):
-                            rows.append((u, path, op.get("operationId"), base.rstrip("/") + path, operation_format(doc, op), needs_auth(doc, op), unresolved_of(path, item, op)))
-            yield pd.DataFrame(rows, columns=[url, "path", "operation_id", "url_of_operation", "format", "auth_required", "unresolved"])
+                            rows.append((u, ord_, path, op.get("operationId"), base.rstrip("/") + path, operation_format(doc, op), needs_auth(doc, op), unresolved_of(path, item, op)))
+            yield pd.DataFrame(rows, columns=[url, "ord", "path", "operation_id", "url_of_operation", "format", "auth_required", "unresolved"])
 
-    return docs.select(url, body).mapInPandas(parse, f"{url} string, path string, operation_id string, url_of_operation string, format string, auth_required boolean, unresolved array<string>")
+    return docs.select(url, body).mapInPandas(parse, f"{url} string, ord int, path string, operation_id string, url_of_operation string, format string, auth_required boolean, unresolved array<string>")
 
 
 def server_base(doc: dict, url: str) -> str:

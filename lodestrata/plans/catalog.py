@@ -273,7 +273,7 @@ def checkpoint_summary(spark, sf_dir):
     return state.state_summary(table(spark, sf_dir, "events").where("event_type <> 'click'").select(F.expr(_STATES).alias("state")))
 
 
-@query("SELECT event_type, 'OBJECT' AS shape, count(*) AS n, count(*) FILTER (json_extract_string(props, '$.k')::BIGINT % 2 = 0) AS even FROM events GROUP BY 1")
+@query("SELECT event_type, 'OBJECT_METADATA_OR_SMALL' AS shape, count(*) AS n, count(*) FILTER (json_extract_string(props, '$.k')::BIGINT % 2 = 0) AS even FROM events GROUP BY 1")
 def json_shape_counts(spark, sf_dir):
     e = table(spark, sf_dir, "events").withColumn("shape", A.data_shape(F.col("props")))
     return e.groupBy("event_type", "shape").agg(F.count("*").alias("n"), F.count_if(F.get_json_object("props", "$.k").cast("long") % 2 == 0).alias("even"))

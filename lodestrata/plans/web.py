@@ -142,14 +142,21 @@ def api_bodies(spark, sf_dir):
     return packages.api_catalog(b.withColumn("next_url", F.when(F.col("kind") == "paged", nxt["next_url"]))).select("page_id", "kind", "format", "records", "shape", "has_pagination", "next_url", "identity")
 
 
-@query("""SELECT o_orderkey AS k, ['header', 'json', 'number', 'other', 'same', 'none', 'cursor'][o_orderkey % 7 + 1] AS kind, CASE kind WHEN 'header' THEN 'https://a.org/x?page=' || o_orderkey WHEN 'json' THEN 'https://a.org/x?page=' || o_orderkey WHEN 'number' THEN 'https://a.org/x?page=' || (o_orderkey + 1) || '&q=1' WHEN 'cursor' THEN 'https://a.org/x?cursor=c' || o_orderkey END AS next_url,
-CASE kind WHEN 'header' THEN 'link_header' WHEN 'number' THEN 'page_number' WHEN 'none' THEN NULL WHEN 'cursor' THEN 'cursor' ELSE 'json_next' END AS strategy, CASE kind WHEN 'other' THEN 'NEXT_HOST_CHANGED' WHEN 'same' THEN 'SAME_PAGE' WHEN 'none' THEN 'NO_NEXT' ELSE 'OK' END AS reason FROM orders""")
+_NEXT_KINDS = ["header", "json", "number", "other", "same", "none", "cursor", "meta", "port", "mail", "last", "list"]
+
+
+@query(f"""SELECT o_orderkey AS k, {_NEXT_KINDS}[o_orderkey % {len(_NEXT_KINDS)} + 1] AS kind,
+CASE kind WHEN 'header' THEN 'https://a.org/x?page=' || o_orderkey WHEN 'json' THEN 'https://a.org/x?page=' || o_orderkey WHEN 'number' THEN 'https://a.org/x?page_number=' || (o_orderkey + 1) || '&q=1' WHEN 'cursor' THEN 'https://a.org/x?cursor=c' || o_orderkey WHEN 'meta' THEN 'https://a.org/x?offset=' || o_orderkey END AS next_url,
+CASE kind WHEN 'header' THEN 'http_link_next' WHEN 'json' THEN 'json_next' WHEN 'number' THEN 'numeric_page' WHEN 'cursor' THEN 'cursor' WHEN 'meta' THEN 'json_meta_next' END AS strategy,
+CASE kind WHEN 'other' THEN 'NEXT_HOST_CHANGED' WHEN 'same' THEN 'SAME_PAGE' WHEN 'port' THEN 'NEXT_IDENTITY_CHANGED' WHEN 'mail' THEN 'INVALID_NEXT' WHEN 'none' THEN 'NO_EXPLICIT_NEXT' WHEN 'last' THEN 'NO_EXPLICIT_NEXT' WHEN 'list' THEN 'NO_EXPLICIT_NEXT' ELSE 'OK' END AS reason FROM orders""")
 def api_next_page(spark, sf_dir):
     """X05, X06, X07, X08."""
-    o = table(spark, sf_dir, "orders").selectExpr("o_orderkey AS k", "element_at(array('header', 'json', 'number', 'other', 'same', 'none', 'cursor'), cast(o_orderkey % 7 + 1 as int)) AS kind", "cast(o_orderkey as string) AS s")
-    body = """CASE kind WHEN 'json' THEN concat('{"next": "/x?page=', s, '"}') WHEN 'number' THEN concat('{"page": ', s, ', "total_pages": ', k + 5, '}') WHEN 'other' THEN '{"next": "https://b.org/x?page=3"}' WHEN 'same' THEN '{"next": "/x"}' WHEN 'none' THEN '{}' WHEN 'cursor' THEN concat('{"cursor": "c', s, '"}') ELSE '[]' END"""
-    link = """CASE WHEN kind = 'header' THEN concat('<https://a.org/x?page=', s, '>; rel="next"') END"""
-    url = "CASE kind WHEN 'number' THEN concat('https://a.org/x?page=', s, '&q=1') WHEN 'json' THEN 'https://a.org/x?page=2' ELSE 'https://a.org/x' END"
+    o = table(spark, sf_dir, "orders").selectExpr("o_orderkey AS k", f"element_at(array{tuple(_NEXT_KINDS)}, cast(o_orderkey % {len(_NEXT_KINDS)} + 1 as int)) AS kind", "cast(o_orderkey as string) AS s")
+    body = """CASE kind WHEN 'json' THEN concat('{"Next": "/x?page=', s, '"}') WHEN 'number' THEN concat('{"page": ', s, ', "totalPages": ', k + 5, '}') WHEN 'last' THEN concat('{"page": ', s, ', "total_pages": ', s, '}')
+    WHEN 'other' THEN '{"next": "https://b.org/x?page=3"}' WHEN 'same' THEN '{"next": "/x"}' WHEN 'port' THEN '{"next_url": "https://a.org:8443/x?page=2"}' WHEN 'mail' THEN '{"next": {"href": "mailto:a@b.c"}}'
+    WHEN 'meta' THEN concat('{"next": " ", "links": [1], "META": {"next": {"url": "", "href": "?offset=', s, '"}}}') WHEN 'none' THEN '{"next": null, "cursor": "c"}' WHEN 'cursor' THEN concat('{"next_cursor": "c', s, '"}') ELSE '[{"next": "/x?page=1"}]' END"""
+    link = """CASE WHEN kind = 'header' THEN concat('<https://a.org/y>; rel="prev", <https://a.org/x?page=', s, '>; title="t"; rel=next') END"""
+    url = "CASE kind WHEN 'number' THEN concat('https://a.org/x?page_number=', s, '&q=1') WHEN 'last' THEN concat('https://a.org/x?page=', s) WHEN 'json' THEN 'https://a.org/x?page=2' WHEN 'cursor' THEN 'https://a.org/x?cursor=0' ELSE 'https://a.org/x' END"
     return o.select("k", "kind", A.next_page(F.expr(body), F.expr(link), F.expr(url)).alias("n")).select("k", "kind", "n.*")
 
 
