@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.scan import numbered
 from ..sources.shared import store
 
-SHARD_WORDS = 1 << 22  # words and rows of a shard
+SHARD_WORDS = 1 << 18  # words and rows of a shard
 
 
 def apportion(parties: DataFrame) -> DataFrame:
@@ -70,7 +70,7 @@ def mix_sources(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: fl
 
     Sources in order of code points, null last, have the weights in turn. Blocks hold equal numbers of words: ``block_words``, less
     where the smallest target would not hold 256 blocks. Sainte-Lague gives each source its quota of the blocks, and each of a
-    source's shards (documents by seeded hash, about 4 million words and rows) its quota of the source's. In a
+    source's shards (documents by seeded hash, about 260,000 words and rows) its quota of the source's. In a
     shard, documents in seeded order are one ring of blocks: a quota is whole rounds of it, and a run of blocks from a seeded one. No
     document is taken more than ``most`` times. A source differs from its target by about a block.
 
@@ -125,7 +125,7 @@ def op12_source_mixing(spark, sf_dir: str) -> DataFrame:
     return mix_sources(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "size", "source_size", "target", "taken")
 
 
-# Sainte-Lague by listing all quotients; the shards of the mix hold 2^22 words and rows
+# Sainte-Lague by listing all quotients; the shards of the mix hold 2^18 words and rows
 OP12_SQL = rf"""
 WITH d AS (
   SELECT doc_id, source, size, md5('11:' || coalesce(doc_id::VARCHAR, '') || ':' || size::VARCHAR) AS key
