@@ -223,18 +223,21 @@ def next_page(body: Column, link: Column, url: Column) -> Column:
 
     def of(s: Column) -> Column:
         m, pairs = s["m"], s["pairs"]
-        nested = {c: _last(_targets(members(_last(m, [c], "object"))), NEXT_KEYS, "url") for c in NEXT_CONTAINERS}
+        nested = {c: U.let(_targets(members(_last(m, [c], "object"))), lambda x: _last(x, NEXT_KEYS, "url")) for c in NEXT_CONTAINERS}
 
         def turned(names: list[str], value: Column) -> Column:
             """The URL with the value in the parameter; null without the parameter."""
-            own = _last(pairs, names, "k")
-            put = F.transform(pairs, lambda p: F.struct(p["k"].alias("k"), F.when(p["k"] == own, value).otherwise(p["v"]).alias("v")))
-            return F.when(own.isNotNull() & value.isNotNull(), F.concat(F.substring_index(url, "?", 1), F.lit("?"), U.encode_pairs(put)))
 
-        page, pages = _last(m, CURRENT_PAGE_KEYS, "n"), _last(m, TOTAL_PAGE_KEYS, "n")
+            def put(x: Column) -> Column:
+                changed = F.transform(pairs, lambda p: F.struct(p["k"].alias("k"), F.when(p["k"] == x["own"], x["value"]).otherwise(p["v"]).alias("v")))
+                return F.when(x["own"].isNotNull() & x["value"].isNotNull(), F.concat(F.substring_index(url, "?", 1), F.lit("?"), U.encode_pairs(changed)))
+
+            return U.let(F.struct(_last(pairs, names, "k").alias("own"), value.alias("value")), put)
+
+        turn = U.let(F.struct(_last(m, CURRENT_PAGE_KEYS, "n").alias("page"), _last(m, TOTAL_PAGE_KEYS, "n").alias("pages")), lambda x: F.when(x["page"] < x["pages"], (x["page"] + 1).cast("string")))
         found = [("http_link_next", s["link"]), ("json_next", _last(m, NEXT_KEYS, "url")), *[(f"json_{c}_next", v) for c, v in nested.items()]]
-        found += [("numeric_page", turned(PAGE_QUERY_KEYS, F.when(page < pages, (page + 1).cast("string")))), ("cursor", turned(CURSOR_QUERY_KEYS, _last(m, CURSOR_KEYS, "text")))]
-        return F.coalesce(*[F.when(v.isNotNull(), F.struct(F.lit(k).alias("strategy"), v.alias("raw"))) for k, v in found])
+        found += [("numeric_page", turned(PAGE_QUERY_KEYS, turn)), ("cursor", turned(CURSOR_QUERY_KEYS, _last(m, CURSOR_KEYS, "text")))]
+        return F.try_element_at(F.filter(F.array(*[F.struct(F.lit(k).alias("strategy"), v.alias("raw")) for k, v in found]), lambda x: x["raw"].isNotNull()), F.lit(1))
 
     candidate = U.let(F.struct(_targets(members(body)).alias("m"), U.pairs(url).alias("pairs"), by_link.alias("link")), of)
 

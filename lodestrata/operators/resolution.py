@@ -71,7 +71,7 @@ def redirect_allowed(url: Column, hosts: Column) -> Column:
 
 def forbidden_methods(methods: Column) -> Column:
     """F66. Methods beyond GET and HEAD."""
-    return F.array_except(F.transform(methods, F.upper), F.array(F.lit("GET"), F.lit("HEAD")))
+    return F.array_except(F.transform(methods, lambda m: F.upper(m)), F.array(F.lit("GET"), F.lit("HEAD")))
 
 
 def form_confirmed(url: Column, html: Column, patterns: list[str]) -> Column:
@@ -192,8 +192,9 @@ def decode_body(content: Column, content_type: Column) -> Column:
 
 
 def pagination_chain(pages: DataFrame, key: str, order: str, most_pages: int = 5, most_records: int = 5000, stagnant: int = 2) -> DataFrame:
-    """G05. Pages of each API chain with the stop rule that ends it at or before them, null while it goes on: repeated URL
-    or payload, change of format, page and record budgets, pages without records."""
+    """G05. Pages of each API chain, given in order, with the stop rule that ends it at or before them, null while it goes on: a
+    repeated URL, a change of format, a repeated payload, pages without records in a row (the first page aside), as many pages
+    or records as allowed. ``api_crawl.pagination_chains`` finds the pages itself."""
     w = Window.partitionBy(key).orderBy(order)
     upto = w.rowsBetween(Window.unboundedPreceding, 0)
     p = pages.withColumns(
@@ -207,8 +208,8 @@ def pagination_chain(pages: DataFrame, key: str, order: str, most_pages: int = 5
         }
     )
     rule = (
-        F.when(F.col("__u") > 1, "REPEATED_URL").when(F.col("__h") > 1, "REPEATED_PAYLOAD").when(F.col("format") != F.col("__f"), "FORMAT_CHANGED")
-        .when(F.col("__n") >= most_pages, "MAX_PAGES").when(F.col("__r") >= most_records, "MAX_RECORDS").when((F.col("__n") >= stagnant) & (F.col("__s") == 0), "STAGNANT")
+        F.when(F.col("__u") > 1, "REPEATED_URL").when(F.col("format") != F.col("__f"), "FORMAT_CHANGED").when(F.col("__h") > 1, "REPEATED_PAYLOAD")
+        .when((F.col("__n") > stagnant) & (F.col("__s") == 0), "STAGNANT").when(F.col("__n") >= most_pages, "MAX_PAGES").when(F.col("__r") >= most_records, "MAX_RECORDS")
     )
     p = p.withColumn("__rule", rule)
     return p.withColumn("stop_reason", F.first("__rule", ignorenulls=True).over(upto)).drop("__n", "__r", "__u", "__h", "__f", "__s", "__rule")

@@ -183,7 +183,7 @@ def first_successful_stage(spark, sf_dir):
 
 @query("""WITH p AS (SELECT o_custkey AS c, o_orderkey AS o, o_orderkey % 23 AS u, o_orderkey % 31 AS h, o_orderstatus = 'P' AS f, o_orderkey % 3 AS r FROM orders),
 w AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY o) AS n, sum(r) OVER (PARTITION BY c ORDER BY o) AS total, row_number() OVER (PARTITION BY c, u ORDER BY o) AS un, row_number() OVER (PARTITION BY c, h ORDER BY o) AS hn, first(f) OVER (PARTITION BY c ORDER BY o) AS f0, sum(r) OVER (PARTITION BY c ORDER BY o ROWS 1 PRECEDING) AS recent FROM p),
-s AS (SELECT *, CASE WHEN un > 1 THEN 'REPEATED_URL' WHEN hn > 1 THEN 'REPEATED_PAYLOAD' WHEN f <> f0 THEN 'FORMAT_CHANGED' WHEN n >= 5 THEN 'MAX_PAGES' WHEN total >= 5000 THEN 'MAX_RECORDS' WHEN n >= 2 AND recent = 0 THEN 'STAGNANT' END AS rule FROM w)
+s AS (SELECT *, CASE WHEN un > 1 THEN 'REPEATED_URL' WHEN f <> f0 THEN 'FORMAT_CHANGED' WHEN hn > 1 THEN 'REPEATED_PAYLOAD' WHEN n > 2 AND recent = 0 THEN 'STAGNANT' WHEN n >= 5 THEN 'MAX_PAGES' WHEN total >= 5000 THEN 'MAX_RECORDS' END AS rule FROM w)
 SELECT c, o, first(rule IGNORE NULLS) OVER (PARTITION BY c ORDER BY o) AS stop_reason FROM s""")
 def pagination_stops(spark, sf_dir):
     """G05."""
