@@ -109,9 +109,12 @@ def package_totals(manifest: DataFrame, files: DataFrame) -> DataFrame:
     return m.join(F.broadcast(f)).select((F.col("mn") == F.col("fn")).alias("same_count"), F.col("mr").eqNullSafe(F.col("fr")).alias("same_records"), F.col("fr").alias("records"))
 
 
-def projection_outcome(records: Column, failed: Column, acquisition: Column) -> Column:
-    """Z55."""
-    return F.when(acquisition, "ACQUISITION").when(failed, "FAILED").when(F.coalesce(records, F.lit(0)) > 0, "READY").otherwise("PROJECTION_EMPTY")
+def projection_outcome(records: Column, error: Column, special: Column) -> Column:
+    """Z55. A source's outcome: special ones give an acquisition job or fail (ACQUISITION_JOB_READY, SPECIALIZATION_FAILED), others
+    PROJECTION_FAILED, PROJECTION_EMPTY or DATAX_READY by their error and number of records. ``error``: a message or null."""
+    failed = error.isNotNull()
+    plain = F.when(failed, "PROJECTION_FAILED").when(F.coalesce(records, F.lit(0)) > 0, "DATAX_READY").otherwise("PROJECTION_EMPTY")
+    return F.when(F.coalesce(special, F.lit(False)), F.when(failed, "SPECIALIZATION_FAILED").otherwise("ACQUISITION_JOB_READY")).otherwise(plain)
 
 
 def consumer_contract(manifest: DataFrame, duplicates: DataFrame) -> DataFrame:

@@ -133,10 +133,18 @@ def evidence_counts(resources: DataFrame) -> DataFrame:
     return resources.select("url", kinds.alias("kind")).groupBy("kind").agg(F.countDistinct("url").alias("urls"))
 
 
-def pipeline_state(rows: DataFrame, expected: int) -> DataFrame:
-    """A32. PARTIAL, FAILED, PACKAGE_NOT_BUILT, PACKAGE_REVIEW or READY, as one row."""
-    a = rows.agg(F.count("*").alias("n"), F.count_if(F.col("status") == "FAILED").alias("failed"), F.bool_or("packaged").alias("packaged"), F.count_if(F.col("review")).alias("review"))
-    return a.select(F.when(F.col("n") < expected, "PARTIAL").when(F.col("failed") > 0, "FAILED").when(~F.coalesce("packaged", F.lit(False)), "PACKAGE_NOT_BUILT").when(F.col("review") > 0, "PACKAGE_REVIEW").otherwise("READY").alias("state"))
+# Classes that end well.
+GOOD_CLASSES = ["DATAX_READY", "ACQUISITION_JOB_READY", "EXTERNAL_BLOCKER"]
+
+
+def pipeline_state(rows: DataFrame, package: DataFrame) -> DataFrame:
+    """A32. One row: PARTIAL while a source's classification is PENDING, FAILED if any is not among GOOD_CLASSES (null included),
+    else PACKAGE_NOT_BUILT without a row in ``package`` (package_ready), PACKAGE_REVIEW if it is not ready, READY."""
+    c = F.col("classification")
+    a = rows.agg(F.count_if(c == "PENDING").alias("pending"), F.count_if(~F.coalesce(c.isin("PENDING", *GOOD_CLASSES), F.lit(False))).alias("unresolved"))
+    p = package.agg(F.count("*").alias("built"), F.bool_and(F.coalesce("package_ready", F.lit(False))).alias("ready"))
+    state = F.when(F.col("pending") > 0, "PARTIAL").when(F.col("unresolved") > 0, "FAILED").when(F.col("built") == 0, "PACKAGE_NOT_BUILT").when(~F.col("ready"), "PACKAGE_REVIEW").otherwise("READY")
+    return a.join(F.broadcast(p)).select("pending", "unresolved", state.alias("state"))  # one row each
 
 
 def capped(rows: DataFrame, key: str, identity: str, order: str, limit: int) -> DataFrame:

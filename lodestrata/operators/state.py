@@ -1,10 +1,13 @@
-"""State machines over run histories as window expressions: health, cadence, checkpoints, pagination yield, eligibility."""
+"""State machines over run histories as running aggregates: health, cadence, checkpoints, pagination yield, eligibility."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.shared import store as to_shared
+from .scan import lagged, large_keys, numbered, running, since
+
 # Fixed values.
 SUSPEND_AFTER = 3
 TO_WEEKLY, TO_MONTHLY = 7, 4
@@ -13,28 +16,19 @@ TRANSITIONS = {"PENDING": ["RUNNING", "SKIPPED_STATUS"], "RUNNING": ["SUCCEEDED"
 STATES = ["PENDING", "RUNNING", "SUCCEEDED", "FAILED", "SKIPPED_STATUS"]
 
 
-def streak(df: DataFrame, hit: Column, key: str, order: list[str], name: str) -> DataFrame:
-    """Length of the run of rows, up to each row, for which ``hit`` holds (gaps and islands)."""
-    w = Window.partitionBy(key).orderBy(*order)
-    island = F.sum((~hit).cast("int")).over(w)
-    inner = Window.partitionBy(key, "__island").orderBy(*order)
-    return df.withColumn("__island", island).withColumn(name, F.sum(hit.cast("int")).over(inner)).drop("__island")
-
-
-def health(runs: DataFrame, key: str = "source_id", order: tuple[str, ...] = ("ts", "run_id")) -> DataFrame:
-    """G09. failures (consecutive) and health after each run: ACTIVE, WARNING, SUSPENDED from the third failure on."""
-    out = streak(runs, F.col("status") == "FAILED", key, list(order), "failures")
+def health(runs: DataFrame, key: str = "source_id", order: tuple[str, ...] = ("ts", "run_id"), large: list | None = None) -> DataFrame:
+    """G09. failures (consecutive) and health after each run: ACTIVE, WARNING, SUSPENDED from the third failure on. A source with
+    most of the runs is scanned in ranges (see ``scan``)."""
+    failed = F.col("status") == "FAILED"
+    out = since(runs, [key], list(order), failed, ~failed, "failures", large=large)
     return out.withColumn("health", F.when(F.col("failures") == 0, "ACTIVE").when(F.col("failures") < SUSPEND_AFTER, "WARNING").otherwise("SUSPENDED"))
 
 
-def cadence(runs: DataFrame, key: str = "source_id", order: tuple[str, ...] = ("ts", "run_id"), base: str = "DAILY") -> DataFrame:
+def cadence(runs: DataFrame, key: str = "source_id", order: tuple[str, ...] = ("ts", "run_id"), base: str = "DAILY", large: list | None = None) -> DataFrame:
     """G10 and D01. Cadence after each run and the next due time. A change resets to the base; unchanged runs count;
     failures count neither way. From a daily base the 7th unchanged run makes WEEKLY and, as the count goes on, the 8th
     MONTHLY; from a weekly base the 4th makes MONTHLY."""
-    w = Window.partitionBy(key).orderBy(*order)
-    inner = Window.partitionBy(key, "__epoch").orderBy(*order)
-    out = runs.withColumn("__epoch", F.sum((F.col("status") == "CHANGED").cast("int")).over(w))
-    out = out.withColumn("unchanged", F.sum((F.col("status") == "NO_CHANGE").cast("int")).over(inner))
+    out = since(runs, [key], list(order), F.col("status") == "NO_CHANGE", F.col("status") == "CHANGED", "unchanged", large=large)
     n = F.col("unchanged")
     after = {
         "DAILY": F.when(n >= TO_WEEKLY + 1, "MONTHLY").when(n >= TO_WEEKLY, "WEEKLY").otherwise("DAILY"),
@@ -44,7 +38,7 @@ def cadence(runs: DataFrame, key: str = "source_id", order: tuple[str, ...] = ("
     days = F.lit(DAYS["MONTHLY"])
     for name, d in DAYS.items():
         days = F.when(F.col("cadence") == name, F.lit(d)).otherwise(days)
-    return out.withColumn("cadence", after).withColumn("next_eligible_at", F.col("ts") + F.make_dt_interval(days)).drop("__epoch")
+    return out.withColumn("cadence", after).withColumn("next_eligible_at", F.col("ts") + F.make_dt_interval(days))
 
 
 def eligibility(sources: DataFrame, now: Column, force: bool = False) -> DataFrame:
@@ -55,8 +49,9 @@ def eligibility(sources: DataFrame, now: Column, force: bool = False) -> DataFra
 
 def after_run(runs: DataFrame) -> DataFrame:
     """G11. Health, cadence and next due time after each run; a failure retries in four hours unless it suspends."""
-    h = health(runs).select("source_id", "run_id", "failures", "health")
-    out = cadence(runs).join(h, ["source_id", "run_id"])
+    large = large_keys(runs, ["source_id"])
+    h = health(runs, large=large).select("source_id", "run_id", "failures", "health")
+    out = cadence(runs, large=large).join(h, ["source_id", "run_id"])
     retry = F.when(F.col("health") != "SUSPENDED", F.col("ts") + F.expr("INTERVAL 4 HOURS"))
     return out.withColumn("next_eligible_at", F.when(F.col("status") == "FAILED", retry).otherwise(F.col("next_eligible_at")))
 
@@ -64,16 +59,20 @@ def after_run(runs: DataFrame) -> DataFrame:
 def pagination_yield(pages: DataFrame, family: str, order: list[str], new: str, least: int = 2, empty: int = 2, window: int = 3) -> DataFrame:
     """W08. Per page: page number, trailing empty pages, recent yield, and whether the family has stopped (for good) by
     then. A stopped family is not observed further, so its later pages repeat the state."""
-    w = Window.partitionBy(family).orderBy(*order)
-    out = streak(pages.withColumn("__new", F.greatest(F.lit(0), F.col(new))), F.col("__new") == 0, family, order, "empty_streak")
-    out = out.withColumn("page_no", F.row_number().over(w)).withColumn("recent", F.sum("__new").over(w.rowsBetween(1 - window, 0)))
+    p = pages.withColumns({"__new": F.greatest(F.lit(0), F.col(new)), "__one": F.lit(1).cast("long")})
+    large = large_keys(p, [family])
+    store = to_shared if large else lambda df: df
+    out = store(since(p, [family], order, F.col("__new") == 0, F.col("__new") != 0, "empty_streak", large=large))
+    out = store(running(out, [family], order, {"page_no": ("sum", "__one"), "__sum": ("sum", "__new")}, large=large))
+    out = lagged(out, [family], order, "__sum", "__earlier", window, large=large).withColumn("recent", F.col("__sum") - F.coalesce("__earlier", F.lit(0)))
     stop = (F.col("page_no") >= least) & (F.col("empty_streak") >= empty) & (F.col("recent") == 0)
-    return out.withColumn("stopped", F.max(stop).over(w)).drop("__new")
+    out = running(store(out.withColumn("__stop", stop.cast("int"))), [family], order, {"__stopped": ("max", "__stop")}, large=large)
+    return out.withColumn("stopped", F.col("__stopped") > 0).withColumn("page_no", F.col("page_no").cast("int")).drop("__new", "__one", "__sum", "__earlier", "__stop", "__stopped")
 
 
 def checkpoint_check(events: DataFrame, key: str, order: list[str], state: str) -> DataFrame:
     """G12. Each event with the state before it and whether the step is allowed; the first state must be PENDING."""
-    out = events.withColumn("previous", F.lag(state).over(Window.partitionBy(key).orderBy(*order)))
+    out = lagged(events, [key], order, state, "previous")
     ok = F.col("previous").isNull() & (F.col(state) == "PENDING")
     for a, b in TRANSITIONS.items():
         ok = ok | (F.coalesce(F.col("previous") == a, F.lit(False)) & F.col(state).isin(*b))
@@ -119,7 +118,7 @@ def state_summary(checkpoint: DataFrame) -> DataFrame:
 
 def within_budget(requests: DataFrame, key: str, order: list[str], budget: int) -> DataFrame:
     """G18. The first ``budget`` requests of each key."""
-    return requests.withColumn("request_no", F.row_number().over(Window.partitionBy(key).orderBy(*order))).where(F.col("request_no") <= budget)
+    return numbered(requests, [key], order, "request_no").withColumn("request_no", F.col("request_no").cast("int")).where(F.col("request_no") <= budget)
 
 
 def backoff(attempt: Column, base: float = 1.0) -> Column:
@@ -128,8 +127,8 @@ def backoff(attempt: Column, base: float = 1.0) -> Column:
 
 
 def retry_after(value: Column, now: Column, most: int = 120) -> Column:
-    """D06. Seconds from a Retry-After header: a number or an HTTP date; capped; null if neither."""
+    """D06. Seconds from a Retry-After header: a number, null if it is negative, or an HTTP date (0 if it is past); capped; null if neither."""
     seconds = F.trim(value).try_cast("double")
     date = F.try_to_timestamp(F.substring(F.trim(value), 6, 100), F.lit("dd MMM yyyy HH:mm:ss z"))
-    wait = F.coalesce(seconds, (F.unix_micros(date) - F.unix_micros(now)) / 1e6)
-    return F.when(wait.isNotNull(), F.least(F.greatest(wait, F.lit(0.0)), F.lit(float(most))))
+    wait = F.when(seconds.isNotNull(), F.when(seconds >= 0, seconds)).when(date.isNotNull(), F.greatest(F.lit(0.0), (F.unix_micros(date) - F.unix_micros(now)) / 1e6))
+    return F.when(wait.isNotNull(), F.least(wait, F.lit(float(most))))

@@ -143,13 +143,22 @@ def evidence_method_counts(spark, sf_dir):
     return resolution.evidence_counts(r)
 
 
-@query("SELECT c_nationkey, CASE WHEN n < 60 THEN 'PARTIAL' WHEN failed > 0 THEN 'FAILED' WHEN NOT packaged THEN 'PACKAGE_NOT_BUILT' WHEN review > 0 THEN 'PACKAGE_REVIEW' ELSE 'READY' END AS state, n = 60 AND machines = n AS ready FROM (SELECT 0 AS c_nationkey, count(*) AS n, count(*) FILTER (c_acctbal < -990) AS failed, bool_or(c_acctbal > 9000) AS packaged, count(*) FILTER (c_mktsegment = 'MACHINERY') AS review, count(*) FILTER (c_mktsegment = 'MACHINERY') AS machines FROM customer)")
+_CLASSES = "['DATAX_READY', 'EXTERNAL_BLOCKER', 'ACQUISITION_JOB_READY', CASE n_nationkey % 5 WHEN 1 THEN 'PENDING' ELSE 'DATAX_READY' END, CASE n_nationkey % 4 WHEN 1 THEN 'PROJECTION_EMPTY' ELSE 'EXTERNAL_BLOCKER' END]"
+
+
+@query(f"""WITH c AS (SELECT c_nationkey, {_CLASSES.replace('n_nationkey', 'c_nationkey')}[c_custkey % 5 + 1] AS class FROM customer)
+SELECT n_nationkey, count(class) FILTER (class = 'PENDING') AS pending, count(class) FILTER (class = 'PROJECTION_EMPTY') AS unresolved,
+CASE WHEN count(class) FILTER (class = 'PENDING') > 0 THEN 'PARTIAL' WHEN count(class) FILTER (class = 'PROJECTION_EMPTY') > 0 THEN 'FAILED' WHEN n_nationkey % 3 = 0 THEN 'PACKAGE_NOT_BUILT' WHEN n_nationkey % 3 = 1 THEN 'PACKAGE_REVIEW' ELSE 'READY' END AS state,
+count(class) FILTER (class = 'DATAX_READY') = count(class) AND count(class) = 60 AS ready FROM nation LEFT JOIN c ON c_nationkey = n_nationkey WHERE n_nationkey < 8 GROUP BY 1""")
 def pipeline_states(spark, sf_dir):
-    """A32, F78."""
-    c = table(spark, sf_dir, "customer")
-    rows = c.select(F.when(F.col("c_acctbal") < -990, "FAILED").otherwise("DONE").alias("status"), (F.col("c_acctbal") > 9000).alias("packaged"), (F.col("c_mktsegment") == "MACHINERY").alias("review"))
-    ready = resolution.package_ready(c.select(F.col("c_mktsegment").alias("classification")), 60, ["MACHINERY"])
-    return resolution.pipeline_state(rows, 60).join(F.broadcast(ready)).select(F.lit(0).alias("c_nationkey"), "state", "ready")
+    """A32, F78, for the customers of each of eight nations."""
+    c, out = table(spark, sf_dir, "customer"), None
+    for n in range(8):
+        rows = c.where(F.col("c_nationkey") == n).select(F.expr(_CLASSES.replace("[", "array(").replace("]", ")").replace("n_nationkey", str(n)))[(F.col("c_custkey") % 5).cast("int")].alias("classification"))
+        package = table(spark, sf_dir, "nation").where(f"n_nationkey = {n} AND {n % 3} > 0").select(F.lit(n % 3 == 2).alias("package_ready"))
+        one = resolution.pipeline_state(rows, package).join(F.broadcast(resolution.package_ready(rows, 60, ["DATAX_READY"]))).select(F.lit(n).cast("long").alias("n_nationkey"), "pending", "unresolved", "state", "ready")
+        out = one if out is None else out.union(one)
+    return out
 
 
 @query("SELECT c_custkey AS source_id FROM customer LEFT JOIN (SELECT o_custkey, arg_max(o_orderstatus, o_orderkey) AS s, arg_max(o_orderpriority, o_orderkey) AS p FROM orders GROUP BY 1) ON o_custkey = c_custkey WHERE s IS NULL OR s <> 'O' OR p = '1-URGENT'")

@@ -56,14 +56,14 @@ def url_scalars(spark, sf_dir):
     )
 
 
-_misc, _misc_sql = cases({"name": ["a.zip", "b.TAR", "c.csv", "d.tgz", "e.gz"], "path": ["ok/a.csv", "/abs", "../up", "a/../b", "a/..b"], "flow": ["HTTP-HTML", "Java Script", "api", "java_script"], "stamp": ["2024-01-02T03:04:05Z", "2024-01-02T03:04:05+02:00", "2024-01-02 03:04:05", "none", None], "retry": ["5", " 500 ", "-1", "x", None], "attempt": [1, 2, 5], "artifacts": [0, 3, None], "logged": [0, 7, None], "methods": ["get", "post", "HEAD"], "link": ['"https://a.org/1"', '{"url": "https://a.org/2"}', '{"href": "/3"}', "https://a.org/4"], "records": [0, 4, None], "failed": [True, False], "acquisition": [True, False, False]})
+_misc, _misc_sql = cases({"name": ["a.zip", "b.TAR", "c.csv", "d.tgz", "e.gz"], "path": ["ok/a.csv", "/abs", "../up", "a/../b", "a/..b"], "flow": ["HTTP-HTML", "Java Script", "api", "java_script"], "stamp": ["2024-01-02T03:04:05Z", "2024-01-02T03:04:05+02:00", "2024-01-02 03:04:05", "none", None], "retry": ["5", " 500 ", "-1", "x", None], "attempt": [1, 2, 5], "artifacts": [0, 3, None], "logged": [0, 7, None], "methods": ["get", "post", "HEAD"], "link": ['"https://a.org/1"', '{"url": "https://a.org/2"}', '{"href": "/3"}', "https://a.org/4"], "records": [0, 4, None], "error": ["rc=2", None], "special": [True, False, None]})
 
 
 @query(f"""SELECT k, name <> 'c.csv' AS archive, path IN ('/abs', '../up', 'a/../b') AS unsafe, CASE regexp_replace(lower(flow), '[^a-z0-9]', '', 'g') WHEN 'javascript' THEN 'js' ELSE regexp_replace(lower(flow), '[^a-z0-9]', '', 'g') END AS flow,
 CASE stamp WHEN '2024-01-02T03:04:05Z' THEN TIMESTAMP '2024-01-02 03:04:05' WHEN '2024-01-02T03:04:05+02:00' THEN TIMESTAMP '2024-01-02 01:04:05' WHEN '2024-01-02 03:04:05' THEN TIMESTAMP '2024-01-02 03:04:05' END AS stamp,
-CASE WHEN try_cast(trim(retry) AS DOUBLE) IS NOT NULL THEN least(greatest(try_cast(trim(retry) AS DOUBLE), 0), 120) END AS retry, 2.0 ^ (attempt - 1) AS backoff, greatest(coalesce(artifacts, 0), coalesce(logged, 0))::INT AS resources,
+CASE WHEN try_cast(trim(retry) AS DOUBLE) >= 0 THEN least(try_cast(trim(retry) AS DOUBLE), 120) END AS retry, 2.0 ^ (attempt - 1) AS backoff, greatest(coalesce(artifacts, 0), coalesce(logged, 0))::INT AS resources,
 CASE WHEN coalesce(artifacts, 0) > 0 THEN 'L1' WHEN coalesce(logged, 0) > 0 THEN 'L0' ELSE 'NEG' END AS level, (methods = 'post')::INT AS forbidden, CASE WHEN link LIKE '"%' THEN trim(link, '"') WHEN link LIKE '{{%' THEN regexp_extract(link, ': "([^"]*)"', 1) ELSE link END AS link,
-CASE WHEN acquisition THEN 'ACQUISITION' WHEN failed THEN 'FAILED' WHEN coalesce(records, 0) > 0 THEN 'READY' ELSE 'PROJECTION_EMPTY' END AS outcome FROM ({_misc_sql})""")
+CASE WHEN special THEN CASE WHEN error IS NULL THEN 'ACQUISITION_JOB_READY' ELSE 'SPECIALIZATION_FAILED' END WHEN error IS NOT NULL THEN 'PROJECTION_FAILED' WHEN records > 0 THEN 'DATAX_READY' ELSE 'PROJECTION_EMPTY' END AS outcome FROM ({_misc_sql})""")
 def bookkeeping_scalars(spark, sf_dir):
     """D02, D05, D06, F34, F66, F77, S13, Z15, Z39, Z40, Z55."""
     m = _misc(spark, sf_dir)
@@ -71,36 +71,62 @@ def bookkeeping_scalars(spark, sf_dir):
     return m.select(
         "k", files.is_archive(F.col("name")).alias("archive"), catalog.unsafe_path(F.col("path")).alias("unsafe"), T.workflow_name(F.col("flow"), {"javascript": "js"}).alias("flow"), resolution.utc(F.col("stamp")).cast("timestamp_ntz").alias("stamp"),
         state.retry_after(F.col("retry"), F.lit("2024-01-01 00:00:00").cast("timestamp")).alias("retry"), state.backoff(F.col("attempt")).alias("backoff"), level["resources"].alias("resources"), level["level"].alias("level"),
-        F.size(resolution.forbidden_methods(F.array("methods"))).alias("forbidden"), packages.link_of(F.col("link")).alias("link"), packages.projection_outcome(*_c("records", "failed", "acquisition")).alias("outcome"),
+        F.size(resolution.forbidden_methods(F.array("methods"))).alias("forbidden"), packages.link_of(F.col("link")).alias("link"), packages.projection_outcome(*_c("records", "error", "special")).alias("outcome"),
     )
 
 
-@query(f"""SELECT k, CASE WHEN code IS NULL OR code = 429 OR code >= 500 THEN 'unreachable' WHEN code >= 200 AND code < 300 THEN 'rules' ELSE 'unavailable' END AS kind, CASE WHEN seconds >= 900 THEN 'MAX_RUNTIME' WHEN requests >= 250 THEN 'REQUEST_BUDGET_REACHED' WHEN errors >= 5 THEN 'MAX_CONSECUTIVE_ERRORS' WHEN urls >= 250 THEN 'MAX_URLS' WHEN queued = 0 THEN 'QUEUE_EXHAUSTED' END AS stop FROM ({(_stops := cases({"code": [200, 204, 301, 404, 429, 500, 503, None], "seconds": [10, 900, 20], "requests": [1, 250, 3], "errors": [0, 5, 1], "urls": [10, 250, 20], "queued": [0, 4]}))[1]})""")
+@query(f"""SELECT k, CASE WHEN code BETWEEN 200 AND 299 THEN 'rules' WHEN code BETWEEN 400 AND 499 AND code <> 429 THEN 'unavailable' ELSE 'unreachable' END AS kind, CASE WHEN seconds >= 900 THEN 'MAX_RUNTIME' WHEN requests >= 250 THEN 'REQUEST_BUDGET_REACHED' WHEN errors >= 5 THEN 'MAX_CONSECUTIVE_ERRORS' WHEN urls >= 250 THEN 'MAX_URLS' WHEN queued = 0 THEN 'QUEUE_EXHAUSTED' END AS stop FROM ({(_stops := cases({"code": [200, 204, 301, 404, 429, 500, 503, None], "seconds": [10, 900, 20], "requests": [1, 250, 3], "errors": [0, 5, 1], "urls": [10, 250, 20], "queued": [0, 4]}))[1]})""")
 def crawl_stops(spark, sf_dir):
     """G08, S06."""
     s = _stops[0](spark, sf_dir)
     return s.select("k", frontier.robots_kind(F.col("code")).alias("kind"), frontier.stop_reason(*_c("queued", "urls", "seconds", "requests", "errors")).alias("stop"))
 
 
-@query("""SELECT page_id, 'https://a.org/private/' || page_id AS sitemap, page_id % 3 <> 0 AS private_allowed, true AS open_allowed FROM pages""")
-def robots_decisions(spark, sf_dir):
-    """A file of each page, which forbids /private for two in three of them but /private/<id>."""
-    forbid = F.when(F.col("page_id") % 3 == 0, "Disallow: /private # not this").otherwise("Disallow:")
-    lines = F.concat_ws("\n", F.lit("User-agent: other\nDisallow: /\n\nUser-agent: *"), forbid, F.concat(F.lit("Allow: /private/ok/"), F.col("page_id").cast("string")), F.concat(F.lit("SiteMap:  https://a.org/private/"), F.col("page_id").cast("string")), F.concat(F.lit("sitemap: https://a.org/private/"), F.col("page_id").cast("string")))
-    p = table(spark, sf_dir, "pages").select("page_id", lines.alias("robots"))
-    rules = frontier.robots_rules(F.col("robots"))
-    return p.select("page_id", frontier.robots_sitemaps(F.col("robots"))[0].alias("sitemap"), frontier.robots_allowed(F.lit("/private/x"), rules).alias("private_allowed"), frontier.robots_allowed(F.concat(F.lit("/private/ok/"), F.col("page_id").cast("string")), rules).alias("open_allowed"))
+_ROBOTS = "# all\nUser-agent: LodeBot # us\nUser-agent: other\nCrawl-delay: 3\nDisallow: /x/\n\nDisallow: /never\nUser-agent: none\n\nUSER-AGENT: *\nDisallow: /private\nAllow: /private/ok\nDisallow: /tmp%20x\nDisallow:\nDisallow: /free\n"
 
 
-@query("""SELECT 'http://a/' || page_id AS start, 'http://a/' || last AS url, (last - page_id)::INT AS hops, 'FINAL' AS outcome FROM (SELECT page_id, least(page_id // 4 * 4 + 3, (SELECT max(page_id) + 1 FROM pages)) AS last FROM pages)
-UNION ALL SELECT 'http://loop/' || page_id, 'http://back/' || page_id, 1, 'LOOP' FROM pages""")
+@query("""WITH p AS (SELECT page_id, ['LodeBot/1.0', 'plain', 'OTHER-thing'][page_id % 3 + 1] AS agent, ['https://a.org/x/', 'https://a.org/private/ok/', 'https://a.org/tmp%20x/', 'https://a.org/free?n=', 'ftp://a.org/'][page_id % 5 + 1] || page_id AS url, [200, 204, 301, 404, 429, 503, NULL][page_id % 7 + 1] AS status, page_id % 11 = 0 AS skip, CASE page_id % 2 WHEN 0 THEN 'agreed' ELSE ' ' END AS reason FROM pages),
+r AS (SELECT *, CASE WHEN agent = 'plain' THEN url NOT LIKE '%/private/%' AND url NOT LIKE '%/tmp%' ELSE url NOT LIKE '%/x/%' END AS open FROM p),
+d AS (SELECT page_id, CASE WHEN url LIKE 'ftp%' THEN 'INVALID_URL' WHEN skip AND reason = ' ' THEN 'ROBOTS_OVERRIDE_REASON_REQUIRED' WHEN skip THEN 'ROBOTS_OVERRIDE' WHEN status = 404 THEN 'ROBOTS_UNAVAILABLE_ALLOW' WHEN status IS NULL OR status NOT IN (200, 204) THEN 'ROBOTS_UNREACHABLE' WHEN open THEN 'ROBOTS_ALLOWED' ELSE 'ROBOTS_DISALLOWED' END AS code FROM r)
+SELECT page_id, 'https://a.org/private/' || page_id AS sitemap, code IN ('ROBOTS_OVERRIDE', 'ROBOTS_UNAVAILABLE_ALLOW', 'ROBOTS_ALLOWED') AS allowed, code FROM d""")
+def robots_decisions(spark, sf_dir):
+    """Three agents, one of them without a group of its own; the first matching rule decides, not the longest."""
+    i = F.col("page_id").cast("string")
+    pick = lambda values: F.element_at(F.array(*[F.lit(v).cast("string") for v in values]), (F.col("page_id") % len(values) + 1).cast("int"))
+    text = F.concat(F.lit(_ROBOTS), F.lit("SiteMap:  https://a.org/private/"), i, F.lit("\nsitemap: https://a.org/private/"), i)
+    p = table(spark, sf_dir, "pages").withColumns({"robots": text, "agent": pick(["LodeBot/1.0", "plain", "OTHER-thing"]), "status": pick([200, 204, 301, 404, 429, 503, None]).cast("int")})
+    p = p.withColumn("target", F.concat(pick(["https://a.org/x/", "https://a.org/private/ok/", "https://a.org/tmp%20x/", "https://a.org/free?n=", "ftp://a.org/"]), i))
+    decision = frontier.robots_decision(F.col("status"), F.col("robots"), F.col("target"), F.col("agent"), F.col("page_id") % 11 == 0, F.when(F.col("page_id") % 2 == 0, "agreed").otherwise(" "))
+    return p.select("page_id", frontier.robots_sitemaps(F.col("robots"))[0].alias("sitemap"), decision.alias("d")).select("page_id", "sitemap", "d.*")
+
+
+@query("""WITH p AS (SELECT page_id AS i, page_id // 4 * 4 + 3 AS last, (SELECT max(page_id) FROM pages) AS most FROM pages)
+SELECT 'http://a/' || i AS start, 'http://a/' || CASE WHEN i = last THEN i WHEN i = most THEN i + 1 WHEN i % 3 = 0 THEN least(i + 2, last, most + 1) ELSE least(last, most + 1) END AS url,
+  CASE WHEN i = last THEN 200 WHEN i % 3 = 0 AND i + 2 <= last THEN NULL WHEN least(last, most + 1) = last AND last <= most THEN 200 END AS status, CASE WHEN i = last THEN 'POST' ELSE 'GET' END AS method,
+  (CASE WHEN i = last THEN 0 WHEN i = most THEN 1 WHEN i % 3 = 0 THEN least(i + 2, last, most + 1) - i ELSE least(last, most + 1) - i END)::INT AS redirects,
+  CASE WHEN i = last THEN 'FINAL' WHEN i % 3 = 0 AND i + 2 <= least(last, most + 1) THEN 'REQUEST_BUDGET_EXCEEDED' WHEN least(last, most + 1) = last AND last <= most THEN 'FINAL' ELSE 'NOT_CAPTURED' END AS outcome FROM p
+UNION ALL SELECT 'http://loop/' || i, 'http://loop/' || i, NULL, 'HEAD', 2, 'REDIRECT_LOOP' FROM p
+UNION ALL SELECT 'http://odd/' || i, 'http://odd/' || i, CASE i % 4 WHEN 3 THEN NULL ELSE 302 END, 'GET', 0, ['REDIRECT_LOCATION_MISSING', 'INVALID_REDIRECT_URL', 'REDIRECT_OUT_OF_SCOPE', 'TIMEOUT'][i % 4 + 1] FROM p
+UNION ALL SELECT 'http://far/' || i, 'http://far/' || i, NULL, 'GET', 0, 'REDIRECT_OUT_OF_SCOPE' FROM p
+UNION ALL SELECT 'http://long/' || i || '/0', 'http://long/' || i || '/5', 301, 'GET', 5, 'TOO_MANY_REDIRECTS' FROM p""")
 def redirect_chains(spark, sf_dir):
-    """Pages redirect to their successor up to the fourth of each four; two more hosts redirect to each other."""
-    at = lambda host, c: F.concat(F.lit(f"http://{host}/"), c.cast("string"))
+    """Pages redirect to their successor up to the fourth of each four, some with a budget of two requests; hosts that redirect
+    to each other, odd answers, a host out of scope, chains that are too long."""
+    at = lambda host, c, end="": F.concat(F.lit(f"http://{host}/"), c.cast("string"), F.lit(end))
     p, i = table(spark, sf_dir, "pages"), F.col("page_id")
-    r = p.where("page_id % 4 <> 3").select(at("a", i).alias("url"), at("a", i + 1).alias("location"))
-    r = r.union(p.select(at("loop", i), at("back", i))).union(p.select(at("back", i), at("loop", i)))
-    return frontier.redirect_chain(r, p.select(at("a", i).alias("url")).union(p.select(at("loop", i))))
+    none, last = F.lit(None).cast("string"), F.col("page_id") % 4 == 3
+    odd = F.element_at(F.array(F.lit(""), F.lit("mailto:a@b"), F.lit("http://else/1"), F.lit("/x")), (i % 4 + 1).cast("int"))
+    r = p.select(at("a", i).alias("url"), F.when(last, 200).otherwise(303).alias("status"), F.when(~last, F.concat(F.lit("/"), (i + 1).cast("string"))).alias("location"), none.alias("error"))
+    r = r.union(p.select(at("loop", i), F.lit(302), at("back", i), none)).union(p.select(at("back", i), F.lit(307), at("loop", i), none)).union(p.select(at("odd", i), F.when(~last, 302), odd, F.when(last, "TIMEOUT")))
+    for k in range(7):
+        r = r.union(p.select(at("long", i, f"/{k}"), F.lit(301), F.lit(str(k + 1)), none))
+    scope = F.array(*map(F.lit, ["a", "loop", "back", "odd", "long"]))
+    starts = [("a", "", "post", F.when(i % 3 == 0, 2)), ("loop", "", "HEAD", F.lit(None)), ("odd", "", None, F.lit(None)), ("far", "", None, F.lit(None)), ("long", "/0", None, F.lit(None))]
+    s = None
+    for host, end, method, budget in starts:
+        one = p.select(at(host, i, end).alias("url"), F.lit(method).cast("string").alias("method"), scope.alias("hosts"), budget.cast("int").alias("budget"))
+        s = one if s is None else s.union(one)
+    return frontier.redirect_chain(r, s)
 
 
 @query("SELECT 's' || page_id % 5 AS source_id, 'https://a.org/' || page_id || '?x=1' AS link FROM pages")

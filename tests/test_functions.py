@@ -98,8 +98,8 @@ def test_cadence_steps(spark):
 def test_backoff_and_retry_after(spark):
     assert value(spark, state.backoff(F.lit(3))) == 4.0
     now = F.to_timestamp(F.lit("2024-01-01 00:00:00"))
-    got = [value(spark, state.retry_after(F.lit(v), now)) for v in ("5", "500", "Mon, 01 Jan 2024 00:00:30 GMT", "x")]
-    assert got == [5.0, 120.0, 30.0, None]
+    got = [value(spark, state.retry_after(F.lit(v), now)) for v in ("5", "500", "Mon, 01 Jan 2024 00:00:30 GMT", "x", "-1", " ", "Sun, 31 Dec 2023 00:00:30 GMT")]
+    assert got == [5.0, 120.0, 30.0, None, None, None, 0.0]
 
 
 def test_api_ranks_at_least_as_api(spark):

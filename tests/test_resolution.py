@@ -46,8 +46,9 @@ def test_tables(spark):
     conf = mk([("l1", "p", "u", "w", 2), ("p", "p", "v", "w", 1)], "logical_id string, physical_id string, entrypoint string, workflow string, ord int")
     g = R.groups_of_config(conf).first()
     assert (g.representative, g.seeds, g.one_entrypoint, g.one_workflow) == ("p", "v,u", False, True)
-    st = mk([("a", "DONE", True, False)], "source_id string, status string, packaged boolean, review boolean")
-    assert R.pipeline_state(st, 1).first().state == "READY" and R.pipeline_state(st, 2).first().state == "PARTIAL"
+    state = lambda classes, ready: R.pipeline_state(mk([(c,) for c in classes], "classification string"), mk([(r,) for r in ready], "package_ready boolean")).first().state
+    good = ["DATAX_READY", "EXTERNAL_BLOCKER", "ACQUISITION_JOB_READY"]
+    assert [state(good, [True]), state(good, [None]), state(good, []), state([*good, None], [True]), state([*good, "EXECUTION_FAILED", "PENDING"], [True]), state([], [])] == ["READY", "PACKAGE_REVIEW", "PACKAGE_NOT_BUILT", "FAILED", "PARTIAL", "PACKAGE_NOT_BUILT"]
     forms = mk([("https://a.org/p", "/s", "get", [("q", "text", "x y"), ("pw", "password", "1")]), ("https://a.org/p", "https://b.org/", "GET", [])], "page_url string, action string, method string, fields array<struct<name:string,type:string,value:string>>")
     assert [r.url for r in R.form_queries(forms).collect()] == ["https://a.org/s?q=x+y"]
     docs = mk([(1, '{"items": [{"url": "https://a/x.csv"}, {"link": "https://a/y"}]}'), (2, '[{"download_url": "https://a/z.pdf"}]')], "k int, b string")
