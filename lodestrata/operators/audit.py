@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+
 def overlay(base: DataFrame, patch: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """J03, J09. ``base`` with the patch's non-null columns laid over it; a key twice in the patch is an error of data
     and multiplies rows, so check it with ``unique_key`` first."""
@@ -123,3 +124,21 @@ def status_split(trace: DataFrame, by: list[str], url: str, code: str) -> DataFr
     robots = F.lower(F.col(url)).endswith("/robots.txt")
     codes = lambda cond: F.array_join(F.sort_array(F.collect_set(F.when(cond, F.col(code)))), ",")
     return trace.groupBy(*by).agg(codes(robots).alias("robots_codes"), codes(~robots).alias("site_codes"))
+
+
+def first_n(df: DataFrame, by: list[str], order: list, n: int) -> DataFrame:
+    """T03. The first ``n`` rows of each key. Spark keeps ``n`` rows of a key in each task before it deals them out, so a large key
+    costs no more than tasks times ``n`` rows."""
+    return df.withColumn("__rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("__rank") <= n).drop("__rank")
+
+
+def signal_counts(rows: DataFrame, signals: str) -> DataFrame:
+    """A22. (signal, n) over an array column; null arrays and null signals do not count."""
+    return rows.select(F.explode(signals).alias("signal")).where("signal IS NOT NULL").groupBy("signal").agg(F.count("*").alias("n"))
+
+
+def unique_rows(df: DataFrame, key: str) -> DataFrame:
+    """J22. The table, one row for each key; reading it fails on a key that occurs twice."""
+    n, rest = F.count("*"), [c for c in df.columns if c != key]
+    one = df.groupBy(key).agg(F.first(F.struct(*rest)).alias("__r"), F.assert_true(n == 1, F.concat(F.lit(f"repeated {key}: "), F.col(key).cast("string"))).alias("__ok"))
+    return one.where("__ok IS NULL").select(key, "__r.*")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import api as A
 from ..functions import text as T
 from ..functions import urls as U
+from .audit import first_n
 
 # Limits of the probe stages.
 STAGES = {"recovery": (1, 20, False), "expanded_html": (2, 60, False), "api_enriched": (2, 60, True)}
@@ -19,6 +20,29 @@ def stage_configs(sources: DataFrame) -> DataFrame:
     return sources.select("source_id", "entrypoint", F.explode(rows).alias("s")).select("source_id", "entrypoint", "s.*")
 
 
+# A probe that is run again, to be narrow.
+RETRY_PROBE = {
+    "workflow": "html", "update_category": "MONTHLY", "max_depth": 2, "max_urls": 180, "max_query_variants": 6, "max_consecutive_errors": 3, "max_redirects": 6, "max_calendar_variants": 6, "max_url_length": 2048, "max_query_keys": 10,
+    "pagination_min_pages": 2, "pagination_empty_streak": 2, "pagination_window": 4, "discover_sitemaps": True, "max_sitemap_documents": 4, "max_sitemap_urls": 250, "max_sitemap_bytes": 750_000, "discover_apis": True, "max_api_endpoints": 12,
+    "max_api_response_bytes": 750_000, "follow_api_pagination": True, "max_api_pages": 2, "max_api_records_sampled": 50, "max_api_stagnant_pages": 1, "probe_api_documentation": True, "max_api_documents": 4, "max_api_document_depth": 1,
+    "max_api_document_bytes": 750_000, "rate_limit_seconds": 1.0, "ignore_robots_txt": False,
+}
+
+
+def retry_probes(rows: DataFrame, max_requests: int, max_runtime: int) -> DataFrame:
+    """Z67. The configuration of a narrow probe of each row's candidate_entrypoint: its host with and without www. in scope."""
+    host = U.host(F.col("candidate_entrypoint"))
+    base = F.regexp_replace(host, r"^www\.", "")
+    hosts = F.when(host == "", F.array().cast("array<string>")).otherwise(F.array_distinct(F.array(host, base, F.concat(F.lit("www."), base))))
+    fixed = [F.lit(v).alias(k) for k, v in RETRY_PROBE.items()]
+    return rows.select("source_id", F.col("logical_code").alias("name"), F.col("candidate_entrypoint").alias("entrypoint"), F.array("candidate_entrypoint").alias("seeds"), hosts.alias("allowed_hosts"), F.lit(max_requests).alias("max_requests"), F.lit(max_runtime).alias("max_runtime_seconds"), *fixed)
+
+
+def observed_resources(inspected: Column, logged: Column) -> Column:
+    """Z67. The larger of the resources that a probe left and those that its log states; null counts as none."""
+    return F.greatest(F.coalesce(inspected, F.lit(0)), F.coalesce(logged, F.lit(0)))
+
+
 def acquisition_jobs(audit: DataFrame) -> DataFrame:
     """P11, Z30. A job as a JSON document for each source whose output another system must fetch."""
     due = audit.where(F.col("classification") == "ACQUISITION")
@@ -68,9 +92,10 @@ def candidate_urls(*lists: Column) -> Column:
 
 
 def keyword_links(links: DataFrame, by: str, words: list[str], limit: int = 50) -> DataFrame:
-    """Z43. Of each source the number of links that hold a word, and the first ``limit`` of them."""
+    """Z43. Of each source the number of links that hold a word, and the first ``limit`` distinct ones of them."""
     hit = links.where(F.lower("url").rlike("|".join(words)))
-    return hit.groupBy(by).agg(F.count("*").alias("n"), F.slice(F.sort_array(F.collect_set("url")), 1, limit).alias("sample"))
+    some = first_n(hit.select(by, "url").distinct(), [by], ["url"], limit).groupBy(by).agg(F.sort_array(F.collect_list("url")).alias("sample"))
+    return hit.groupBy(by).agg(F.count("*").alias("n")).join(some, by)
 
 
 def form_review(forms: DataFrame, by: str, querying: list[str], changing: list[str]) -> DataFrame:

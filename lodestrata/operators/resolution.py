@@ -298,3 +298,25 @@ def form_queries(forms: DataFrame, limit: int = 8) -> DataFrame:
 def slowest(runs: DataFrame, seconds: str, key: str, k: int = 10) -> DataFrame:
     """T01, T03."""
     return runs.orderBy(F.col(seconds).desc(), key).limit(k)
+
+
+def folded_lookup(rows: DataFrame, inventory: DataFrame, key: str, inventory_key: str = "source_id") -> DataFrame:
+    """J18. Rows with the inventory's columns by their keys without regard to case; of inventory rows that differ in case alone the
+    greatest id counts; null and empty keys find nothing."""
+    right = inventory.where(F.coalesce(F.col(inventory_key), F.lit("")) != "").groupBy(F.lower(inventory_key).alias("__folded"))
+    rest = [c for c in inventory.columns if c not in rows.columns and c != inventory_key]
+    right = right.agg(F.max_by(F.struct(*rest, F.col(inventory_key).alias("inventory_id")), inventory_key).alias("__r"))
+    return rows.withColumn("__key", F.lower(key)).join(right, F.col("__key") == F.col("__folded"), "left").select(*rows.columns, "__r.*")
+
+
+def resolve_candidates(candidates: DataFrame, probes: DataFrame, policies: DataFrame, identities: DataFrame) -> DataFrame:
+    """J10. Each custom candidate (source_id) with its probe (status, endpoints, seeds; needed), its policy (policy_status,
+    form_confirmed) and its identity (identity_status, candidate_entrypoint), resolved by C13. A candidate without a probe has the
+    error MISSING_PROBE."""
+    from . import rules as R
+    from .audit import unique_rows
+
+    out = candidates.select("source_id").join(unique_rows(probes.select("source_id", "status", "endpoints", "seeds"), "source_id").withColumn("__p", F.lit(True)), "source_id", "left")
+    out = out.join(unique_rows(policies.select("source_id", "policy_status", "form_confirmed"), "source_id"), "source_id", "left").join(unique_rows(identities.select("source_id", "identity_status", "candidate_entrypoint"), "source_id"), "source_id", "left")
+    s = R.custom_resolution(*[F.col(c) for c in ("status", "policy_status", "endpoints", "seeds", "form_confirmed", "identity_status", "candidate_entrypoint")])
+    return out.select("source_id", "__p", s.alias("s")).select("source_id", "s.resolution_status", "s.workflow_strategy", "s.next_phase", "s.entrypoint_override", F.when(F.col("__p").isNull(), "MISSING_PROBE").otherwise(F.col("s.error")).alias("error"))

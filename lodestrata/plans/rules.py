@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import rules as R
+from ..operators.audit import signal_counts
 from .registry import query
 from .views import table
 
@@ -250,7 +251,7 @@ def log_classes(spark, sf_dir):
 @query(f"SELECT signal, count(*) AS n FROM (SELECT unnest({_signals_sql}) AS signal FROM ({_lines_sql})) GROUP BY 1")
 def error_signals(spark, sf_dir):
     """A22."""
-    return _lines(spark, sf_dir).select(F.explode(R.error_signals(F.col("line"))).alias("signal")).groupBy("signal").agg(F.count("*").alias("n"))
+    return signal_counts(_lines(spark, sf_dir).select(R.error_signals(F.col("line")).alias("signals")), "signals")
 
 
 _out, _out_sql = cases({"blocker": [False, False, True], "report": [True, True, False, None], "execution": ["SUCCESS", "SUCCESS", "FAILED", None], "acquisition": [False, False, True], "resources": [0, 7, None], "records": [0, 3], "failure": ["ROBOTS_UNREACHABLE", "TIMEOUT", None], "physical": ["p", "", None], "projection": ["DATAX_READY", "PROJECTION_EMPTY"]})
