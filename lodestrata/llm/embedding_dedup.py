@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U, components, forest, materialize, mix
+from .common import U, components, forest, materialize, mix, part_count
 
 BITS = 18  # hyperplanes of a table, for up to 2^22 classes; one more for each doubling keeps buckets small
 MISS = 1e-5  # chance that a pair at the threshold shares no table
@@ -78,7 +78,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.98, bits: int | None =
     seats = met.join(crowded, ["key", "t"]).withColumn("chunks", F.ceil(F.col("k") / BLOCK).cast("int"))
     seats = seats.withColumn("mine", F.pmod(F.xxhash64("rep"), "chunks").cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     seats = seats.select("key", "t", "rep", "mine", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
-    parts = max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parts = part_count(signed, 4.0 / tables, least=max(64, int(spark.conf.get("spark.sql.shuffle.partitions"))))  # a class travels once for each table at most
     seated = seats.join(signed.drop("keys"), "rep").withColumn("part", F.pmod(F.xxhash64("key", "i", "j"), F.lit(parts)).cast("int"))
 
     def compare(table: pa.Table) -> pa.Table:
