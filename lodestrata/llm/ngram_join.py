@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U, bound_batches, by_bytes, components, flat, forest, materialize, mix, words
+from .common import U, bound_batches, by_bytes, components, flat, forest, materialize, mix, part_count, words
 
 BANDS, DEPTH = 32, 5  # at similarity 0.8 a pair shares no band with probability (1 - 0.8^5)^32 < 4e-6
 STEP = 20  # MinHash values compared before each pruning decision
@@ -162,7 +162,7 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     met = chosen.select("rep", F.explode("keys").alias("key"))
     bands_of = met.groupBy("key").agg(F.min("rep").alias("least"), F.count("*").alias("k")).where("k > 1")
     shared = materialize(met.join(bands_of, "key"))
-    parts = max(64, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    parts = part_count(texts, 8.0, least=max(64, int(spark.conf.get("spark.sql.shuffle.partitions"))))  # follows the bytes of the texts
     seen = shared.where(F.col("k") <= CROWD).groupBy("rep").agg(F.collect_list("key").alias("shared"))
     seated = chosen.join(seen, "rep").select("rep", "low", F.explode("shared").alias("key")).withColumn("part", F.pmod(F.xxhash64("key"), F.lit(parts)).cast("int"))
 
