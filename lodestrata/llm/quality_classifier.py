@@ -134,7 +134,8 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> Machine:
-    """Fit on at most ``sample_rows`` labelled rows outside the held-out fifth, taken in order of a hash of the id."""
+    """Fit on at most ``sample_rows`` labelled ids outside the held-out fifth, taken in order of a hash of the id. Documents of
+    one id count as one, that with the smallest statistics, so the driver gets no more rows than that."""
     bound_batches(docs.sparkSession)
     picked = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out()).select("doc_id", F.col("quality").cast("double").alias("quality")).groupBy("doc_id").agg(F.max("quality").alias("quality"))
     picked = picked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
@@ -150,7 +151,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             )
 
     got = _rows(docs, id_col, text_col).join(F.broadcast(picked), "doc_id").select("doc_id", "text", "n_chars", "quality")
-    got = sorted(got.mapInArrow(extract, "doc_id long, quality double, bucket binary, value binary, stat binary").collect(), key=lambda r: (r.doc_id, r.stat))
+    got = got.mapInArrow(extract, "doc_id long, quality double, bucket binary, value binary, stat binary").groupBy("doc_id").agg(F.min(F.struct("stat", "bucket", "value", "quality")).alias("r"))
+    got = sorted(got.select("doc_id", "r.*").collect(), key=lambda r: r.doc_id)
     return Machine().fit([(np.frombuffer(r.bucket, np.int32), np.frombuffer(r.value, np.float32).astype(float), np.frombuffer(r.stat)) for r in got], np.array([r.quality for r in got]))
 
 

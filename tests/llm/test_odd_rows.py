@@ -82,3 +82,18 @@ def test_pipeline_of_odd_tables(spark, tmp_path):
         # no labels: every score is 0.5 and nothing is rejected; 2 repeats 1, whose row occurs twice; 4 and 9 repeat 3; 7 leaks
         ids = sorted((r.doc_id is None, r.doc_id or 0) for r in got if r.piece == 0)
         assert ids == ([(False, 1), (False, 1), (False, 3), (False, 5), (False, 6), (False, 8), (True, 0), (True, 0)] if some else [])
+
+
+def test_many_documents_of_one_labelled_id(spark):
+    """The classifier fits on one row for each id, however many documents share it."""
+    from lodestrata.llm import quality_classifier as Q
+
+    docs = spark.createDataFrame([(i % 3 + 1, f"word{i % 7} and more") for i in range(300)], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1)], "doc_id long, quality int")
+    seen, fit = [], Q.Machine.fit
+    try:
+        Q.Machine.fit = lambda self, rows, y: seen.append(len(rows)) or fit(self, rows, y)
+        Q.train(docs, labels)
+    finally:
+        Q.Machine.fit = fit
+    assert seen[0] <= 3
