@@ -6,6 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from ..sources import artifacts, files
 from ..sources.keyed import KeyedTable
 from ..sources.package import build_package, verify_package
 from .registry import query
@@ -33,3 +34,35 @@ def package_build(spark, sf_dir):
     path = shared_path(spark, f"package-{uuid.uuid4().hex}")
     entries = build_package(o.withColumn("source", F.concat(F.lit("n"), F.col("c_nationkey").cast("string"))), path, "source", ["o_orderkey"], F.to_json(F.struct(F.col("o_orderkey").alias("k"), F.col("o_orderpriority").alias("p"))), 400)
     return verify_package(entries, path).select("path", "source_id", "records", "sha256", "matches")
+
+
+_PROBES = """WITH o AS (SELECT o_custkey % 50 AS source_id, o_orderkey AS k FROM orders WHERE o_orderkey % 13 > 0),
+u AS (SELECT source_id, 'https://a.org/' || k % 40 AS url FROM o UNION ALL SELECT source_id, 'https://b.org/' || k % 7 FROM o WHERE k % 3 = 0)"""
+
+
+@query(f"""{_PROBES} SELECT s.source_id, coalesce(n, 0) AS resources_found, status AS execution_status, stop AS stop_reason, most AS requests_reported FROM (SELECT DISTINCT o_custkey % 50 AS source_id FROM orders) s
+LEFT JOIN (SELECT source_id, count(DISTINCT url) AS n FROM u GROUP BY 1) n ON n.source_id = s.source_id
+LEFT JOIN (SELECT source_id, arg_max(CASE WHEN k % 2 = 0 THEN 'deep' ELSE 'SUCCESS' END, k) AS status, arg_max('STOP' || k % 5, k) FILTER (k % 4 > 0) AS stop, max(k % 100) AS most FROM o GROUP BY 1) l ON l.source_id = s.source_id""")
+def probe_outputs(spark, sf_dir):
+    """S19, S20, by levels inside the JVM: a report of each order, some of them broken."""
+    o = table(spark, sf_dir, "orders").selectExpr("o_custkey % 50 AS source_id", "o_orderkey AS k")
+    body = F.expr("""CASE WHEN k % 13 = 0 THEN '{"resources": [' ELSE concat('{"execution_status": "SUCCESS", "resources": [{"url": " ", "download_url": " https://a.org/', k % 40, '"}, 7, {"url": 5}], "z": [{"requests": ', k % 100, ', "requests_total": true}, [{"a": {',
+      CASE WHEN k % 3 = 0 THEN concat('"resources": [{"url": "no", "normalized_url": "https://b.org/', k % 7, '"}],') ELSE '"resources": {"url": "https://c.org"},' END, CASE WHEN k % 2 = 0 THEN '"execution_status": "deep",' ELSE '' END, '"stop_reason": ', CASE WHEN k % 4 = 0 THEN 'null' ELSE concat('"STOP', k % 5, '"') END, '}}]]}') END""")
+    return files.probe_outputs(o.select("source_id", "k", body.alias("body")), "source_id", "k", "body")
+
+
+@query("SELECT 'n' || n_nationkey || CASE n_nationkey % 3 WHEN 0 THEN '.log' WHEN 1 THEN '.JSON' ELSE '.txt' END AS name, CASE n_nationkey % 3 WHEN 0 THEN '.log' ELSE '.json' END AS suffix, n_name || ' é' AS text, CASE n_nationkey % 3 WHEN 0 THEN 'UTF-8' ELSE 'UTF-16LE' END AS charset, CASE n_nationkey % 3 WHEN 0 THEN strlen(n_name || ' é') ELSE 2 * length(n_name || ' é') + 2 END AS length FROM nation WHERE n_nationkey % 3 < 2 AND length(n_name) > 2")
+def artifact_texts(spark, sf_dir):
+    """Files of nations in two encodings, those of other suffixes and short ones filtered before they are opened."""
+    from ..sources.package import filesystem
+
+    path = shared_path(spark, f"artifacts-{uuid.uuid4().hex}")
+    fs, root = filesystem(path)
+    fs.create_dir(f"{root}/a/.hidden", recursive=True)
+    for r in table(spark, sf_dir, "nation").select("n_nationkey", "n_name").collect():  # 25 rows
+        k, text = r.n_nationkey % 3, f"{r.n_name} é"
+        data = text.encode() if k != 1 else b"\xff\xfe" + text.encode("utf-16-le")
+        for place in ("a", "a/.hidden"):
+            with fs.open_output_stream(f"{root}/{place}/n{r.n_nationkey}{('.log', '.JSON', '.txt')[k]}") as f:
+                f.write(data)
+    return artifacts.artifact_texts(spark, path).where("suffix IN ('.log', '.json') AND length > 5").select("name", "suffix", "text", "charset", "length")

@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .shared import store as to_shared
+
 CONFIG = "source_id string, name string, entrypoint string, workflow string, seeds array<string>, update_category string, allowed_hosts array<string>, max_depth int, max_urls int, discover_apis boolean"
 
 
@@ -151,3 +153,50 @@ def latest_file(spark: SparkSession, path: str) -> DataFrame:
     """S25. The newest file of a folder by name, then time: one row of path, length, modificationTime."""
     files = spark.read.format("binaryFile").load(path).select("path", "length", "modificationTime")
     return files.orderBy(F.col("path").desc(), F.col("modificationTime").desc()).limit(1)
+
+
+# Fixed values.
+URL_FIELDS = ["normalized_url", "raw_url", "url", "url_descarga", "download_url"]
+REQUEST_FIELDS = ["requests_total", "request_count", "requests"]
+
+
+def json_levels(docs: DataFrame, key: list[str], body: str, store=None) -> DataFrame:
+    """S20. All nodes of JSON documents: (key, place, name, kind, raw). ``place`` is the path of positions from the root (an empty
+    array), in the document's order, so ordering by it is the order of a depth-first walk; kind is OBJECT, ARRAY, STRING, BIGINT, ...;
+    raw is the node's JSON text, a string's its content. Bodies that are no JSON give no rows.
+
+    Level by level inside the JVM: each round splits the containers of the last one, for all documents at once, until
+    none has members. A document's depth is the number of rounds."""
+    store = store or to_shared
+    kind_of = F.regexp_extract(F.schema_of_variant(F.try_parse_json("raw")), r"^\w+", 0)
+    level = docs.select(*key, F.array().cast("array<int>").alias("place"), F.lit(None).cast("string").alias("name"), F.ltrim(F.col(body)).alias("raw"))
+    level = level.where(F.try_parse_json("raw").isNotNull()).withColumn("kind", kind_of)
+    level, out = store(level.select(*key, "place", "name", "kind", "raw")), None
+    while True:
+        out = level if out is None else out.union(level)
+        inner = level.where("kind IN ('OBJECT', 'ARRAY')")
+        object_ = lambda t: F.from_json(F.when(F.col("kind") == "OBJECT", F.col("raw")), f"map<string,{t}>")
+        array = lambda t: F.from_json(F.when(F.col("kind") == "ARRAY", F.col("raw")), f"array<{t}>")
+        texts = F.coalesce(F.map_values(object_("string")), array("string"))
+        types = F.transform(F.coalesce(F.map_values(object_("variant")), array("variant")), lambda v: F.regexp_extract(F.schema_of_variant(v), r"^\w+", 0))
+        inner = inner.select(*key, "place", F.map_keys(object_("string")).alias("names"), F.posexplode(F.arrays_zip(texts.alias("raw"), types.alias("kind"))).alias("at", "m"))
+        level = inner.select(*key, F.concat("place", F.array("at")).alias("place"), F.get("names", F.col("at")).alias("name"), "m.kind", "m.raw")
+        level = store(level)
+        if not level.limit(1).count():
+            return out
+
+
+def probe_outputs(docs: DataFrame, by: str, order: str, body: str, store=None) -> DataFrame:
+    """S19. Of each probe's JSON outputs: distinct resource URLs (of the items of every array named resources, the first of URL_FIELDS
+    with text), the last execution_status and stop_reason in the order of documents and their walk, and the most requests
+    that any node reports. Documents that are no JSON do not count; a probe with none of others has zero resources and nulls."""
+    nodes = (store or to_shared)(json_levels(docs, [by, order], body, store))
+    parent = F.slice("place", 1, F.size("place") - 1)
+    lists = nodes.where("name = 'resources' AND kind = 'ARRAY'").select(by, order, F.col("place").alias("list"))
+    fields = nodes.where(F.col("name").isin(*URL_FIELDS) & (F.col("kind") == "STRING") & (F.trim("raw") != "") & (F.size("place") >= 2))
+    fields = fields.select(by, order, parent.alias("item"), F.slice("place", 1, F.size("place") - 2).alias("list"), F.array_position(F.array(*map(F.lit, URL_FIELDS)), F.col("name")).alias("n"), F.trim("raw").alias("url"))
+    urls = fields.join(lists, [by, order, "list"], "left_semi").groupBy(by, order, "item").agg(F.min_by("url", "n").alias("url")).groupBy(by).agg(F.countDistinct("url").alias("resources_found"))
+    last = lambda name: F.max_by("raw", F.when((F.col("name") == name) & (F.col("kind") == "STRING"), F.struct(order, parent))).alias(name)
+    whole = F.when(F.col("name").isin(*REQUEST_FIELDS) & (F.col("kind") == "BIGINT"), F.col("raw").try_cast("long"))
+    rest = nodes.where("size(place) > 0").groupBy(by).agg(last("execution_status"), last("stop_reason"), F.max(whole).alias("requests_reported"))
+    return docs.select(by).distinct().join(urls, by, "left").join(rest, by, "left").select(by, F.coalesce("resources_found", F.lit(0)).alias("resources_found"), "execution_status", "stop_reason", "requests_reported")
