@@ -60,4 +60,4 @@ def test_artifacts(spark, tmp_path, monkeypatch):
     assert artifacts.artifact_files(spark, str(tmp_path / "missing")).count() == 0
     reader = artifacts.ArtifactReader({"path": str(tmp_path)})
     monkeypatch.setattr(artifacts, "PARTITION", 50)
-    assert [len(p.files) for p in reader.partitions()] == [2, 1, 2]
+    assert [len(p.files) for p in reader.partitions()] == [2, 2, 1]
