@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import evidence, packages, resolution
+from ..operators import evidence, literals, packages, resolution
 from ..operators import rules as R
 from .registry import query
 from .rules import _holds, _signals_sql, cases
@@ -104,3 +104,22 @@ def seed_resources(spark, sf_dir):
     """C21."""
     s = _seeds(spark, sf_dir)
     return s.select("k", R.seed_resource(F.col("link")).alias("resource"), R.curated_seeds(F.col("reached"), F.col("discovered"))["status"].alias("status"))
+
+
+@query("""WITH t AS (SELECT p_partkey AS k, p_partkey % 7 AS s, 'Sales of ' || upper(p_name) || ' ' || p_brand AS title FROM part),
+r AS (SELECT p_partkey AS rule_id, CASE p_partkey % 2 WHEN 0 THEN p_partkey % 7 END AS scope, lower(p_name || ' ' || p_brand) AS ending, p_partkey * 7919 % 10007 AS priority FROM part WHERE p_partkey % 3 = 0)
+SELECT k, arg_min(rule_id, (priority, rule_id)) AS rule_id FROM t JOIN r ON ends_with(lower(title), ending) AND coalesce(scope, s) = s GROUP BY k""")
+def first_rule_matches(spark, sf_dir):
+    """A rule of every third part over the titles of all."""
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    texts = p.select(k.alias("k"), (k % 7).alias("s"), F.concat(F.lit("Sales of "), F.upper("p_name"), F.lit(" "), F.col("p_brand")).alias("title"))
+    rules = p.where("p_partkey % 3 = 0").select(k.alias("rule_id"), (k * 7919 % 10007).alias("priority"), F.concat(F.col("p_name"), F.lit(r"\s"), F.col("p_brand"), F.lit("$")).alias("pattern"), F.when(k % 2 == 0, k % 7).alias("scope"))
+    return literals.first_rules(texts, "k", "title", rules, "s")
+
+
+@query("SELECT doc_id, item_id AS literal_id FROM documents, (SELECT item_id, substr(text, 1, 12) AS t FROM benchmark WHERE text <> '') WHERE contains(text, t)")
+def literal_hits(spark, sf_dir):
+    """The beginnings of all benchmark items in all documents."""
+    terms = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("literal_id"), F.substring("text", 1, 12).alias("literal"))
+    return literals.literal_hits(table(spark, sf_dir, "documents"), ["doc_id"], "text", terms)
