@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+REMEMBERED = 10_000  # ids of the last batches that a version's document lists
+
+
 class VersionConflict(RuntimeError):
     """Another writer has made the next version."""
 
@@ -20,7 +23,7 @@ class KeyedTable:
     """K02, K04, Z17, Z20. Rows by ``key``; of rows with one key the greatest by ``order`` counts, of equal ones the last written.
 
     Upserts are atomic (a version's document is written aside and moved to its name, which must not exist: a second writer
-    of the same version tries again on top of the first) and idempotent (a batch id that is known is not applied again;
+    of the same version tries again on top of the first) and idempotent (an id of the last 10,000 batches is not applied again;
     rows written twice win over themselves). Moving must be atomic: true for HDFS and local folders, not for all object stores.
     Null keys are a key. ``schema`` is that of the rows; other columns of a batch are dropped, missing ones an error."""
 
@@ -101,7 +104,7 @@ class KeyedTable:
             m = self.manifest()
             if batch_id is not None and batch_id in m["batches"]:
                 return m
-            new = {"version": m["version"] + 1, "buckets": {**m["buckets"]}, "batches": [*m["batches"], *([batch_id] if batch_id is not None else [])]}
+            new = {"version": m["version"] + 1, "buckets": {**m["buckets"]}, "batches": [*m["batches"], *([batch_id] if batch_id is not None else [])][-REMEMBERED:]}
             for b in touched:
                 new["buckets"][b] = [*m["buckets"].get(b, []), piece]
             long = {b: p for b, p in new["buckets"].items() if len(p) > self.pieces}
