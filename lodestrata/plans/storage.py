@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..sources import artifacts, files
 from ..sources.keyed import KeyedTable
 from ..sources.package import build_package, verify_package
+from . import catalog
 from .registry import query
 from .views import shared_path, table
 
@@ -66,3 +67,13 @@ def artifact_texts(spark, sf_dir):
             with fs.open_output_stream(f"{root}/{place}/n{r.n_nationkey}{('.log', '.JSON', '.txt')[k]}") as f:
                 f.write(data)
     return artifacts.artifact_texts(spark, path).where("suffix IN ('.log', '.json') AND length > 5").select("name", "suffix", "text", "charset", "length")
+
+
+@query(catalog.SQL["cadence_state"])
+def streaming_cadence(spark, sf_dir):
+    """G10 as a stream with timers, over the events read as one available batch."""
+    from ..streaming import cadence
+
+    base = shared_path(spark, f"stream-{uuid.uuid4().hex}")
+    cadence.run_available(spark, cadence.event_runs(spark, f"{sf_dir}/events.parquet"), f"{base}/state", f"{base}/out")
+    return spark.read.parquet(f"{base}/out").where("kind = 'RUN'").select("source_id", "run_id", "unchanged", "cadence", "next_eligible_at")

@@ -17,7 +17,7 @@ def test_packages(spark):
     f = mk([("a", "https://a.org/x", 5), ("a", "https://c.org/", 5), ("a", "https://a.org/y", 9 << 20)], "source_id string, url string, size long")
     assert [r.outcome for r in P.apply_policy(f, mk([("a", ["a.org"])], "source_id string, allowed_hosts array<string>")).collect()] == ["OK", "OUT_OF_SCOPE_HOST", "RESPONSE_TOO_LARGE"]
     api = P.api_catalog(mk([("https://a.org/x?page=1", "[1,2]", "application/json"), ("u", "zzz", "")], "url string, body string, content_type string")).collect()
-    assert [(r.identity, r.format, r.records, r.has_pagination, r.shape) for r in api] == [("GET https://a.org/x", "json", 2, True, "LIST_VALUES")]
+    assert [(r.identity, r.format, r.records, r.has_pagination, r.shape) for r in api] == [("GET https://a.org/x", "json", 2, True, "LIST_SMALL_OR_SCALAR")]
     assert spark.range(1).select(P.candidate_urls(F.array(F.lit("a"), F.lit("b")), F.lit(None).cast("array<string>"), F.array(F.lit("a"), F.lit("c"))).alias("c")).first().c == ["a", "b", "c"]
     got = P.promoted(mk([("A", "https://x.org/1"), ("k", "https://y.org/")], "source_id string, entrypoint string"), mk([("a", "q"), ("n", "https://Y.org"), ("z", "https://z.org")], "source_id string, entrypoint string"))
     assert sorted((r.source_id, r.config_id, r.origin) for r in got.collect()) == [("a", "A", "KEPT_BY_ID"), ("n", "k", "KEPT_BY_URL"), ("z", "z", "GENERATED")]
