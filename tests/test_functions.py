@@ -163,3 +163,14 @@ def test_stream_goes_on_from_its_checkpoint(spark, tmp_path):
 
     want = {(r.source_id, r.run_id): (r.failures, r.health) for r in QUERIES["health_state"](spark, "/root/testdata/sf0.001").collect()}
     assert got == want
+
+
+def test_api_expressions_stay_small(spark):
+    """Each rule mentions the URL's extension and path once: nested mentions doubled the expression with every content type."""
+    from lodestrata.functions import api as A
+
+    u, kind = F.col("u"), F.col("c")
+    df = spark.createDataFrame([("https://a.org/x", "text/csv; charset=x"), ("https://a.org/x.PDF", "text/csv"), ("https://a.org/ows/?SERVICE=wfs", "application/zip"), ("https://a.org", None), (None, "text/xml"), ("https://a.org/API?x", "")], "u string, c string")
+    out = df.select(A.direct_extension(kind, u).alias("e"), A.is_api_url(u).alias("a"))
+    assert [tuple(r) for r in out.collect()] == [(".csv", False), (".pdf", False), (".zip", True), ("", False), (".xml", None), ("", True)]
+    assert len(out._jdf.queryExecution().analyzed().toString()) < 60_000
