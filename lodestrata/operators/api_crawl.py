@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import api as A
 from ..functions import html as H
 from ..functions import urls as U
+from ..sources.shared import spread
 from ..sources.shared import store as to_shared
 from .scan import numbered
 
@@ -28,7 +29,7 @@ def read_responses(responses: DataFrame, store: Callable = to_shared) -> DataFra
     and to specifications (specs), as identities and URLs in page order."""
     body, kind = F.col("body"), F.col("content_type")
     ok = F.col("error").isNull() & body.isNotNull()
-    r = responses.groupBy("url").agg(F.min(F.struct("error", "content_type", "body", "link")).alias("r")).select("url", "r.*")
+    r = spread(store(responses.select("url", "error", "content_type", "body", "link")), "url").groupBy("url").agg(F.min(F.struct("error", "content_type", "body", "link")).alias("r")).select("url", "r.*")
     r = r.withColumn("body", F.when(ok, body)).withColumn("format", A.detect_format(body, kind))
     r = store(r.withColumn("declared", A.declared_format(kind, F.col("url"))).withColumn("records", F.coalesce(A.records(body, F.col("format")), F.lit(0))))
     data = r.where(F.col("format").isin(*SEED_FORMATS))
@@ -93,8 +94,9 @@ def _folded(events: DataFrame, start: Column) -> Column:
 
     def step(acc, e):
         stop = F.when(e["seed"] & (F.size(acc["keys"]) >= e["max_endpoints"]), "MAX_API_ENDPOINTS").when(e["before"] >= e["max_requests"], "REQUEST_BUDGET_EXCEEDED")
-        refs = F.when(e["limited"], F.slice(e["refs"], 1, F.greatest(F.lit(0), e["max_endpoints"] - F.size(acc["keys"])))).otherwise(e["refs"])
-        keys = F.array_union(F.array_union(F.array_union(acc["keys"], e["first"]), refs), e["more"])
+        own = F.array_union(acc["keys"], e["first"])  # a document's own identity takes its place before its operations do
+        refs = F.when(e["limited"], F.slice(e["refs"], 1, F.greatest(F.lit(0), e["max_endpoints"] - F.size(own)))).otherwise(e["refs"])
+        keys = F.array_union(F.array_union(own, refs), e["more"])
         done = acc["stop"].isNotNull()
         return F.struct(F.when(done | stop.isNotNull(), acc["keys"]).otherwise(keys).alias("keys"), F.when(done | stop.isNotNull(), acc["begun"]).otherwise(acc["begun"] + 1).alias("begun"), F.coalesce(acc["stop"], stop).alias("stop"))
 

@@ -26,6 +26,13 @@ def store(df: DataFrame, *by: str) -> DataFrame:
     return back
 
 
+def spread(df: DataFrame, *keys: str, rows: int = 20_000) -> DataFrame:
+    """``df`` dealt by ``keys`` over as many tasks as its rows ask for, for work that costs much a row: files of few row groups, and
+    shuffles that are joined again by their bytes, would leave it to few tasks. ``df`` should be a table or a cheap view of one, as
+    it is counted."""
+    return df.repartition(df.count() // rows + 1, *keys)
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete tables that ``store`` wrote, once all that reads them is written."""
     for t in tables:

@@ -96,3 +96,12 @@ def test_no_rows(spark):
 def test_data_endpoints(spark):
     df = spark.createDataFrame([(1, ["a"], [" b ", " "]), (2, ["a"], None), (3, [], [""])], "source_id long, seeds array<string>, data_endpoints array<string>")
     assert [(r.seeds, r.failure_code) for r in C.data_endpoint_sources(df).orderBy("source_id").collect()] == [(["b"], None), (["a"], None), ([], "CUSTOM_DATA_ENDPOINT_MISSING")]
+
+
+def test_a_document_counts_before_its_operations(spark):
+    """A specification that only another document names takes a place itself: its operations fill what is left after it."""
+    body = json.dumps({"openapi": "3.0.0", "paths": {"/y": {"get": {}}, "/z": {"get": {}}}})
+    r = [(f"{A}/in", None, '<a href="/e/swagger.json">e</a>', "text/html", None), (f"{A}/e/swagger.json", None, '<a href="/f/openapi.json">f</a>', "text/html", None), (f"{A}/f/openapi.json", None, body, J, None)]
+    s = spark.createDataFrame([(cap, [f"{A}/in"], cap) for cap in (1, 2, 3, 9)], "source_id long, seeds array<string>, max_endpoints int")
+    out = C.api_crawl(s, spark.createDataFrame(r, "url string, error string, body string, content_type string, link string"))
+    assert {x.source_id: x.api_endpoints for x in out["sources"].collect()} == {1: 2, 2: 2, 3: 3, 9: 4}
