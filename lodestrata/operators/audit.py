@@ -44,10 +44,29 @@ def tiered_match(left: DataFrame, right: DataFrame, left_id: str, right_id: str,
     return out.select(left_id, F.col("m.__r").alias(right_id), F.col("m.__t").alias("tier"), outcome.alias("outcome"))
 
 
+SHARE = 1_000_000  # pairs of one key that a task expands
+
+
 def overlap_matches(left: DataFrame, right: DataFrame, left_id: str, right_id: str, left_keys: str, right_keys: str) -> DataFrame:
-    """J07. All pairs that share a key, with the sorted keys that they share; as many rows as there are pairs."""
-    pairs = _keys(left, left_id, left_keys).withColumnRenamed("__id", left_id).join(_keys(right, right_id, right_keys).withColumnRenamed("__id", right_id), "__k")
-    return pairs.groupBy(left_id, right_id).agg(F.sort_array(F.collect_set("__k")).alias("overlap"))
+    """J07. All pairs that share a key, with the sorted keys that they share; as many rows as there are pairs.
+
+    Both rows' keys travel with each of their keys: a pair is told by the least key that it shares, with all of them, so pairs are
+    neither stored nor shuffled. A key of more than SHARE pairs is dealt in blocks of the left rows, with the right rows repeated
+    for each block, and tasks are as many as the pairs ask for."""
+
+    def side(df: DataFrame, i: str, c: str, name: str, all_: str) -> DataFrame:
+        kept = _keys(df, i, c).groupBy("__id").agg(F.collect_set("__k").alias(all_))
+        return kept.select(F.col("__id").alias(name), all_, F.explode(all_).alias("__k"))
+
+    a, b = side(left, left_id, left_keys, left_id, "__a"), side(right, right_id, right_keys, right_id, "__b")
+    sizes = a.groupBy("__k").agg(F.count("*").alias("__n")).join(b.groupBy("__k").agg(F.count("*").alias("__m")), "__k")
+    tasks = (sizes.agg(F.sum(F.col("__n") * F.col("__m"))).first()[0] or 0) // SHARE + 1
+    sizes = sizes.select("__k", F.least(F.col("__n"), F.expr(f"1 + __n * __m div {SHARE}")).cast("int").alias("__blocks"))
+    a = a.join(sizes, "__k").withColumn("__block", F.pmod(F.xxhash64(left_id), F.col("__blocks")).cast("int")).drop("__blocks")
+    b = b.join(sizes, "__k").select(right_id, "__b", "__k", F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1)).alias("__block"))
+    a, b = (x.repartition(tasks, "__k", "__block") for x in (a, b))
+    shared = a.join(b.hint("shuffle_hash"), ["__k", "__block"]).withColumn("overlap", F.sort_array(F.array_intersect("__a", "__b")))
+    return shared.where(F.get("overlap", F.lit(0)) == F.col("__k")).select(left_id, right_id, "overlap")
 
 
 def decision_table(conditions: list[tuple[Column, dict[str, object]]], default: dict[str, object]) -> Column:

@@ -33,3 +33,23 @@ def test_lookups(spark):
     none = mk([], "source_id string, status string, endpoints long, seeds long")
     policies, identities = mk([], "source_id string, policy_status string, form_confirmed boolean"), mk([], "source_id string, identity_status string, candidate_entrypoint string")
     assert [r.error for r in resolution.resolve_candidates(mk([("a",)], "source_id string"), none, policies, identities).collect()] == ["MISSING_PROBE"]
+
+
+def test_overlaps_of_hot_keys(spark, monkeypatch):
+    """Each pair once with all shared keys, also where a key's pairs are dealt in blocks; a hot key's pairs go to many tasks."""
+    from pyspark.sql import functions as F
+
+    from lodestrata.operators import audit
+
+    left = spark.createDataFrame([(i, ["hot", f"l{i % 7}", None]) for i in range(60)] + [(60, []), (61, None), (1, ["hot", "l2"])], "a long, x array<string>")
+    right = spark.createDataFrame([(j, ["hot", "hot", f"l{j % 5}"]) for j in range(40)] + [(40, [None]), (41, ["zz"])], "b long, y array<string>")
+    keys = {i: {"hot", f"l{i % 7}"} for i in range(60)}
+    keys[1].add("l2")
+    want = {(i, j, tuple(sorted(ks & {"hot", f"l{j % 5}"}))) for i, ks in keys.items() for j in range(40)}
+    for share in (audit.SHARE, 100):
+        monkeypatch.setattr(audit, "SHARE", share)
+        out = audit.overlap_matches(left, right, "a", "b", "x", "y")
+        got = [(r.a, r.b, tuple(r.overlap)) for r in out.collect()]
+        assert len(got) == len(want) and set(got) == want
+    assert out.groupBy(F.spark_partition_id()).count().count() > 8
+    assert audit.overlap_matches(left.limit(0), right, "a", "b", "x", "y").count() == 0
