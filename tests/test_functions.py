@@ -174,3 +174,26 @@ def test_api_expressions_stay_small(spark):
     out = df.select(A.direct_extension(kind, u).alias("e"), A.is_api_url(u).alias("a"))
     assert [tuple(r) for r in out.collect()] == [(".csv", False), (".pdf", False), (".zip", True), ("", False), (".xml", None), ("", True)]
     assert len(out._jdf.queryExecution().analyzed().toString()) < 60_000
+
+
+def test_excerpts_equal_the_plain_expression(spark):
+    """Excerpts are those of one regular expression over the whole text, found without a search from every character."""
+    texts = [None, "", "data", "x" * 500 + "DATA" + "y" * 100 + "data" + "z" * 1000 + "Data", "no match " * 50, "é" * 200 + "data" * 3 + "\n" + "😀" * 300 + "data\nend", ("a data b " * 100) + "tail " * 400]
+    df = spark.createDataFrame(list(enumerate(texts)), "k long, t string")
+    found = F.regexp_extract_all("t", F.lit(r"(?is)(.{0,160}(?:data|end).{0,240})"), 1)
+    plain = F.slice(F.array_distinct(F.transform(found, T.collapse)), 1, 5)
+    for r in df.select("k", T.error_excerpts(F.col("t"), "data|end").alias("got"), plain.alias("want")).collect():
+        assert r.got == r.want, r.k
+    import time
+
+    long = spark.range(20).select(F.concat(F.lit("data "), F.repeat(F.lit("abcdefgh "), 100_000)).alias("t"))
+    began = time.perf_counter()
+    assert long.where(F.size(T.error_excerpts(F.col("t"), "data")) == 1).count() == 20
+    assert time.perf_counter() - began < 15  # 160 characters read for each took over a minute
+
+
+def test_spread(spark):
+    from lodestrata.sources.shared import spread
+
+    df = spread(spark.range(1000).coalesce(1), "id", rows=100)
+    assert df.count() == 1000 and df.rdd.getNumPartitions() == 11
