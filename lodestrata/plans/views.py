@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..functions import urls as U
 from ..operators import projection
+from ..sources.shared import spread
 
 EXT = ["csv", "xlsx", "ods", "json", "pdf", "docx", "zip", ""]
 
@@ -54,6 +55,7 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
 def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Resource candidates of two snapshots: one per order, by customer nation and order priority."""
     o, c, n = (table(spark, sf_dir, t) for t in ("orders", "customer", "nation"))
+    o = spread(o, "o_orderkey")
     ext = F.element_at(F.array(*[F.lit(e) for e in EXT]), (F.col("o_orderkey") % 8).cast("int") + 1)
     rows = o.join(c, o.o_custkey == c.c_custkey).join(F.broadcast(n), c.c_nationkey == n.n_nationkey)
     rows = rows.select(
