@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .shared import spread
 from .shared import store as to_shared
 
 CONFIG = "source_id string, name string, entrypoint string, workflow string, seeds array<string>, update_category string, allowed_hosts array<string>, max_depth int, max_urls int, discover_apis boolean"
@@ -190,7 +191,7 @@ def probe_outputs(docs: DataFrame, by: str, order: str, body: str, store=None) -
     """S19. Of each probe's JSON outputs: distinct resource URLs (of the items of every array named resources, the first of URL_FIELDS
     with text), the last execution_status and stop_reason in the order of documents and their walk, and the most requests
     that any node reports. Documents that are no JSON do not count; a probe with none of others has zero resources and nulls."""
-    nodes = (store or to_shared)(json_levels(docs, [by, order], body, store))
+    nodes = (store or to_shared)(json_levels(spread(docs, by, order), [by, order], body, store))
     parent = F.slice("place", 1, F.size("place") - 1)
     lists = nodes.where("name = 'resources' AND kind = 'ARRAY'").select(by, order, F.col("place").alias("list"))
     fields = nodes.where(F.col("name").isin(*URL_FIELDS) & (F.col("kind") == "STRING") & (F.trim("raw") != "") & (F.size("place") >= 2))
