@@ -97,7 +97,7 @@ def _keys(body: Column) -> Column:
 def _is_json(body: Column) -> Column:
     """One JSON value; several lines that are each a value are none."""
     lines = F.filter(F.split(body, r"\r?\n"), lambda x: F.trim(x) != "")
-    return F.try_parse_json(body).isNotNull() & ~((F.size(lines) > 1) & F.forall(lines, lambda x: F.try_parse_json(x).isNotNull()))
+    return F.try_parse_json(body).isNotNull() & ~(F.contains(body, F.lit("\n")) & (F.size(lines) > 1) & F.forall(lines, lambda x: F.try_parse_json(x).isNotNull()))
 
 
 def _starts(body: Column, path: str, opening: str) -> Column:
@@ -106,10 +106,17 @@ def _starts(body: Column, path: str, opening: str) -> Column:
 
 def detect_format(body: Column, content_type: Column) -> Column:
     """X01. Format of a body, by type and content; null if unknown."""
-    c, text = F.lower(F.coalesce(content_type, F.lit(""))), F.ltrim(F.coalesce(body, F.lit("")))
-    valid = _is_json(body) & (c.contains("json") | text.rlike(r"^[{\[]"))
-    is_object = valid & text.startswith("{")
-    keys = _keys(F.when(is_object, body))
+    given = F.struct(body.alias("body"), F.lower(F.coalesce(content_type, F.lit(""))).alias("type"), F.ltrim(F.coalesce(body, F.lit(""))).alias("text"))
+
+    def with_keys(s: Column) -> Column:
+        valid = _is_json(s["body"]) & (s["type"].contains("json") | s["text"].rlike(r"^[{\[]"))
+        return U.let(F.struct(s["body"].alias("body"), s["type"].alias("type"), s["text"].alias("text"), valid.alias("valid"), (valid & s["text"].startswith("{")).alias("is_object")), lambda v: U.let(F.struct(v.alias("v"), _keys(F.when(v["is_object"], v["body"])).alias("keys")), lambda x: _format_of(x["v"], x["keys"])))
+
+    return U.let(given, with_keys)
+
+
+def _format_of(s: Column, keys: Column) -> Column:
+    body, c, text, valid, is_object = (s[n] for n in ("body", "type", "text", "valid", "is_object"))
     has = lambda k: F.array_contains(keys, k)
     lines = F.filter(F.split(body, r"\r?\n"), lambda x: F.trim(x) != "")
     ndjson = (F.size(lines) > 0) & F.forall(F.slice(lines, 1, 50), lambda x: F.try_parse_json(x).isNotNull())
@@ -194,10 +201,10 @@ def link_header(value: Column) -> Column:
 def _last(entries: Column, keys: list[str], field: str) -> Column:
     """The field of the first of the keys that has one; of members of one name in lower case the last counts."""
 
-    def of(key: str) -> Column:
-        return F.try_element_at(F.filter(entries, lambda e: F.lower(e["k"]) == key), F.lit(-1))[field]
+    def of(few: Column) -> Column:
+        return F.when(F.size(few) > 0, F.coalesce(*[F.try_element_at(F.filter(few, lambda e: F.lower(e["k"]) == key), F.lit(-1))[field] for key in keys]))  # noqa: B023
 
-    return F.coalesce(*[of(k) for k in keys])
+    return U.let(F.filter(entries, lambda e: F.lower(e["k"]).isin(*keys)), of)  # most objects have none of them
 
 
 def _targets(entries: Column) -> Column:
@@ -225,7 +232,7 @@ def next_page(body: Column, link: Column, url: Column) -> Column:
 
     def of(s: Column) -> Column:
         m, pairs = s["m"], s["pairs"]
-        nested = {c: U.let(_targets(members(_last(m, [c], "object"))), lambda x: _last(x, NEXT_KEYS, "url")) for c in NEXT_CONTAINERS}
+        nested = {c: U.let(_last(m, [c], "object"), lambda o: F.when(o.isNotNull(), U.let(_targets(members(o)), lambda x: _last(x, NEXT_KEYS, "url")))) for c in NEXT_CONTAINERS}
 
         def turned(names: list[str], value: Column) -> Column:
             """The URL with the value in the parameter; null without the parameter."""
@@ -239,7 +246,7 @@ def next_page(body: Column, link: Column, url: Column) -> Column:
         turn = U.let(F.struct(_last(m, CURRENT_PAGE_KEYS, "n").alias("page"), _last(m, TOTAL_PAGE_KEYS, "n").alias("pages")), lambda x: F.when(x["page"] < x["pages"], (x["page"] + 1).cast("string")))
         found = [("http_link_next", s["link"]), ("json_next", _last(m, NEXT_KEYS, "url")), *[(f"json_{c}_next", v) for c, v in nested.items()]]
         found += [("numeric_page", turned(PAGE_QUERY_KEYS, turn)), ("cursor", turned(CURSOR_QUERY_KEYS, _last(m, CURSOR_KEYS, "text")))]
-        return F.try_element_at(F.filter(F.array(*[F.struct(F.lit(k).alias("strategy"), v.alias("raw")) for k, v in found]), lambda x: x["raw"].isNotNull()), F.lit(1))
+        return F.coalesce(*[U.let(v, lambda raw: F.when(raw.isNotNull(), F.struct(F.lit(k).alias("strategy"), raw.alias("raw")))) for k, v in found])  # noqa: B023
 
     candidate = U.let(F.struct(_targets(members(body)).alias("m"), U.pairs(url).alias("pairs"), by_link.alias("link")), of)
 
@@ -256,7 +263,7 @@ def next_page(body: Column, link: Column, url: Column) -> Column:
         ok = reason == "OK"
         return F.struct(F.when(ok, target).alias("next_url"), F.when(ok, s["strategy"]).alias("strategy"), reason.alias("reason"))
 
-    return U.let(U.let(candidate, lambda c: F.struct(U.normalize(c["raw"], url).alias("target"), U.normalize(url).alias("current"), c["strategy"].alias("strategy"))), decided)
+    return U.let(U.let(candidate, lambda c: F.struct(F.when(c["raw"].isNotNull(), U.normalize(c["raw"], url)).alias("target"), F.when(c["raw"].isNotNull(), U.normalize(url)).alias("current"), c["strategy"].alias("strategy"))), decided)
 
 
 def canonical_body(body: Column, fmt: Column) -> Column:
