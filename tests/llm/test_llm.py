@@ -478,6 +478,86 @@ def test_passages_do_not_depend_on_the_layout(spark, monkeypatch):
     assert all(set(range(60)) <= cover[100_000 * k][10] for k in range(1, 5))
 
 
+def test_passage_whose_source_is_not_the_first_holder_of_a_seed_nor_the_one_before(spark, monkeypatch):
+    rng = random.Random(21)
+    prose = lambda k: [f"w{rng.randrange(10**9)}" for _ in range(k)]
+    changed = lambda w, at: [f"c{rng.randrange(10**9)}" if k in at else x for k, x in enumerate(w)]
+    phrase, other, left, right = prose(12), prose(12), prose(17), prose(17)
+    passage = left + phrase + right
+    texts = {k: prose(50) + phrase + prose(50 + k) for k in range(0, 60, 2)}
+    texts |= {k: prose(50) + other + prose(50 + k) for k in range(200, 260, 2)}
+    edits = {1, 6, 11, 16, 30, 35, 40, 45}  # no seed but in the phrase
+    texts |= {21: prose(9) + passage + prose(9), 41: prose(3) + changed(passage, edits) + prose(9), 45: prose(11) + changed(passage, edits) + prose(2)}
+    texts |= {51: prose(7) + passage[3:], 53: passage + prose(20)}
+    run = prose(15) + other + prose(15)  # an equal run of less than 50 words
+    texts |= {221: prose(30) + run + prose(30), 241: prose(20) + run + prose(40), 251: prose(40) + run + prose(20)}
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id long, text string").repartition(3)
+
+    def sources():
+        cover = {}
+        for r in repeated_passages(df).collect():
+            cover.setdefault((r.doc_id, r.source_doc_id), set()).update(range(r.start, r.end))
+        return cover
+
+    plain = sources()
+    assert set(plain) == {(41, 21), (45, 21), (45, 41), *((51, k) for k in (21, 41, 45)), *((53, k) for k in (21, 41, 45, 51)), (241, 221), (251, 221), (251, 241)}
+    assert set(range(5, 48)) <= plain[41, 21] and set(range(20, 62)) <= plain[241, 221] and set(range(40, 82)) <= plain[251, 221]
+    monkeypatch.setattr(substring_dedup, "HOT", 2)
+    assert sources() == plain
+    monkeypatch.setattr(substring_dedup, "HEAVY", 5)  # the holders of a seed are dealt by pairs of groups
+    assert sources() == plain
+
+
+def test_meetings_against_all_pairs():
+    rng = np.random.default_rng(5)
+    before, min_words, need, slack = 34, 40, 32, 16
+    seed, place = rng.integers(2, 60000, 6), before + slack
+    base = rng.integers(2, 60000, 130)
+    rows = []
+    for k in range(160):
+        text = (base if k % 3 else rng.integers(2, 60000, 130)).copy()
+        text[place + 10 : place + 16] = seed
+        cut, spots = rng.integers(0, 12), rng.integers(0, 130, rng.integers(0, 40))
+        if k % 5:  # k % 5 == 0: equal but for the ends
+            spots = spots[(spots < place + 10) | (spots >= place + 16)]
+            text[spots] = rng.integers(2, 60000, len(spots))
+        around = list(text[10:])
+        if k % 7 == 0:  # a word more on the left
+            around = [*around[1 : place - 5], 9, *around[place - 5 :]]
+        around = np.array(around[: 2 * slack + before + min_words])
+        around[:cut] = 0
+        rows.append(around)
+    around = np.array(rows, np.uint16)
+    doc = rng.permutation(len(rows)).astype(np.int64)
+    n = len(rows)
+    zero = np.zeros(n, np.int64)
+    got = substring_dedup.meetings(np.ones(n, np.uint64), zero, zero + substring_dedup.BOTH, doc, zero.astype(np.uint32), around, min_words, need, slack)
+    links = set(zip(got[0].tolist(), got[2].tolist(), strict=True))
+    narrow, source = around[:, slack:-slack], np.where(around > 0, around, 1).astype(np.uint16)
+    at, wanted, first = np.argsort(doc), 0, {}
+    class_of = [first.setdefault(narrow[a].tobytes(), i) for i, a in enumerate(at)]  # equal words: the first stands for all
+    assert all(c == i or (i, c) in links for i, c in enumerate(class_of)) and len(first) < n
+
+    def reach(a, b):
+        same = (narrow[a] == source[b][slack:-slack]).tolist() + [False]
+        l, r = (([*s, False]).index(False) for s in (same[:before][::-1], same[min_words:]))
+        return l, r
+
+    for i in range(n):
+        for j in range(i):
+            a, b = at[i], at[j]
+            equal = [np.r_[narrow[a][:before] == source[b][slack + shift :][:before], narrow[a][before:] == source[b][slack + before :][:min_words]] for shift in (0, -1, 1)]
+            if not any(np.convolve(e, np.ones(min_words, int), "valid").max() >= need + (k > 0) for k, e in enumerate(equal)):
+                continue
+            wanted += 1
+            if class_of[i] != i or class_of[j] != j:
+                continue
+            l, r = reach(a, b)
+            held = l + r >= before and any((i, k) in links and reach(a, at[k])[0] >= l and reach(a, at[k])[1] >= r for k in range(j + 1))
+            assert (i, j) in links or held, (i, j)
+    assert wanted > 500 and links and all(a > b for a, b in links)
+
+
 def test_repetitive_texts(spark):
     line = "one two three four five six seven "
     rows = [(1, line * 40), (2, "x " + line * 3000), (3, "ha " * 20000), (4, "ha " * 30000)]
