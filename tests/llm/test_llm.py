@@ -558,6 +558,58 @@ def test_meetings_against_all_pairs():
     assert wanted > 500 and links and all(a > b for a, b in links)
 
 
+def test_meetings_of_many_holders_are_those_of_all_pairs(monkeypatch):
+    rng = np.random.default_rng(8)
+    before, min_words, need, slack, n = 34, 40, 32, 16, 800
+    place, size = before + slack, 2 * slack + before + min_words
+    around = rng.integers(2, 4000, (n, size)).astype(np.uint16)
+    around[:, ::9] = 7  # a frequent word
+    for k in range(0, n, 40):  # near copies of one text, some with words more or less
+        around[k] = around[0]
+        spots = rng.integers(0, size, rng.integers(5, 30))
+        around[k, spots] = rng.integers(2, 4000, len(spots))
+        if k % 3 == 0:
+            around[k, place + 9 :] = np.r_[around[k, place + 10 :], 5]
+    around[:, place : place + 6] = np.arange(10, 16)
+    zero = np.zeros(n, np.int64)
+    args = (np.ones(n, np.uint64), zero, zero + substring_dedup.BOTH, rng.permutation(n).astype(np.int64), zero.astype(np.uint32), around, min_words, need, slack)
+    links = lambda *asks: {(a, b) for a, _, b, _ in zip(*(x.tolist() for x in substring_dedup.meetings(*args, *asks)), strict=True)}
+    every = links()
+    order = np.argsort(args[3])
+    tried = sum(len(a) for a, _ in substring_dedup.gram_pairs(around[order][:, slack:-slack], around[order], np.ones(n, bool), min_words, need))
+    asks = rng.random(n) < 0.3
+    some = links(asks)
+    monkeypatch.setattr(substring_dedup, "CROWDED", 1 << 30)  # each with each
+    assert every == links() and len(every) > 50 and tried < n * (n - 1) // 8
+    assert some == {(a, b) for a, b in links() if asks[args[3] == a][0]} == links(asks)
+
+
+def test_passages_without_every_source_hold_the_same_words(spark):
+    rng = random.Random(4)
+    prose = lambda k: [f"w{rng.randrange(10**9)}" for _ in range(k)]
+    base, phrase, n = prose(90), prose(12), 80
+    texts = {}
+    for k in range(n):  # near copies, all different
+        texts[k] = [w if rng.random() > 0.05 else f"c{rng.randrange(10**9)}" for w in base] + prose(k % 3)
+    passage = prose(17) + phrase + prose(17)
+    texts |= {n + k: prose(50) + phrase + prose(60) for k in range(20)}
+    at = {1, 6, 11, 16, 30, 35, 40, 45}  # no seed but in the phrase; its source is neither the first holder nor the one before
+    texts |= {n + 30: prose(9) + passage + prose(9), n + 35: prose(50) + phrase + prose(60), n + 40: prose(4) + [f"d{k}" if k in at else w for k, w in enumerate(passage)] + prose(9)}
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id long, text string").repartition(3)
+
+    def cover(rows):
+        words = {}
+        for r in rows:
+            words.setdefault(r.doc_id, set()).update(range(r.start, r.end))
+        return words
+
+    every, few = repeated_passages(df).collect(), repeated_passages(df, every_source=False).collect()
+    assert cover(few) == cover(every) and n + 40 in cover(few)
+    assert len(every) > n * n // 3 and len(few) < 4 * n
+    pairs = {(r.doc_id, r.source_doc_id) for r in every}
+    assert {(r.doc_id, r.source_doc_id) for r in few} <= pairs
+
+
 def test_repetitive_texts(spark):
     line = "one two three four five six seven "
     rows = [(1, line * 40), (2, "x " + line * 3000), (3, "ha " * 20000), (4, "ha " * 30000)]
