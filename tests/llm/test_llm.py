@@ -584,6 +584,44 @@ def test_meetings_of_many_holders_are_those_of_all_pairs(monkeypatch):
     assert some == {(a, b) for a, b in links() if asks[args[3] == a][0]} == links(asks)
 
 
+def test_meetings_in_runs_of_one_word_try_few_alignments(monkeypatch):
+    rng = np.random.default_rng(3)
+    before, min_words, need, slack, n = 34, 40, 32, 16, 900
+    place, size = before + slack, 2 * slack + before + min_words
+    around = np.full((n, size), 7, np.uint16)
+    for k in range(n):  # a run of one word between others, some of them again and again
+        left, right = rng.integers(0, 60, 2)
+        around[k, : max(0, place - left)] = rng.integers(100, 4000) if k % 2 else rng.integers(100, 4000, max(0, place - left))
+        around[k, place + 6 + right :] = rng.integers(100, 4000) if k % 3 else rng.integers(100, 4000, max(0, size - place - 6 - right))
+        around[k, : 8 * (k % 7 == 0)] = 0
+        spots = rng.integers(0, size, k % 6)
+        spots = spots[(spots < place) | (spots >= place + 6)]
+        around[k, spots] = rng.integers(100, 110, len(spots))
+    zero = np.zeros(n, np.int64)
+    args = (np.ones(n, np.uint64), zero, zero + substring_dedup.BOTH, rng.permutation(n).astype(np.int64), zero.astype(np.uint32), around, min_words, need, slack)
+    links = lambda: set(zip(*(x.tolist() for x in substring_dedup.meetings(*args)), strict=True))
+    aligned, plain = [], substring_dedup.cost_beside
+    monkeypatch.setattr(substring_dedup, "cost_beside", lambda x, *more: aligned.append(len(x)) or plain(x, *more))
+    few = links()
+    tried = sum(aligned)
+    monkeypatch.setattr(substring_dedup, "CROWDED", 1 << 30)  # each with each
+    assert few == links() and len(few) > 1000
+    assert tried * 5 < sum(aligned) - tried
+
+
+def test_holders_of_a_seed_dealt_by_shares(spark, monkeypatch):
+    rng = random.Random(11)
+    prose = lambda k: [f"w{rng.randrange(10**9)}" for _ in range(k)]
+    base, texts = prose(90), {}
+    for k in range(40):
+        texts[k] = [w if rng.random() > 0.08 else f"c{rng.randrange(10**9)}" for w in base] if k % 2 else prose(20) + ["the"] * rng.randrange(30, 60) + prose(20)
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in texts.items()], "doc_id long, text string").repartition(3)
+    found = lambda every: sorted(map(tuple, repeated_passages(df, every_source=every).collect()))
+    plain = [found(every) for every in (True, False)]
+    monkeypatch.setattr(substring_dedup, "SHARE", 5)  # each task compares a share of the holders with all of them
+    assert [found(every) for every in (True, False)] == plain and len(plain[0]) > len(plain[1]) > 20
+
+
 def test_passages_without_every_source_hold_the_same_words(spark):
     rng = random.Random(4)
     prose = lambda k: [f"w{rng.randrange(10**9)}" for _ in range(k)]
