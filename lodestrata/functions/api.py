@@ -123,9 +123,9 @@ def _format_of(s: Column, keys: Column) -> Column:
     return (
         F.when(c.rlike(r"geo\+json|geojson"), "geojson")
         .when(is_object & (has("openapi") | has("swagger")), "openapi")
-        .when(is_object & ((F.get_json_object(body, "$.type") == "FeatureCollection") | _starts(body, "$.features", "[")), "geojson")
-        .when(is_object & (F.get_json_object(body, "$.type") == "Topology") & _starts(body, "$.objects", "{"), "topojson")
-        .when(is_object & (F.lower(F.get_json_object(body, "$.class")) == "dataset") & _starts(body, "$.dimension", "{") & has("value"), "jsonstat")
+        .when(is_object & ((has("type") & (F.get_json_object(body, "$.type") == "FeatureCollection")) | (has("features") & _starts(body, "$.features", "["))), "geojson")
+        .when(is_object & has("type") & has("objects") & (F.get_json_object(body, "$.type") == "Topology") & _starts(body, "$.objects", "{"), "topojson")
+        .when(is_object & has("class") & has("dimension") & has("value") & (F.lower(F.get_json_object(body, "$.class")) == "dataset") & _starts(body, "$.dimension", "{"), "jsonstat")
         .when(valid, "json")
         .when(c.rlike("ndjson|json-seq"), F.when(ndjson, "ndjson"))
         .when(c.rlike("tab-separated-values|text/tsv"), "tsv")
@@ -248,7 +248,9 @@ def next_page(body: Column, link: Column, url: Column) -> Column:
         found += [("numeric_page", turned(PAGE_QUERY_KEYS, turn)), ("cursor", turned(CURSOR_QUERY_KEYS, _last(m, CURSOR_KEYS, "text")))]
         return F.coalesce(*[U.let(v, lambda raw: F.when(raw.isNotNull(), F.struct(F.lit(k).alias("strategy"), raw.alias("raw")))) for k, v in found])  # noqa: B023
 
-    candidate = U.let(F.struct(_targets(members(body)).alias("m"), U.pairs(url).alias("pairs"), by_link.alias("link")), of)
+    names = [*NEXT_KEYS, *NEXT_CONTAINERS, *CURRENT_PAGE_KEYS, *TOTAL_PAGE_KEYS, *CURSOR_KEYS]
+    asked = F.filter(members(body), lambda e: F.lower(e["key"]).isin(*names))  # no other member is looked into
+    candidate = U.let(F.struct(_targets(asked).alias("m"), U.pairs(url).alias("pairs"), by_link.alias("link")), of)
 
     def decided(s: Column) -> Column:
         target, current = s["target"], s["current"]
@@ -257,11 +259,10 @@ def next_page(body: Column, link: Column, url: Column) -> Column:
             .when(target == current, "SAME_PAGE")
             .when(~U.scheme(target).isin("http", "https") | (U.host(target) == ""), "INVALID_NEXT")
             .when(U.host(target) != U.host(current), "NEXT_HOST_CHANGED")
-            .when(U.api_identity(F.lit("GET"), target) != U.api_identity(F.lit("GET"), current), "NEXT_IDENTITY_CHANGED")
+            .when(~U.same_identity(target, current), "NEXT_IDENTITY_CHANGED")
             .otherwise("OK")
         )
-        ok = reason == "OK"
-        return F.struct(F.when(ok, target).alias("next_url"), F.when(ok, s["strategy"]).alias("strategy"), reason.alias("reason"))
+        return U.let(reason, lambda r: F.struct(F.when(r == "OK", target).alias("next_url"), F.when(r == "OK", s["strategy"]).alias("strategy"), r.alias("reason")))
 
     return U.let(U.let(candidate, lambda c: F.struct(F.when(c["raw"].isNotNull(), U.normalize(c["raw"], url)).alias("target"), F.when(c["raw"].isNotNull(), U.normalize(url)).alias("current"), c["strategy"].alias("strategy"))), decided)
 

@@ -12,6 +12,8 @@ PAGINATION_FAMILY = ["page", "p", "pg", "pageno", "page_no", "page_num", "pagina
 EXTENSIONS = [".csv", ".tsv", ".xls", ".xlsx", ".ods", ".json", ".xml", ".geojson", ".pdf", ".doc", ".docx", ".zip", ".tar", ".gz", ".tgz", ".rar", ".7z"]
 
 PARTS = r"(?s)^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#(.*))?$"
+# A URL that is its own normal form: no port, nothing to decode or to encode, one query pair at most and no tracking parameter.
+PLAIN = rf"^https?://[a-z0-9.\-]+/[A-Za-z0-9._~/\-]*(?:\?(?!(?i:{'|'.join(TRACKING)})=)[A-Za-z0-9._\-]+=[A-Za-z0-9._\-]*)?\z"
 
 
 def let(value: Column, use) -> Column:
@@ -109,16 +111,20 @@ def _join(base: Column, raw: Column) -> Column:
 def normalize(raw: Column, base: Column | None = None) -> Column:
     """F01. Trimmed and absolute; scheme and host in lower case, default port gone, path at least '/', tracking
     parameters dropped, query sorted and re-encoded, no fragment. Other schemes than http and https are left alone."""
-    return let(F.trim(raw) if base is None else join(base, raw), _normal)
+    return let(F.trim(raw) if base is None else join(base, raw), lambda url: F.when(url.rlike(PLAIN), url).otherwise(_normal(url)))
 
 
 def _normal(url: Column) -> Column:
-    s, n = scheme(url), netloc(url)
+    return let(F.struct(url.alias("url"), scheme(url).alias("scheme"), netloc(url).alias("netloc"), path(url).alias("path")), _normal_of)
+
+
+def _normal_of(x: Column) -> Column:
+    url, s, n = x["url"], x["scheme"], x["netloc"]
     n = F.when(s == "http", F.regexp_replace(n, r":80$", "")).when(s == "https", F.regexp_replace(n, r":443$", "")).otherwise(n)
     kept = F.array_sort(F.filter(pairs(url), lambda p: ~_among(p["k"], TRACKING)))
     q = F.coalesce(F.concat(F.lit("?"), F.nullif(encode_pairs(kept), F.lit(""))), F.lit(""))
-    p = F.when(path(url) == "", F.lit("/")).otherwise(path(url))
-    return F.when(~s.isin("http", "https") | (netloc(url) == ""), url).otherwise(F.concat(s, F.lit("://"), n, p, q))
+    p = F.when(x["path"] == "", F.lit("/")).otherwise(x["path"])
+    return F.when(~s.isin("http", "https") | (x["netloc"] == ""), url).otherwise(F.concat(s, F.lit("://"), n, p, q))
 
 
 def url_hash(url: Column) -> Column:
@@ -129,10 +135,21 @@ def resource_key(source_id: Column, url: Column) -> Column:
     return F.sha2(F.concat_ws("|", source_id, url), 256)
 
 
+def _unpaged(clean: Column) -> Column:
+    kept = F.nullif(encode_pairs(F.filter(pairs(clean), lambda p: ~_among(p["k"], PAGINATION_QUERY))), F.lit(""))
+    return F.concat(F.substring_index(clean, "?", 1), F.coalesce(F.concat(F.lit("?"), kept), F.lit("")))
+
+
 def api_identity(method: Column, url: Column) -> Column:
     """F04. ``METHOD url`` in normal form without pagination parameters."""
-    kept = lambda clean: F.nullif(encode_pairs(F.filter(pairs(clean), lambda p: ~_among(p["k"], PAGINATION_QUERY))), F.lit(""))
-    return F.concat(F.upper(method), F.lit(" "), let(normalize(url), lambda clean: F.concat(F.substring_index(clean, "?", 1), F.coalesce(F.concat(F.lit("?"), kept(clean)), F.lit("")))))
+    return F.concat(F.upper(method), F.lit(" "), let(normalize(url), _unpaged))
+
+
+def same_identity(a: Column, b: Column) -> Column:
+    """Whether two URLs in normal form have one API identity. Those that are equal but for pagination need no second normal form;
+    only spaces and odd ports change in one."""
+    plain = ~F.contains(a, F.lit(" ")) & ~F.contains(b, F.lit(" "))
+    return (plain & (_unpaged(a) == _unpaged(b))) | (api_identity(F.lit("GET"), a) == api_identity(F.lit("GET"), b))
 
 
 def extension(url: Column) -> Column:

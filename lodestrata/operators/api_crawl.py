@@ -31,9 +31,11 @@ def read_responses(responses: DataFrame, store: Callable = to_shared) -> DataFra
     ok = F.col("error").isNull() & body.isNotNull()
     r = spread(store(responses.select("url", "error", "content_type", "body", "link")), "url").groupBy("url").agg(F.min(F.struct("error", "content_type", "body", "link")).alias("r")).select("url", "r.*")
     r = r.withColumn("body", F.when(ok, body)).withColumn("format", A.detect_format(body, kind))
-    r = store(r.withColumn("declared", A.declared_format(kind, F.col("url"))).withColumn("records", F.coalesce(A.records(body, F.col("format")), F.lit(0))))
-    data = r.where(F.col("format").isin(*SEED_FORMATS))
-    data = data.select("url", A.page_hash(body, F.col("format")).alias("hash"), A.has_pagination(body, F.col("url")).alias("paged"), A.next_page(body, F.col("link"), F.col("url")).alias("next"))
+    r = r.withColumn("declared", A.declared_format(kind, F.col("url"))).withColumn("records", F.coalesce(A.records(body, F.col("format")), F.lit(0)))
+    # made where the rows lie, spread: a table of these to join again would be dealt twice, by its few bytes
+    data = F.col("format").isin(*SEED_FORMATS)
+    made = {"hash": A.page_hash(F.when(data, body), F.col("format")), "paged": F.when(data, A.has_pagination(body, F.col("url"))), "next": F.when(data, A.next_page(body, F.col("link"), F.col("url")))}
+    r = store(r.withColumns(made))
     ops = A.openapi_operations(r.where("format = 'openapi'").select("url", "body")).withColumn("ref", U.api_identity(F.lit("GET"), U.normalize(F.col("url_of_operation"))))
     ops = ops.groupBy("url").agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", "ref"))), lambda x: x["ref"]).alias("ops"))
     pages = r.where("format IS NULL AND body IS NOT NULL").select("url", F.col("body").alias("html"))
@@ -41,7 +43,8 @@ def read_responses(responses: DataFrame, store: Callable = to_shared) -> DataFra
     found = found.where(A.is_api_url(F.col("link"))).withColumn("spec", A.is_openapi_url(F.col("link"))).withColumn("ref", U.api_identity(F.lit("GET"), F.col("link")))
     found = found.groupBy("url", "ref").agg(F.min(F.struct("pass", "ord", "link", "spec", "ref")).alias("x")).groupBy("url").agg(F.array_sort(F.collect_list("x")).alias("links"))
     out = r.withColumn("ok", ok).drop("body", "link", "content_type")
-    return store(out.join(data, "url", "left").join(ops, "url", "left").join(found, "url", "left"))
+    extra = ops.withColumn("links", F.lit(None).cast(found.schema["links"].dataType)).unionByName(found.withColumn("ops", F.lit(None).cast(NO_STRINGS)))  # a response is of one kind
+    return store(out.join(extra, "url", "left"))
 
 
 def _limit(sources: DataFrame, name: str) -> Column:

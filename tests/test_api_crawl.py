@@ -105,3 +105,29 @@ def test_a_document_counts_before_its_operations(spark):
     s = spark.createDataFrame([(cap, [f"{A}/in"], cap) for cap in (1, 2, 3, 9)], "source_id long, seeds array<string>, max_endpoints int")
     out = C.api_crawl(s, spark.createDataFrame(r, "url string, error string, body string, content_type string, link string"))
     assert {x.source_id: x.api_endpoints for x in out["sources"].collect()} == {1: 2, 2: 2, 3: 3, 9: 4}
+
+
+def test_a_next_page_is_decided_once(spark):
+    """The plan mentions a URL's way to its next page once, not for each field of the result."""
+    from pyspark.sql import functions as F
+
+    from lodestrata.functions import api, urls
+
+    df = spark.createDataFrame([('{"next": "?page=2"}', None, f"{A}/x?page=1")], "body string, link string, url string")
+    got = df.select(api.next_page(F.col("body"), F.col("link"), F.col("url")).alias("n"))
+    assert tuple(got.first().n) == (f"{A}/x?page=2", "json_next", "OK")
+    assert got._jdf.queryExecution().analyzed().toString().count("NEXT_IDENTITY_CHANGED") == 1
+    rows = [("http://a/x?page=1", "http://a/x?page=2", True), ("http://a/x?page=1&b=1", "http://a/x?page=2", False), ("http://a/x ", "http://a/x", True), ("http://a/x ?page=1", "http://a/x ", False)]
+    odd = spark.createDataFrame(rows, "a string, b string, same boolean")
+    assert [r.same for r in odd.collect()] == [r.got for r in odd.select(urls.same_identity(F.col("a"), F.col("b")).alias("got")).collect()]
+
+
+def test_plain_urls_are_their_normal_form(spark):
+    from pyspark.sql import functions as F
+
+    from lodestrata.functions import urls
+
+    rows = ["http://a/x", "http://a/x?b=1", "http://a/x?utm_source=1", "http://a/x?UTM_Source=1", "http://a:80/x", "http://a/x?b", "http://a/x?b=~\n", "http://A/x", "http://a", "http://a/x?b=2&a=1", " http://a/x "]
+    df = spark.createDataFrame([(u,) for u in rows], "url string").select("url", urls.normalize(F.col("url")).alias("short"), urls._normal(F.trim("url")).alias("long"), F.col("url").rlike(urls.PLAIN).alias("plain"))
+    got = df.collect()
+    assert all(r.short == r.long for r in got) and [r.url for r in got if r.plain] == rows[:2]
