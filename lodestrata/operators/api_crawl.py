@@ -106,7 +106,7 @@ def _folded(events: DataFrame, start: Column) -> Column:
     return F.aggregate(events, start, step)
 
 
-def api_crawl(sources: DataFrame, responses: DataFrame, store: Callable = to_shared) -> dict[str, DataFrame]:
+def api_crawl(sources: DataFrame, responses: DataFrame, store: Callable = to_shared, documents: bool = True) -> dict[str, DataFrame]:
     """G04, G06, Z13. What crawling each source's API seeds would do, against captured responses.
 
     sources: (source_id, seeds: array of URLs; optionally max_requests, max_endpoints, max_pages, max_records, max_stagnant,
@@ -123,7 +123,8 @@ def api_crawl(sources: DataFrame, responses: DataFrame, store: Callable = to_sha
 
     Returns ``sources`` (coverage, stop_reason, success, failure_code), ``seeds`` (outcome, pages, records, strategy, stop),
     ``attempts`` (each request: phase, url, error) and ``resources`` (source_id, place, identity). A source without seeds
-    succeeds with nothing. Repeated seeds are seeds of their own. Null seeds are left out.
+    succeeds with nothing. Repeated seeds are seeds of their own. Null seeds are left out. Without ``documents`` only ``seeds``
+    is made: the queue comes after all seeds and changes none of them.
     """
     r = read_responses(responses, store)
     conf = sources.select("source_id", "seeds", *[_limit(sources, k) for k in LIMITS])
@@ -170,6 +171,9 @@ def api_crawl(sources: DataFrame, responses: DataFrame, store: Callable = to_sha
     out_seeds = out_seeds.withColumn("stop", F.when(spent & F.col("stop").isNotNull(), "REQUEST_BUDGET").otherwise(F.col("stop")))
     out_seeds = store(out_seeds.select("source_id", "seed_no", "url", "outcome", "format", "identity", "error", "pages", "records", F.when(F.col("pages") > 0, F.when(F.col("steps") > 1, F.col("strategy"))).alias("strategy"), "stop"))
 
+    if not documents:
+        return {"seeds": out_seeds}
+
     queue = s.where("outcome = 'PAGE'").join(per.select("source_id", "begun"), "source_id").where("seed_no < begun").select("source_id", F.array("seed_no").alias("place"), F.posexplode(specs).alias("i", "x"))
     queue = queue.select("source_id", F.concat("place", F.array("i")).alias("place"), F.col("x.link").alias("url"))
     state = per.join(used, "source_id", "left").select("source_id", "max_requests", "max_documents", "max_document_depth", F.coalesce("used", F.lit(0)).alias("used"), F.lit(0).cast("long").alias("probed"), F.lit(False).alias("full"))

@@ -89,7 +89,7 @@ seeds AS (
 @query(_CRAWL + " SELECT source_id, seed_no, outcome, pages, records, strategy, stop FROM seeds")
 def api_crawl_seeds(spark, sf_dir):
     """G04, G05."""
-    return C.api_crawl(*captured(spark, sf_dir))["seeds"].select("source_id", "seed_no", "outcome", "pages", "records", "strategy", "stop")
+    return C.api_crawl(*captured(spark, sf_dir), documents=False)["seeds"].select("source_id", "seed_no", "outcome", "pages", "records", "strategy", "stop")
 
 
 _DOCUMENTS = """,

@@ -107,6 +107,15 @@ def test_a_document_counts_before_its_operations(spark):
     assert {x.source_id: x.api_endpoints for x in out["sources"].collect()} == {1: 2, 2: 2, 3: 3, 9: 4}
 
 
+def test_seeds_without_the_queue(spark, monkeypatch):
+    """Seeds need no documents: the queue is not made for them."""
+    s = spark.createDataFrame([(1, [f"{A}/home", f"{A}/plain"])], "source_id long, seeds array<string>")
+    r = spark.createDataFrame(RESPONSES, "url string, error string, body string, content_type string, link string")
+    whole = C.api_crawl(s, r)
+    few = C.api_crawl(s, r, documents=False)
+    assert list(few) == ["seeds"] and sorted(few["seeds"].collect()) == sorted(whole["seeds"].collect())
+
+
 def test_a_next_page_is_decided_once(spark):
     """The plan mentions a URL's way to its next page once, not for each field of the result."""
     from pyspark.sql import functions as F
