@@ -177,7 +177,7 @@ def api_crawl(sources: DataFrame, responses: DataFrame, store: Callable = to_sha
     queue = s.where("outcome = 'PAGE'").join(per.select("source_id", "begun"), "source_id").where("seed_no < begun").select("source_id", F.array("seed_no").alias("place"), F.posexplode(specs).alias("i", "x"))
     queue = queue.select("source_id", F.concat("place", F.array("i")).alias("place"), F.col("x.link").alias("url"))
     state = per.join(used, "source_id", "left").select("source_id", "max_requests", "max_documents", "max_document_depth", F.coalesce("used", F.lit(0)).alias("used"), F.lit(0).cast("long").alias("probed"), F.lit(False).alias("full"))
-    deepest = conf.agg(F.max("max_document_depth")).first()[0]
+    deepest = conf.where("max_documents > 0").agg(F.max("max_document_depth")).first()[0]  # none: no source asks for documents
     docs, seen = None, None
     page = r.select("url", "error", "ok", "format", "ops", "links")
     for depth in range(0, (-1 if deepest is None else deepest) + 1):

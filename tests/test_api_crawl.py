@@ -108,12 +108,16 @@ def test_a_document_counts_before_its_operations(spark):
 
 
 def test_seeds_without_the_queue(spark, monkeypatch):
-    """Seeds need no documents: the queue is not made for them."""
+    """Seeds need no documents: the queue is not made for them, nor where no source may ask for any."""
     s = spark.createDataFrame([(1, [f"{A}/home", f"{A}/plain"])], "source_id long, seeds array<string>")
     r = spark.createDataFrame(RESPONSES, "url string, error string, body string, content_type string, link string")
     whole = C.api_crawl(s, r)
     few = C.api_crawl(s, r, documents=False)
     assert list(few) == ["seeds"] and sorted(few["seeds"].collect()) == sorted(whole["seeds"].collect())
+    tables = []
+    none = C.api_crawl(s.selectExpr("*", "0 AS max_documents"), r, lambda df: tables.append(df.columns) or C.to_shared(df))
+    assert not [c for c in tables if "taken" in c]
+    assert {x.phase for x in none["attempts"].collect()} == {"SEED"} and none["sources"].first().documents_probed == 0
 
 
 def test_a_next_page_is_decided_once(spark):
